@@ -8,6 +8,8 @@ from sparkprep.plans.registry import ORACLE, QUERIES
 
 _MODULES = [
     "sparkprep.plans.cleaning_queries",
+    "sparkprep.plans.text_queries",
+    "sparkprep.plans.split_queries",
 ]
 for _m in _MODULES:
     importlib.import_module(_m)

@@ -10,6 +10,7 @@ _MODULES = [
     "sparkprep.plans.cleaning_queries",
     "sparkprep.plans.text_queries",
     "sparkprep.plans.split_queries",
+    "sparkprep.plans.eda_queries",
 ]
 for _m in _MODULES:
     importlib.import_module(_m)

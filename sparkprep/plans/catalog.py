@@ -11,6 +11,7 @@ _MODULES = [
     "sparkprep.plans.text_queries",
     "sparkprep.plans.split_queries",
     "sparkprep.plans.eda_queries",
+    "sparkprep.plans.prep_queries",
 ]
 for _m in _MODULES:
     importlib.import_module(_m)

@@ -12,6 +12,7 @@ _MODULES = [
     "sparkprep.plans.split_queries",
     "sparkprep.plans.eda_queries",
     "sparkprep.plans.prep_queries",
+    "sparkprep.plans.model_queries",
 ]
 for _m in _MODULES:
     importlib.import_module(_m)

@@ -76,3 +76,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def materialize(df, rows_per_partition: int = 200_000):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
+    (survives executor loss, unlike a local checkpoint). Used before
+    iterative fits so each iteration does not replay the feature plan.
+
+    Partitions are then right-sized to about ``rows_per_partition`` rows
+    (narrow coalesce, no shuffle): iterative learners launch one job per
+    iteration, so tiny tasks cost more in scheduling than in work."""
+    ensure_checkpoint_dir(df.sparkSession)
+    ck = df.checkpoint(eager=True)
+    n = ck.count()
+    target = max(1, -(-n // rows_per_partition))
+    if target < ck.rdd.getNumPartitions():
+        ck = ck.coalesce(target)
+    return ck

@@ -72,8 +72,10 @@ def _bucketize(df: DataFrame, first: Column, n_buckets: int) -> DataFrame:
         return keyed.withColumn(_BKT, F.lit(0)).drop(_KEY)
     bk = Bucketizer(splits=splits, inputCol=_KEY, outputCol=_BKT,
                     handleInvalid="keep")
+    # Non-null bucket (keys are non-null) so joins infer no extra filter that
+    # would recompute the key expression.
     return (bk.transform(keyed)
-            .withColumn(_BKT, F.col(_BKT).cast("int")).drop(_KEY))
+            .withColumn(_BKT, F.coalesce(F.col(_BKT).cast("int"), F.lit(-1))).drop(_KEY))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],

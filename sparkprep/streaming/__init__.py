@@ -1,0 +1 @@
+"""Structured Streaming delivery of the batch scoring operator."""

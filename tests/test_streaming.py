@@ -1,0 +1,40 @@
+"""Streaming scoring gives the same rows as batch scoring."""
+
+from pyspark.sql import functions as F
+
+from sparkprep.plans import models
+from sparkprep.plans.workflows import SPEC, listing_features
+from sparkprep.streaming import scoring
+
+SF = "/root/testdata/sf0.001"
+
+
+def _features(df):
+    # the listing feature table derived from a (streaming) documents frame
+    from sparkprep.functions import fixed_values as fv
+    from sparkprep.functions import rules as R
+    flags = R.access_flags("text")
+    return df.select(
+        "doc_id", "lang", "source",
+        F.col("n_chars").cast("double").alias("n_chars_f"), F.log1p("n_chars").alias("log_chars"),
+        (F.size(F.split("text", ",")) - 1).cast("double").alias("n_commas"),
+        *[F.coalesce(flags[n], F.lit(0)).cast("double").alias(n) for n, _ in fv.ACCESS_FLAGS],
+        R.keyword_category("text", fv.DESCRIPTION_KEYWORDS).alias("desc_category"),
+        R.keyword_category("text", fv.TRANSIT_KEYWORDS).alias("transit_category"),
+        R.host_mentions("text").alias("host_mentions"), R.has_rules("text").alias("has_rules"))
+
+
+def test_stream_matches_batch(spark):
+    lab = listing_features(spark, SF, True)
+    model = models.random_forest(SPEC, lab, trees=10)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stream = scoring.score_stream(spark, model, f"{SF}/", docs.schema, _features, "doc_id", 0.46,
+                                  glob="documents.parquet")
+    assert stream.isStreaming
+    q = scoring.start(stream, fmt="memory", query_name="stream_scores", trigger_once=True)
+    q.awaitTermination(120)
+    got = {r["doc_id"]: (r["prob_yes"], r["prediction"]) for r in spark.table("stream_scores").collect()}
+    batch = models.score(model, _features(docs)).withColumn(
+        "prediction", F.when(F.col("prob_yes") >= 0.46, "YES").otherwise("NO"))
+    want = {r["doc_id"]: (r["prob_yes"], r["prediction"]) for r in batch.collect()}
+    assert got == want

@@ -19,22 +19,37 @@ def _is_plain(p: str) -> bool:
     return not any(ch in p for ch in ".^$*+?()[]{}|\\")
 
 
+def _one(lowered: Column, p: str) -> Column:
+    """A regex; alternations of plain words become OR-ed substring tests
+    (same matches, and indexOf is far cheaper than regex backtracking)."""
+    alts = p.split("|")
+    if all(a and _is_plain(a) for a in alts):
+        cond = None
+        for a in alts:
+            c = lowered.contains(a)
+            cond = c if cond is None else (cond | c)
+        return cond
+    return lowered.rlike(p)
+
+
 def _match(lowered: Column, pattern) -> Column:
     pats = pattern if isinstance(pattern, (list, tuple)) else [pattern]
     cond = None
     for p in pats:
-        p = p.lower()
-        c = lowered.contains(p) if _is_plain(p) else lowered.rlike(p)
+        c = _one(lowered, p.lower())
         cond = c if cond is None else (cond & c)
     return cond
 
 
-def first_match(col, rules: Sequence, default: str | None) -> Column:
+def first_match(col, rules: Sequence, default: str | None,
+                lowered: bool = False) -> Column:
     """``rules`` is an ordered list of ``(pattern, label)``; ``pattern`` is a
     regex (or list of regexes that must all match) tested on the lower-cased
     text. Null text matches nothing and falls through to ``default``, as a
-    SQL searched CASE does."""
-    lowered = F.lower(_c(col))
+    SQL searched CASE does. Pass ``lowered=True`` for a column that is
+    already lower-cased (compute it once in its own projection: conditional
+    CASE branches are not shared by subexpression elimination)."""
+    lowered = _c(col) if lowered else F.lower(_c(col))
     expr = None
     for pattern, label in rules:
         cond = _match(lowered, pattern)
@@ -43,28 +58,28 @@ def first_match(col, rules: Sequence, default: str | None) -> Column:
 
 
 def keyword_category(col, keywords: Sequence[str],
-                     default: str = fv.KEYWORD_DEFAULT) -> Column:
+                     default: str = fv.KEYWORD_DEFAULT, lowered: bool = False) -> Column:
     """Label = first keyword the text contains (case-insensitive)."""
-    return first_match(col, [(k, k) for k in keywords], default)
+    return first_match(col, [(k, k) for k in keywords], default, lowered)
 
 
-def access_flags(col) -> Column:
+def access_flags(col, lowered: bool = False) -> Column:
     """Struct of seven 0/1 flags; null text gives null flags."""
-    lowered = F.lower(_c(col))
+    lowered = _c(col) if lowered else F.lower(_c(col))
     return F.struct(*[_match(lowered, p).cast("int").alias(name)
                       for name, p in fv.ACCESS_FLAGS])
 
 
-def region(col) -> Column:
-    return first_match(col, fv.REGION_RULES, fv.REGION_DEFAULT)
+def region(col, lowered: bool = False) -> Column:
+    return first_match(col, fv.REGION_RULES, fv.REGION_DEFAULT, lowered)
 
 
-def jurisdiction_state(col) -> Column:
-    return first_match(col, fv.JURISDICTION_RULES, fv.JURISDICTION_DEFAULT)
+def jurisdiction_state(col, lowered: bool = False) -> Column:
+    return first_match(col, fv.JURISDICTION_RULES, fv.JURISDICTION_DEFAULT, lowered)
 
 
-def host_mentions(col) -> Column:
-    return first_match(col, fv.HOST_MENTION_RULES, fv.HOST_MENTION_DEFAULT)
+def host_mentions(col, lowered: bool = False) -> Column:
+    return first_match(col, fv.HOST_MENTION_RULES, fv.HOST_MENTION_DEFAULT, lowered)
 
 
 def license_status(col) -> Column:
@@ -114,10 +129,10 @@ def rate_level(col) -> Column:
             .when(c.isNull(), F.lit("MISSING")))
 
 
-def has_rules(col) -> Column:
+def has_rules(col, lowered: bool = False) -> Column:
     """Yes when a topic word co-occurs with a permission/prohibition word
     (substring tests on lower-cased text); null text -> No."""
-    lowered = F.lower(_c(col))
+    lowered = _c(col) if lowered else F.lower(_c(col))
     cond = None
     for topic in fv.RULE_TOPICS:
         for word in fv.RULE_WORDS:

@@ -68,8 +68,8 @@ def clean_tokens(col, stop_words: list[str]) -> Column:
     c = F.regexp_replace(F.lower(_c(col)), "[0-9]", "")
     c = strip_punct(c)
     toks = F.filter(F.split(c, CLEAN_SPLIT), lambda t: t != "")
-    stops = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(toks, lambda t: ~F.array_contains(stops, t))
+    # IN over many literals is planned as a hash-set lookup (InSet)
+    return F.filter(toks, lambda t: (t != "") & ~t.isin(*stop_words))
 
 
 def list_tokens(col, sep: str = ",") -> Column:

@@ -65,7 +65,15 @@ def range_splits(df: DataFrame, key: Column, n_buckets: int,
     return [-math.inf, *inner, math.inf]
 
 
-def _bucketize(df: DataFrame, first: Column, n_buckets: int) -> DataFrame:
+def _bucketize(df: DataFrame, first: Column, n_buckets: int,
+               key_range: tuple[float, float] | None = None) -> DataFrame:
+    if key_range is not None:
+        # Uniformly distributed key (e.g. a hash prefix): equal-width ranges
+        # are already balanced, so no quantile pass over the data is needed.
+        lo, hi = key_range
+        width = (hi - lo) / n_buckets
+        b = F.floor((first.cast("double") - F.lit(float(lo))) / F.lit(width))
+        return df.withColumn(_BKT, F.least(F.greatest(b, F.lit(0)), F.lit(n_buckets - 1)).cast("int"))
     keyed = df.withColumn(_KEY, first.cast("double"))
     splits = range_splits(keyed, F.col(_KEY), n_buckets)
     if len(splits) < 3:
@@ -96,18 +104,20 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],
 def prefix_sums(df: DataFrame, order_cols, by: Sequence[str] = (),
                 weight: str | Column | None = None,
                 before: str = "_before", total: str | None = None,
-                n_buckets: int | None = None) -> DataFrame:
+                n_buckets: int | None = None,
+                key_range: tuple[float, float] | None = None) -> DataFrame:
     """Add ``before`` = sum of ``weight`` (default 1) over rows that come
     earlier in ``order_cols`` within the same ``by`` group, and optionally
     ``total`` = the group's full sum. Ties in ``order_cols`` are broken
-    arbitrarily, so pass a unique order for positional use.
+    arbitrarily, so pass a unique order for positional use. ``key_range``
+    declares the first order key uniform on ``[lo, hi)`` (hash values).
     """
     order = _as_cols(order_cols)
     by = _names(by)
     b = n_buckets or default_buckets(df)
     w = F.lit(1).cast("long") if weight is None else (
         F.col(weight) if isinstance(weight, str) else weight)
-    data = _bucketize(df.withColumn(_W, w), order[0], b)
+    data = _bucketize(df.withColumn(_W, w), order[0], b, key_range)
 
     per = data.groupBy(*by, _BKT).agg(F.sum(_W).alias(_BW))
     wgrp = Window.partitionBy(*by) if by else Window.partitionBy()
@@ -136,12 +146,13 @@ def prefix_sums(df: DataFrame, order_cols, by: Sequence[str] = (),
 def with_row_index(df: DataFrame, order_cols, name: str = "row_idx",
                    by: Sequence[str] = (), start: int = 1,
                    total: str | None = None,
-                   n_buckets: int | None = None) -> DataFrame:
+                   n_buckets: int | None = None,
+                   key_range: tuple[float, float] | None = None) -> DataFrame:
     """Dense position (``start``-based) of each row in ``order_cols`` order,
     optionally restarting per ``by`` group. ``order_cols`` must be unique
     (within a group) for the result to be deterministic."""
     out = prefix_sums(df, order_cols, by=by, before="__pos", total=total,
-                      n_buckets=n_buckets)
+                      n_buckets=n_buckets, key_range=key_range)
     return out.withColumn(name, F.col("__pos") + F.lit(start)).drop("__pos")
 
 

@@ -31,7 +31,8 @@ def _hash_rank(df: DataFrame, seed, key: str, name: str, by=(), salt=None) -> Da
     # The leading 15 hex digits as a number order the same way as the hex text.
     withh = df.withColumn("__h", h).withColumn(
         "__hn", F.conv(F.substring("__h", 1, 15), 16, 10).cast("long"))
-    ranked = with_row_index(withh, ["__hn", "__h", key], name, by=by, total="__n")
+    ranked = with_row_index(withh, ["__hn", "__h", key], name, by=by, total="__n",
+                            key_range=(0.0, float(16 ** 15)))
     return ranked.drop("__h", "__hn")
 
 

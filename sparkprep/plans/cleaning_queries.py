@@ -53,16 +53,18 @@ SELECT doc_id,
 FROM documents""")
 def keyword_category(spark, d):
     docs = table(spark, d, "documents")
-    t = F.col("text")
-    return docs.select(
+    # lower-case each text once; every rule chain reads the same column
+    low = docs.select("doc_id", "text", F.lower("text").alias("lt"))
+    t = F.col("lt")
+    return low.select(
         "doc_id",
-        R.keyword_category(t, fv.DESCRIPTION_KEYWORDS).alias("desc_category"),
-        R.keyword_category(F.coalesce(t, F.lit("No Neighborhood Overview")),
-                           fv.OVERVIEW_KEYWORDS).alias("overview_category"),
-        R.keyword_category(t, fv.TRANSIT_KEYWORDS).alias("transit_category"),
-        R.keyword_category(t, fv.INTERACTION_KEYWORDS).alias("interaction_category"),
-        R.host_mentions(t).alias("host_mentions"),
-        X.before(t, ",").alias("first_clause"))
+        R.keyword_category(t, fv.DESCRIPTION_KEYWORDS, lowered=True).alias("desc_category"),
+        R.keyword_category(F.coalesce(t, F.lit("no neighborhood overview")),
+                           fv.OVERVIEW_KEYWORDS, lowered=True).alias("overview_category"),
+        R.keyword_category(t, fv.TRANSIT_KEYWORDS, lowered=True).alias("transit_category"),
+        R.keyword_category(t, fv.INTERACTION_KEYWORDS, lowered=True).alias("interaction_category"),
+        R.host_mentions(t, lowered=True).alias("host_mentions"),
+        X.before("text", ",").alias("first_clause"))
 
 
 _flag_sql = ",\n  ".join(
@@ -76,8 +78,9 @@ SELECT doc_id,
 FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE text END AS a FROM documents) t""")
 def flag_levels(spark, d):
     docs = table(spark, d, "documents")
-    access = _nullif(F.col("doc_id") % 5 == 0, F.col("text"))
-    flags = docs.select("doc_id", R.access_flags(access).alias("access_flags"))
+    access = _nullif(F.col("doc_id") % 5 == 0, F.lower("text"))
+    low = docs.select("doc_id", access.alias("la"))
+    flags = low.select("doc_id", R.access_flags("la", lowered=True).alias("access_flags"))
     expanded = cols.expand(flags, "access_flags")
     return impute.flag_levels(expanded, [n for n, _ in fv.ACCESS_FLAGS])
 

@@ -39,8 +39,15 @@ SELECT word, CAST(n AS BIGINT) AS n,
 FROM c WHERE word NOT IN {STOP_SQL} AND NOT regexp_matches(word, '\\d')""")
 def stopword_antijoin(spark, d):
     docs = table(spark, d, "documents")
-    counts, kept = _kept_words(spark, textmine.unnest_tokens(docs, "text"))
-    total = counts.agg(F.sum("n")).scalar()
+    # One aggregate yields per-word counts and the grand total (rollup row
+    # with a null word); both branches reuse its exchange, so every text is
+    # tokenised once.
+    both = textmine.unnest_tokens(docs, "text").rollup("word").agg(
+        F.count(F.lit(1)).alias("n"), F.grouping("word").alias("__g"))
+    total = both.where(F.col("__g") == 1).select("n").scalar()
+    counts = both.where(F.col("__g") == 0).drop("__g")
+    kept = join.anti(counts, _stop_words(spark), "word", small=True) \
+        .where(~F.col("word").rlike(r"\d"))
     flag = F.when(F.col("word").isin(*fv.SPACE_KEYWORDS), "Yes").otherwise("No")
     return kept.select("word", "n", flag.alias("has_space_features"), total.alias("total"))
 

@@ -28,18 +28,18 @@ def listing_features(spark, d: str, labelled: bool | None = True) -> DataFrame:
     """Feature table from documents: numeric size features, seven access
     flags and rule-based categories; joined to the YES/NO target
     (``labelled=True``), restricted to unlabelled rows (``False``), or all."""
-    docs = table(spark, d, "documents")
-    flags = R.access_flags("text")
+    docs = table(spark, d, "documents").withColumn("lt", F.lower("text"))
+    flags = R.access_flags("lt", lowered=True)
     feats = docs.select(
         "doc_id", "lang", "source",
         F.col("n_chars").cast("double").alias("n_chars_f"),
         F.log1p("n_chars").alias("log_chars"),
         (F.size(F.split("text", ",")) - 1).cast("double").alias("n_commas"),
         *[F.coalesce(flags[name], F.lit(0)).cast("double").alias(name) for name, _ in fv.ACCESS_FLAGS],
-        R.keyword_category("text", fv.DESCRIPTION_KEYWORDS).alias("desc_category"),
-        R.keyword_category("text", fv.TRANSIT_KEYWORDS).alias("transit_category"),
-        R.host_mentions("text").alias("host_mentions"),
-        R.has_rules("text").alias("has_rules"))
+        R.keyword_category("lt", fv.DESCRIPTION_KEYWORDS, lowered=True).alias("desc_category"),
+        R.keyword_category("lt", fv.TRANSIT_KEYWORDS, lowered=True).alias("transit_category"),
+        R.host_mentions("lt", lowered=True).alias("host_mentions"),
+        R.has_rules("lt", lowered=True).alias("has_rules"))
     labels = table(spark, d, "labels").select(
         "doc_id", F.when(F.col("quality") == 1, "YES").otherwise("NO").alias(TARGET))
     if labelled is None:

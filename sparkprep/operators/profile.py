@@ -16,6 +16,21 @@ def summary(df: DataFrame, *stats: str) -> DataFrame:
     return df.summary(*stats) if stats else df.summary()
 
 
+def numeric_summary(df: DataFrame, cols=None) -> DataFrame:
+    """(column_name, n, mean, sd, min, max) for numeric columns, from ONE
+    aggregate over all of them, unpivoted to long form."""
+    from pyspark.sql import types as T
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(f"`{c}`").cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    wide = df.agg(*aggs)
+    rows = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
+    return wide.selectExpr(f"stack({len(cols)}, {rows}) AS (column_name, n, mean, sd, min, max)")
+
+
 def nulls(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """(column_name, n_null, n_not_null) from ONE aggregate over all columns,
     unpivoted to long form."""

@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions import fixed_values as fv
-from sparkprep.operators.ordering import with_row_index
+from sparkprep.operators.ordering import default_buckets, with_row_index
 
 
 def hash_text(seed, key: str, salt: Column | None = None) -> Column:
@@ -26,23 +26,54 @@ def hash_text(seed, key: str, salt: Column | None = None) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def _hash_rank(df: DataFrame, seed, key: str, name: str, by=(), salt=None) -> DataFrame:
+_HASH_RANGE = (0.0, float(16 ** 15))
+
+
+def hash_select(df: DataFrame, frac, seed, key: str, flag: str, by=(), salt=None,
+                n_buckets: int | None = None) -> DataFrame:
+    """``flag`` = row is among the ``floor(frac * n)`` lowest ``(hash, key)``
+    of its ``by`` group (``frac`` a number or a column).
+
+    Hashes are uniform, so equal-width hash buckets are balanced. One
+    aggregate counts rows per (group, bucket); then each bucket is entirely
+    in, entirely out, or the single boundary bucket of its group. Only the
+    boundary bucket's rows are ranked (a window over ~1/B of the data); all
+    other rows are decided by a join with the small bucket-state table and
+    never shuffled."""
+    by = [by] if isinstance(by, str) else list(by)
+    b = n_buckets or default_buckets(df)
+    lo, hi = _HASH_RANGE
     h = hash_text(seed, key, salt)
-    # The leading 15 hex digits as a number order the same way as the hex text.
-    withh = df.withColumn("__h", h).withColumn(
-        "__hn", F.conv(F.substring("__h", 1, 15), 16, 10).cast("long"))
-    ranked = with_row_index(withh, ["__hn", "__h", key], name, by=by, total="__n",
-                            key_range=(0.0, float(16 ** 15)))
-    return ranked.drop("__h", "__hn")
+    data = (df.withColumn("__h", h)
+            .withColumn("__hn", F.conv(F.substring("__h", 1, 15), 16, 10).cast("long"))
+            .withColumn("__bk", F.least(F.greatest(F.floor(
+                (F.col("__hn").cast("double") - lo) / F.lit((hi - lo) / b)), F.lit(0)),
+                F.lit(b - 1)).cast("int")))
+    fr = frac if isinstance(frac, Column) else F.lit(float(frac))
+    per = data.groupBy(*by, "__bk").agg(F.count(F.lit(1)).alias("__c"))
+    grp = Window.partitionBy(*by) if by else Window.partitionBy()
+    per = (per.withColumn("__cb", F.coalesce(F.sum("__c").over(
+                grp.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+           .withColumn("__k", F.floor(F.sum("__c").over(grp) * fr))
+           .select(*by, "__bk",
+                   F.when(F.col("__cb") + F.col("__c") <= F.col("__k"), 1)
+                   .when(F.col("__cb") >= F.col("__k"), 0).otherwise(2).alias("__state"),
+                   (F.col("__k") - F.col("__cb")).alias("__need")))
+    # at most (groups x buckets) rows; without groups at most ``b``: broadcast
+    small = F.broadcast(per) if not by else per
+    joined = data.join(small, [*by, "__bk"])
+    direct = joined.where(F.col("__state") != 2).withColumn(flag, F.col("__state") == 1)
+    edge = joined.where(F.col("__state") == 2).withColumn("__r", F.row_number().over(
+        Window.partitionBy(*by, "__bk").orderBy("__hn", "__h", key)))
+    edge = edge.withColumn(flag, F.col("__r") <= F.col("__need")).drop("__r")
+    return direct.unionByName(edge).drop("__h", "__hn", "__bk", "__state", "__need")
 
 
 def holdout(df: DataFrame, frac: float, seed, key: str,
             flag: str = "is_holdout") -> DataFrame:
     """``flag`` is true for exactly ``floor(frac * n)`` rows (the lowest
     hashes); the complement is ``~flag`` (no anti-join needed)."""
-    ranked = _hash_rank(df, seed, key, "__r")
-    return (ranked.withColumn(flag, F.col("__r") <= F.floor(F.col("__n") * F.lit(frac)))
-            .drop("__r", "__n"))
+    return hash_select(df, frac, seed, key, flag)
 
 
 def nested_holdout(df: DataFrame, key: str, seed=fv.SPLIT_SEED,
@@ -66,9 +97,8 @@ def fractions(df: DataFrame, fracs: Sequence[float], seed, key: str,
     rows; all subsets are produced by one job (rows tagged with f)."""
     arr = F.array(*[F.lit(float(f)) for f in fracs])
     tagged = df.withColumn(name, F.explode(arr))
-    ranked = _hash_rank(tagged, seed, key, "__r", by=[name], salt=F.col(name))
-    return (ranked.where(F.col("__r") <= F.floor(F.col("__n") * F.col(name)))
-            .drop("__r", "__n"))
+    sel = hash_select(tagged, F.col(name), seed, key, "__sel", by=[name], salt=F.col(name))
+    return sel.where("__sel").drop("__sel")
 
 
 def contiguous_folds(df: DataFrame, k: int, order_col: str,

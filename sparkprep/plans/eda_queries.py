@@ -236,3 +236,28 @@ def csv_round_trip(spark, d):
     write_predictions(pred, path, key="o_orderkey")
     back = read_table(spark, path, schema=_CSV_SCHEMA, row_id=None)
     return back
+
+
+_SUM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("column_summary", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS n, round(avg({c}), 6) AS mean,
+       round(stddev_samp({c}), 6) AS sd, round(min({c}), 6) AS min, round(max({c}), 6) AS max FROM lineitem"""
+    for c in _SUM_COLS))
+def column_summary(spark, d):
+    s = profile.numeric_summary(table(spark, d, "lineitem"), _SUM_COLS)
+    return s.select("column_name", F.col("n").cast("long").alias("n"),
+                    *[F.round(c, 6).alias(c) for c in ("mean", "sd", "min", "max")])
+
+
+@query("sentinel_split", """
+SELECT CASE WHEN coalesce(pri, 'Not Mentioned') = 'Not Mentioned' THEN 'Not Mentioned' ELSE 'Other' END AS category,
+       CAST(count(*) AS BIGINT) AS n
+FROM (SELECT CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS pri FROM orders) t
+GROUP BY category""")
+def sentinel_split(spark, d):
+    o = table(spark, d, "orders").select(
+        F.when(F.col("o_orderkey") % 5 == 0, None).otherwise(F.col("o_orderpriority")).alias("pri"))
+    filled = o.fillna({"pri": fv.NOT_MENTIONED})
+    return profile.null_split(filled, "pri", sentinel=fv.NOT_MENTIONED)

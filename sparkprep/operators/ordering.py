@@ -1,6 +1,6 @@
 """Order-dependent building blocks without a single-partition window.
 
-Spark rows have no order, while the reference relies on row positions
+Spark rows have no order, while the original workflow relies on row positions
 (positional binds, first row per key, contiguous folds, exact-size samples,
 exact medians). All of these reduce to a *prefix sum in a total order*:
 

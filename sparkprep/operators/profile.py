@@ -65,9 +65,11 @@ def _bounds(df: DataFrame, x: Column, lo, hi):
 
 
 def bin_index(x: Column, lo, hi, bins: int) -> Column:
-    """Equal-width bin of x in [lo, hi]; the right edge goes to the last bin."""
+    """Equal-width bin of x in [lo, hi]; the right edge goes to the last bin
+    and a constant column (zero width) falls in bin 0."""
     w = (hi - lo) / F.lit(bins)
-    return F.least(F.floor((x - lo) / w), F.lit(bins - 1)).cast("int")
+    b = F.coalesce(F.floor(F.try_divide(x - lo, w)), F.lit(0))
+    return F.least(b, F.lit(bins - 1)).cast("int")
 
 
 def histogram(df: DataFrame, col, bins: int = 10, lo=None, hi=None,

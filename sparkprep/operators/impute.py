@@ -31,11 +31,11 @@ def fit_median(df: DataFrame, cols: Iterable[str], exact: bool = True,
         row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy)
                        .alias(c) for c in cols]).first()
         return {c: row[c] for c in cols}
-    out = {}
-    for c in cols:
-        row = exact_quantiles(df.select(c), c, [0.5]).first()
-        out[c] = None if row is None else row["q_0"]
-    return out
+    # all columns in one job: stack to (column, value), quantiles per column
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (__col, __v)")
+    got = {r["__col"]: r["q_0"] for r in exact_quantiles(long, "__v", [0.5], by=["__col"]).collect()}
+    return {c: got.get(c) for c in cols}
 
 
 def apply_fill(df: DataFrame, values: dict) -> DataFrame:

@@ -156,18 +156,29 @@ def with_row_index(df: DataFrame, order_cols, name: str = "row_idx",
     return out.withColumn(name, F.col("__pos") + F.lit(start)).drop("__pos")
 
 
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = (),
+                 name: str = "__c") -> DataFrame:
+    """(group, value, count) of non-null values, map-side combined."""
+    return (df.where(F.col(value).isNotNull())
+            .groupBy(*_names(by), value).agg(F.count(F.lit(1)).alias(name)))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
-                    by: Sequence[str] = (), prefix: str = "q") -> DataFrame:
+                    by: Sequence[str] = (), prefix: str = "q",
+                    count_col: str | None = None) -> DataFrame:
     """Exact type-7 (linear interpolation) quantiles of ``value`` per group.
 
     Values are first reduced to ``(group, value, count)`` (map-side combined,
     so hot groups and repeated values cost little), then positioned with
-    :func:`prefix_sums`. Returns one row per group with columns
+    :func:`prefix_sums`. Pass ``count_col`` when ``df`` already is such a
+    table. Returns one row per group with columns
     ``{prefix}_0 .. {prefix}_{k-1}`` and ``n`` (non-null count).
     """
     by = _names(by)
-    vals = (df.where(F.col(value).isNotNull())
-            .groupBy(*by, value).agg(F.count(F.lit(1)).alias("__c")))
+    if count_col is None:
+        vals = value_counts(df, value, by)
+    else:
+        vals = df.withColumnRenamed(count_col, "__c")
     cum = prefix_sums(vals, [value], by=by, weight="__c", before="__b",
                       total="__n")
     targets = []

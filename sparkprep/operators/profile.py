@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.operators.ordering import exact_quantiles
+from sparkprep.operators.ordering import exact_quantiles, value_counts
 
 
 def summary(df: DataFrame, *stats: str) -> DataFrame:
@@ -112,18 +112,21 @@ def boxplot(df: DataFrame, by: str, col: str, coef: float = 1.5) -> DataFrame:
     extreme values within ``coef`` IQR of the box) and outlier count per group.
     Quartiles come from distributed exact quantiles; the fences are joined
     back (one row per group) for a single pass that finds whiskers."""
-    qs = exact_quantiles(df, col, [0.25, 0.5, 0.75], by=[by]).select(
+    # Both the quartiles and the whiskers work on (group, value, count):
+    # repeated values and hot groups are reduced before any shuffle.
+    vals = value_counts(df, col, [by], "__cnt")
+    qs = exact_quantiles(vals, col, [0.25, 0.5, 0.75], by=[by], count_col="__cnt").select(
         F.col(by).alias("__g"), F.col("q_0").alias("q1"), F.col("q_1").alias("median"),
         F.col("q_2").alias("q3"), F.col("n"))
     qs = qs.withColumns({"__lo": F.col("q1") - coef * (F.col("q3") - F.col("q1")),
                          "__hi": F.col("q3") + coef * (F.col("q3") - F.col("q1"))})
     x = F.col(col)
-    j = df.where(x.isNotNull()).join(qs, df[by].eqNullSafe(qs["__g"]))
+    j = vals.join(qs, vals[by].eqNullSafe(qs["__g"]))
     inside = (x >= F.col("__lo")) & (x <= F.col("__hi"))
     return (j.groupBy(by, "q1", "median", "q3", "n")
             .agg(F.min(F.when(inside, x)).alias("whisker_lo"),
                  F.max(F.when(inside, x)).alias("whisker_hi"),
-                 F.count_if(~inside).alias("n_outliers")))
+                 F.sum(F.when(~inside, F.col("__cnt")).otherwise(0)).alias("n_outliers")))
 
 
 def weights(df: DataFrame, col: str, damp: str = "sqrt") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkprep.functions import fixed_values as fv
 from sparkprep.operators import encode, evaluate, knn, split
 from sparkprep.plans.registry import q, query
+from sparkprep.session import materialize
 from sparkprep.sources.tables import table
 
 SEED = fv.SPLIT_SEED
@@ -142,7 +143,8 @@ SELECT s.vec_id, CAST(s.label AS BIGINT) AS actual, CAST(best.predicted AS BIGIN
 FROM s JOIN best ON s.vec_id = best.qid""")
 def knn_predict(spark, d):
     e = table(spark, d, "embeddings")
-    s = split.holdout(e, fv.VALID_FRACTION, SEED, "vec_id", "is_valid")
+    # the split table feeds the train side, the query side and the output
+    s = materialize(split.holdout(e, fv.VALID_FRACTION, SEED, "vec_id", "is_valid"))
     train = s.where(~F.col("is_valid"))
     pred = knn.knn_predict(train, s, fv.KNN_K, vec="embedding", label="label",
                            train_id="vec_id", query_id="vec_id")

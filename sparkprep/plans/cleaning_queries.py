@@ -248,7 +248,7 @@ def bed_and_policy(spark, d):
 SELECT doc_id,
   CAST(len(string_split(text, ',')) AS BIGINT) AS n_parts,
   coalesce(contains(lower(t), 'the'), false) AS has_the,
-  regexp_matches(t, 'the') AS detect_the,
+  CAST(regexp_matches(t, 'the') AS VARCHAR) AS detect_the,
   coalesce(upper(lg), 'Unknown') AS state,
   CAST(n_chars AS VARCHAR) AS zipcode,
   'has_' || lang AS tag,
@@ -265,7 +265,7 @@ def string_basics(spark, d):
         "doc_id",
         F.size(F.split("text", ",")).cast("long").alias("n_parts"),
         has_the.alias("has_the"),
-        X.detect(t, "the").alias("detect_the"),
+        X.detect(t, "the").cast("string").alias("detect_the"),   # null stays null
         F.coalesce(F.upper(lg), F.lit("Unknown")).alias("state"),
         F.col("n_chars").cast("string").alias("zipcode"),
         F.concat(F.lit("has_"), F.col("lang")).alias("tag"),

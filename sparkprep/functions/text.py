@@ -16,8 +16,13 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def strip_punct(col) -> Column:
-    return F.regexp_replace(_c(col), PUNCT, "")
+UNICODE_PUNCT = r"[\p{P}\p{S}]"
+
+
+def strip_punct(col, unicode: bool = False) -> Column:
+    """Drop ASCII punctuation, or every Unicode punctuation/symbol
+    character with ``unicode=True``."""
+    return F.regexp_replace(_c(col), UNICODE_PUNCT if unicode else PUNCT, "")
 
 
 def squash_ws(col) -> Column:

@@ -14,13 +14,19 @@ from sparkprep.operators.impute import fill_tokens
 from sparkprep.operators.ordering import with_row_index
 
 
+NA_NAME = "NA"
+
+
 def tokens(df: DataFrame, col: str, out: str | None = None,
            null_token: str | None = None) -> DataFrame:
-    """Split ``col`` on commas and normalise each element; with
-    ``null_token`` a null list becomes ``[null_token]``."""
+    """Split ``col`` on commas and normalise each element. A null list
+    becomes ``[null_token]`` when a placeholder is given, otherwise ``[null]``
+    (a missing value is its own level, encoded as ``has_NA``)."""
     t = list_tokens(col)
     if null_token is not None:
         t = fill_tokens(t, null_token)
+    else:
+        t = F.coalesce(t, F.array(F.lit(None).cast("string")))
     return df.withColumn(out or col, t)
 
 
@@ -62,7 +68,7 @@ def collect_vocabulary(df: DataFrame, list_col: str, max_terms: int = 1000) -> l
     silently truncating) beyond ``max_terms``: use :func:`long_form` or a
     sparse vector for open vocabularies."""
     toks = (df.select(F.explode(list_col).alias("t")).distinct()
-            .orderBy("t").limit(max_terms + 1).collect())
+            .orderBy(F.asc_nulls_last("t")).limit(max_terms + 1).collect())
     vocab = [r["t"] for r in toks]
     if len(vocab) > max_terms:
         raise ValueError(f"more than {max_terms} distinct tokens in {list_col}; "
@@ -75,10 +81,14 @@ def one_hot(df: DataFrame, list_col: str, vocab: Sequence[str] | None = None,
             drop_source: bool = True) -> DataFrame:
     """One 0/1 column per vocabulary token, emitted in a single projection."""
     vocab = list(vocab) if vocab is not None else collect_vocabulary(df, list_col, max_terms)
-    names = make_unique([f"{prefix}{t}" for t in vocab])
+    names = make_unique([f"{prefix}{NA_NAME if t is None else t}" for t in vocab])
     lst = F.col(list_col)
-    flags = [F.coalesce(F.array_contains(lst, F.lit(t)), F.lit(False)).cast("int").alias(n)
-             for t, n in zip(vocab, names)]
+
+    def hit(t):
+        if t is None:   # the missing-value level
+            return F.coalesce(F.exists(lst, lambda x: x.isNull()), F.lit(False))
+        return F.coalesce(F.array_contains(lst, F.lit(t)), F.lit(False))
+    flags = [hit(t).cast("int").alias(n) for t, n in zip(vocab, names)]
     keep = [F.col(f"`{c}`") for c in df.columns if not (drop_source and c == list_col)]
     return df.select(*keep, *flags)
 

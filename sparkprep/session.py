@@ -58,7 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or sc.getConf().get("spark.checkpoint.dir", None))
     if not configured:
         configured = tempfile.mkdtemp(prefix="sparkprep-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)

@@ -117,3 +117,19 @@ def test_knn_matches_brute_force(spark):
         order = np.lexsort((np.arange(40, 120), d))[:7]
         labs, cnt = np.unique(y[40:][order], return_counts=True)
         assert got[q] == labs[np.argmax(cnt)]
+
+
+def test_multi_hot_missing_list_is_its_own_level(spark):
+    df = spark.createDataFrame([(1, "Wifi, TV"), (2, None)], "id int, c string")
+    wide = multi.one_hot(multi.tokens(df, "c"), "c")
+    got = {r["id"]: r.asDict() for r in wide.collect()}
+    assert "has_NA" in wide.columns
+    assert got[1]["has_NA"] == 0 and got[1]["has_wifi"] == 1 and got[1]["has_tv"] == 1
+    assert got[2]["has_NA"] == 1 and got[2]["has_wifi"] == 0
+
+
+def test_unicode_punctuation_option(spark):
+    from sparkprep.functions.text import strip_punct
+    row = spark.createDataFrame([("«Café», d'été!",)], "c string").select(
+        strip_punct("c").alias("a"), strip_punct("c", unicode=True).alias("u")).first()
+    assert row["a"] == "«Café» dété" and row["u"] == "Café dété"

@@ -133,3 +133,38 @@ def test_unicode_punctuation_option(spark):
     row = spark.createDataFrame([("«Café», d'été!",)], "c string").select(
         strip_punct("c").alias("a"), strip_punct("c", unicode=True).alias("u")).first()
     assert row["a"] == "«Café» dété" and row["u"] == "Café dété"
+
+
+@pytest.mark.parametrize("n,frac,buckets", [(1, 0.5, 4), (7, 0.3, 3), (500, 0.3, 8), (500, 0.999, 5)])
+def test_hash_select_matches_brute_force(spark, n, frac, buckets):
+    import hashlib
+    import math
+    df = spark.range(0, n).withColumnRenamed("id", "k")
+    got = {r["k"] for r in split.hash_select(df, frac, 123, "k", "sel", n_buckets=buckets)
+           .where("sel").collect()}
+    order = sorted(range(n), key=lambda k: (hashlib.md5(f"123:{k}".encode()).hexdigest(), k))
+    assert got == set(order[:math.floor(n * frac)])
+
+
+def test_fractions_grouped_brute_force(spark):
+    import hashlib
+    import math
+    df = spark.range(0, 300).withColumnRenamed("id", "k")
+    out = split.fractions(df, [0.2, 0.7], 9, "k").collect()
+    for f in (0.2, 0.7):
+        got = {r["k"] for r in out if r["fraction"] == f}
+        order = sorted(range(300), key=lambda k: (hashlib.md5(f"9:{f}:{k}".encode()).hexdigest(), k))
+        assert got == set(order[:math.floor(300 * f)])
+
+
+def test_numeric_summary_and_null_split(spark):
+    from sparkprep.operators import profile
+    df = spark.createDataFrame([(1, 2.0, "a"), (2, None, None), (3, 4.0, "Not Mentioned")],
+                               "i int, x double, s string")
+    summ = {r["column_name"]: r for r in profile.numeric_summary(df).collect()}
+    assert set(summ) == {"i", "x"}
+    assert summ["x"]["n"] == 2 and summ["x"]["mean"] == 3.0 and summ["i"]["max"] == 3.0
+    ns = {r["category"]: r["n"] for r in profile.null_split(df, "s").collect()}
+    assert ns == {"NA": 1, "Non-NA": 2}
+    ss = {r["category"]: r["n"] for r in profile.null_split(df, "s", "Not Mentioned").collect()}
+    assert ss == {"Not Mentioned": 1, "Other": 2}   # null is not the sentinel

@@ -168,3 +168,17 @@ def feature_label_split(spark, d):
     x = encode.assemble(feats, names).select("doc_id", "features", "label")   # features / label
     back = encode.disassemble(x, "features", names)
     return back.select("doc_id", *[F.round(n, 6).alias(n) for n in names], "label")
+
+
+@query("confusion_table", f"""
+WITH b AS ({_LAB_SQL}),
+p AS (SELECT CASE WHEN score >= {fv.THRESHOLDS['forest']}::DOUBLE THEN 'YES' ELSE 'NO' END AS predicted, actual FROM b)
+SELECT predicted, CAST(count_if(actual = 'NO') AS BIGINT) AS actual_NO,
+       CAST(count_if(actual = 'YES') AS BIGINT) AS actual_YES
+FROM p GROUP BY predicted""")
+def confusion_table(spark, d):
+    from sparkprep.operators import agg
+    lab = labelled_docs(spark, d).select(
+        evaluate.classify(_score(), fv.THRESHOLDS["forest"], inclusive=True).alias("predicted"),
+        F.col("perfect_rating_score").alias("actual"))
+    return agg.crosstab(lab, "predicted", "actual", ["NO", "YES"], name_fmt="actual_{}")

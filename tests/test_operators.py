@@ -168,3 +168,12 @@ def test_numeric_summary_and_null_split(spark):
     assert ns == {"NA": 1, "Non-NA": 2}
     ss = {r["category"]: r["n"] for r in profile.null_split(df, "s", "Not Mentioned").collect()}
     assert ss == {"Not Mentioned": 1, "Other": 2}   # null is not the sentinel
+
+
+def test_sparse_one_hot_open_vocabulary(spark):
+    df = spark.createDataFrame([(1, "a,b"), (2, None), (3, "b")], "id int, c string")
+    toks = multi.tokens(df, "c", null_token="missing_value_placeholder")
+    model, out = multi.sparse_one_hot(toks, "c")
+    vocab = model.vocabulary
+    got = {r["id"]: {vocab[i] for i in r["features"].indices} for r in out.collect()}
+    assert got == {1: {"a", "b"}, 2: {"missing_value_placeholder"}, 3: {"b"}}

@@ -12,7 +12,7 @@ from sparkprep.functions import text as X
 from sparkprep.operators import cols, impute
 from sparkprep.plans.registry import (q, query, sql_first_match, sql_keywords,
                                       sql_list, sql_match)
-from sparkprep.sources.tables import table
+from sparkprep.sources.tables import table, text_table
 
 WS = "' ' || chr(9) || chr(13) || chr(10)"
 
@@ -33,7 +33,7 @@ FROM (SELECT {sql_keywords('d.text', fv.DESCRIPTION_KEYWORDS)} AS desc_category,
       FROM documents d JOIN labels l ON d.doc_id = l.doc_id) t
 GROUP BY desc_category, perfect_rating_score""")
 def category_by_rating(spark, d):
-    docs = table(spark, d, "documents").select(
+    docs = text_table(spark, d, "documents").select(
         "doc_id", R.keyword_category("text", fv.DESCRIPTION_KEYWORDS).alias("desc_category"))
     labels = table(spark, d, "labels").select(
         "doc_id", _yes_no(F.col("quality")).alias("perfect_rating_score"))
@@ -52,7 +52,7 @@ SELECT doc_id,
   split_part(text, ',', 1) AS first_clause
 FROM documents""")
 def keyword_category(spark, d):
-    docs = table(spark, d, "documents")
+    docs = text_table(spark, d, "documents")
     # lower-case each text once; every rule chain reads the same column
     low = docs.select("doc_id", "text", F.lower("text").alias("lt"))
     t = F.col("lt")
@@ -77,7 +77,7 @@ SELECT doc_id,
   {_flag_sql}
 FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE text END AS a FROM documents) t""")
 def flag_levels(spark, d):
-    docs = table(spark, d, "documents")
+    docs = text_table(spark, d, "documents")
     access = _nullif(F.col("doc_id") % 5 == 0, F.lower("text"))
     low = docs.select("doc_id", access.alias("la"))
     flags = low.select("doc_id", R.access_flags("la", lowered=True).alias("access_flags"))
@@ -89,7 +89,7 @@ def flag_levels(spark, d):
 SELECT doc_id, {sql_first_match('loc', fv.REGION_RULES, fv.REGION_DEFAULT)} AS region
 FROM (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE text END AS loc FROM documents) t""")
 def region_rules(spark, d):
-    docs = table(spark, d, "documents")
+    docs = text_table(spark, d, "documents")
     loc = _nullif(F.col("doc_id") % 4 == 0, F.col("text"))
     return docs.select("doc_id", R.region(loc).alias("region"))
 
@@ -98,7 +98,7 @@ def region_rules(spark, d):
 SELECT doc_id, {sql_first_match('text', fv.JURISDICTION_RULES, fv.JURISDICTION_DEFAULT)} AS jurisdiction_state
 FROM documents""")
 def jurisdiction_rules(spark, d):
-    docs = table(spark, d, "documents")
+    docs = text_table(spark, d, "documents")
     return docs.select("doc_id", R.jurisdiction_state("text").alias("jurisdiction_state"))
 
 
@@ -210,7 +210,7 @@ _rules_cond = " OR ".join(f"(contains(h, {q(t)}) AND contains(h, {q(w)}))"
 SELECT doc_id, CASE WHEN coalesce({_rules_cond}, false) THEN 'Yes' ELSE 'No' END AS has_rules
 FROM (SELECT doc_id, lower(CASE WHEN doc_id % 6 = 0 THEN NULL ELSE text END) AS h FROM documents) t""")
 def rules_presence(spark, d):
-    docs = table(spark, d, "documents")
+    docs = text_table(spark, d, "documents")
     rules_txt = _nullif(F.col("doc_id") % 6 == 0, F.col("text"))
     return docs.select("doc_id", R.has_rules(rules_txt).alias("has_rules"))
 
@@ -257,7 +257,7 @@ SELECT doc_id,
 FROM (SELECT *, CASE WHEN doc_id % 8 = 0 THEN NULL ELSE text END AS t,
              CASE WHEN doc_id % 5 = 0 THEN NULL ELSE lang END AS lg FROM documents) s""")
 def string_basics(spark, d):
-    docs = table(spark, d, "documents")
+    docs = text_table(spark, d, "documents")
     t = _nullif(F.col("doc_id") % 8 == 0, F.col("text"))
     lg = _nullif(F.col("doc_id") % 5 == 0, F.col("lang"))
     has_the = X.has(t, "the")

@@ -10,7 +10,7 @@ from sparkprep.functions.text import list_tokens
 from sparkprep.operators import join, multi, split, textmine
 from sparkprep.operators.impute import fill_tokens
 from sparkprep.plans.registry import q, query, sql_list
-from sparkprep.sources.tables import table
+from sparkprep.sources.tables import table, text_table
 
 STOP_SQL = sql_list(fv.ENGLISH_STOP_WORDS)
 WORDS_SQL = r"regexp_split_to_array(lower({c}), '[^\p{{L}}\p{{N}}'']+')"
@@ -38,7 +38,7 @@ SELECT word, CAST(n AS BIGINT) AS n,
   CAST((SELECT sum(n) FROM c) AS BIGINT) AS total
 FROM c WHERE word NOT IN {STOP_SQL} AND NOT regexp_matches(word, '\\d')""")
 def stopword_antijoin(spark, d):
-    docs = table(spark, d, "documents")
+    docs = text_table(spark, d, "documents")
     # One aggregate yields per-word counts and the grand total (rollup row
     # with a null word); both branches reuse its exchange, so every text is
     # tokenised once.
@@ -60,7 +60,7 @@ SELECT word, CAST(count(*) AS BIGINT) AS n FROM w
 WHERE word <> '' AND NOT regexp_matches(word, '\\d')
 GROUP BY word ORDER BY n DESC, word LIMIT 10""")
 def token_filters(spark, d):
-    conv = table(spark, d, "conversations")
+    conv = text_table(spark, d, "conversations")
     t = F.when(F.col("turn") % 4 == 3, F.lit(None)).otherwise(F.col("text"))
     present = conv.select(t.alias("t")).where(F.col("t").isNotNull())
     words = textmine.unnest_tokens(present, "t").where(~F.col("word").rlike(r"\d"))
@@ -74,7 +74,7 @@ v AS (SELECT DISTINCT word FROM w WHERE word <> '' AND word NOT IN {STOP_SQL}
 SELECT d.doc_id, CASE WHEN v.word IS NOT NULL THEN 'Yes' ELSE 'No' END AS has_space_features
 FROM documents d LEFT JOIN v ON d.lang = v.word""")
 def space_membership(spark, d):
-    docs = table(spark, d, "documents")
+    docs = text_table(spark, d, "documents")
     _, kept = _kept_words(spark, textmine.unnest_tokens(docs, "text"))
     flagged = join.flag(docs.select("doc_id", "lang"), kept, "lang", "word",
                         "has_space_features")
@@ -91,7 +91,7 @@ v AS (SELECT term, sum(n) AS term_count, count(*) AS doc_count FROM dtm GROUP BY
       ORDER BY term_count DESC, term LIMIT {fv.VOCAB_TERM_MAX})
 SELECT term, CAST(term_count AS BIGINT) AS term_count, CAST(doc_count AS BIGINT) AS doc_count FROM v""")
 def dtm_topterms(spark, d):
-    docs = table(spark, d, "documents")
+    docs = text_table(spark, d, "documents")
     dtm = textmine.doc_term_counts(textmine.clean_term_rows(docs, "doc_id", "text"), "doc_id")
     vocab = textmine.prune(textmine.vocabulary(dtm))
     kept = textmine.restrict(dtm, vocab)
@@ -111,7 +111,7 @@ v AS (SELECT term, sum(n) AS term_count FROM dtm WHERE NOT is_valid GROUP BY ter
       ORDER BY term_count DESC, term LIMIT {fv.VOCAB_TERM_MAX})
 SELECT doc_id, dtm.term, CAST(n AS BIGINT) AS n FROM dtm JOIN v ON dtm.term = v.term WHERE is_valid""")
 def dtm_train_vocab(spark, d):
-    docs = split.holdout(table(spark, d, "documents").select("doc_id", "text"),
+    docs = split.holdout(text_table(spark, d, "documents").select("doc_id", "text"),
                          fv.VALID_FRACTION, fv.SPLIT_SEED, "doc_id", "is_valid")
     dtm = textmine.doc_term_counts(
         textmine.clean_term_rows(docs, ["doc_id", "is_valid"], "text"), ["doc_id", "is_valid"])

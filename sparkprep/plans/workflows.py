@@ -15,7 +15,7 @@ from sparkprep.operators import encode, evaluate, join, split
 from sparkprep.plans import models
 from sparkprep.session import materialize, shared_path
 from sparkprep.sources.files import write_predictions
-from sparkprep.sources.tables import table
+from sparkprep.sources.tables import table, text_table
 
 NUMERIC = ["n_chars_f", "log_chars", "n_commas",
            *[name for name, _ in fv.ACCESS_FLAGS]]
@@ -28,7 +28,7 @@ def listing_features(spark, d: str, labelled: bool | None = True) -> DataFrame:
     """Feature table from documents: numeric size features, seven access
     flags and rule-based categories; joined to the YES/NO target
     (``labelled=True``), restricted to unlabelled rows (``False``), or all."""
-    docs = table(spark, d, "documents").withColumn("lt", F.lower("text"))
+    docs = text_table(spark, d, "documents").withColumn("lt", F.lower("text"))
     flags = R.access_flags("lt", lowered=True)
     feats = docs.select(
         "doc_id", "lang", "source",

@@ -78,8 +78,17 @@ def candidates(train: DataFrame, queries: DataFrame, k: int, vec: str = "embeddi
                        F.col(vec).cast("array<double>").alias("qvec"))
     q = q.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(n_blocks)).cast("int")) \
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
-    return (q.groupBy("block", "chunk")
-            .cogroup(t.groupBy("block", "chunk"))
+    # One task per (block, chunk) group, up to the cluster's shuffle width.
+    # An explicit partition count is kept by AQE (it would otherwise merge the
+    # small shuffle blocks and serialise the CPU-bound groups into one task).
+    groups = n_blocks * n_chunks
+    width = max(par, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    n_parts = max(1, min(groups, width))
+    gid = (F.col("block") * F.lit(n_chunks) + F.col("chunk")).alias("gid")
+    t = t.select("*", gid).repartition(n_parts, "gid")
+    q = q.select("*", gid).repartition(n_parts, "gid")
+    return (q.groupBy("gid")
+            .cogroup(t.groupBy("gid"))
             .applyInPandas(_topk_fn(k), _SCHEMA))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions import fixed_values as fv
 from sparkprep.operators.ordering import default_buckets, with_row_index
+from sparkprep.sources.tables import spread
 
 
 def hash_text(seed, key: str, salt: Column | None = None) -> Column:
@@ -96,7 +97,8 @@ def fractions(df: DataFrame, fracs: Sequence[float], seed, key: str,
     """For each fraction f an independent hashed subset of ``floor(f * n)``
     rows; all subsets are produced by one job (rows tagged with f)."""
     arr = F.array(*[F.lit(float(f)) for f in fracs])
-    tagged = df.withColumn(name, F.explode(arr))
+    # spread before the explode (len(fracs) x rows are hashed afterwards)
+    tagged = spread(df).withColumn(name, F.explode(arr))
     sel = hash_select(tagged, F.col(name), seed, key, "__sel", by=[name], salt=F.col(name))
     return sel.where("__sel").drop("__sel")
 

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from sparkprep.operators import agg, drift, evaluate, impute, join, knn, multi, split
 

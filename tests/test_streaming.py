@@ -38,3 +38,18 @@ def test_stream_matches_batch(spark):
         "prediction", F.when(F.col("prob_yes") >= 0.46, "YES").otherwise("NO"))
     want = {r["doc_id"]: (r["prob_yes"], r["prediction"]) for r in batch.collect()}
     assert got == want
+
+
+def test_stream_to_parquet_sink_resumable(spark):
+    from sparkprep.session import shared_path
+    lab = listing_features(spark, SF, True)
+    model = models.random_forest(SPEC, lab, trees=5)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = shared_path(spark, "scores-out")
+    stream = scoring.score_stream(spark, model, f"{SF}/", docs.schema, _features, "doc_id", 0.46,
+                                  glob="documents.parquet")
+    q = scoring.start(stream, sink_path=out, trigger_once=True)
+    q.awaitTermination(120)
+    written = spark.read.parquet(out)
+    assert written.count() == docs.count()
+    assert set(written.columns) == {"doc_id", "prob_yes", "prediction"}

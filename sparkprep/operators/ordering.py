@@ -49,13 +49,21 @@ def _names(cols) -> list[str]:
     return list(cols or [])
 
 
+MAX_BUCKETS = 100_000
+
+
 def default_buckets(df: DataFrame) -> int:
-    return max(8, 4 * shuffle_partitions(df.sparkSession))
+    """Four ranges per shuffle partition (so per-range windows shrink as the
+    cluster's shuffle width grows), capped to keep the split list small."""
+    return min(MAX_BUCKETS, max(8, 4 * shuffle_partitions(df.sparkSession)))
 
 
 def range_splits(df: DataFrame, key: Column, n_buckets: int,
-                 accuracy: int = 10000) -> list[float]:
-    """Bucket edges at approximate quantiles of ``key`` (bounded memory)."""
+                 accuracy: int | None = None) -> list[float]:
+    """Bucket edges at approximate quantiles of ``key`` (bounded memory). The
+    sketch accuracy scales with the number of ranges so neighbouring edges
+    stay distinguishable."""
+    accuracy = accuracy or min(1_000_000, max(10_000, 4 * n_buckets))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     row = df.select(F.percentile_approx(key.cast("double"), probs, accuracy)
                     .alias("q")).first()

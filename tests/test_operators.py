@@ -176,3 +176,29 @@ def test_sparse_one_hot_open_vocabulary(spark):
     vocab = model.vocabulary
     got = {r["id"]: {vocab[i] for i in r["features"].indices} for r in out.collect()}
     assert got == {1: {"a", "b"}, 2: {"missing_value_placeholder"}, 3: {"b"}}
+
+
+def test_column_management(spark):
+    from pyspark.sql import functions as F
+
+    from sparkprep.operators import cols
+    a = spark.createDataFrame([(1, "X", 2.5, "y")], "`order key` int, status string, `total price` double, label string")
+    b = spark.createDataFrame([(1, "x", 3.0)], "`order key` int, status string, `line count` double")
+    a, b = cols.rename_pattern(a, " ", "_"), cols.rename_pattern(b, " ", "_")
+    assert a.columns == ["order_key", "status", "total_price", "label"]
+    la, lb = cols.align(a, b, keep_left=["label"])
+    assert la.columns == ["order_key", "status", "label"] and lb.columns == ["order_key", "status"]
+    low = cols.map_where(la, cols.is_string, F.lower).first()
+    assert low["status"] == "x" and low["label"] == "y"
+    assert cols.drop(a, "label", "missing").columns == ["order_key", "status", "total_price"]
+    with pytest.raises(ValueError):
+        cols.keep(a, ["order_key", "nope"])
+
+
+def test_long_form_and_drift_verdict(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, None)], "id int, t array<string>")
+    assert sorted(map(tuple, multi.long_form(df, "id", "t").collect())) == [(1, "a"), (1, "b")]
+    tr = spark.createDataFrame([("a",), ("b",)], "c string")
+    te = spark.createDataFrame([("a",), ("c",)], "c string")
+    v = drift.verdict(drift.levels(tr, te)).first()
+    assert (v["column_name"], v["n_train_only"], v["n_test_only"]) == ("c", 1, 1)

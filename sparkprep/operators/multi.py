@@ -12,6 +12,7 @@ from sparkprep.functions import fixed_values as fv
 from sparkprep.functions.text import list_tokens
 from sparkprep.operators.impute import fill_tokens
 from sparkprep.operators.ordering import with_row_index
+from sparkprep.session import materialize
 
 
 NA_NAME = "NA"
@@ -38,7 +39,9 @@ def vocabulary(df: DataFrame, list_col: str, order_col: str) -> DataFrame:
               .agg(F.min(F.struct(F.col(order_col), F.col("pos"))).alias("f"))
               .select("token", F.col(f"f.{order_col}").alias("first_row"),
                       F.col("f.pos").alias("first_pos")))
-    return with_row_index(firsts, ["first_row", "first_pos"], "vocab_idx")
+    # one row per distinct token: materialise once, so the ranking passes do
+    # not re-run the aggregation over the whole input
+    return with_row_index(materialize(firsts), ["first_row", "first_pos"], "vocab_idx")
 
 
 def make_unique(names: Sequence[str]) -> list[str]:

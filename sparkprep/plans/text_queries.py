@@ -171,3 +171,19 @@ def list_vocabulary(spark, d):
     toks = lists.select("k", list_tokens("txt").alias("toks"))
     voc = multi.vocabulary(toks, "toks", "k")
     return voc.select("token", "first_row", "first_pos", "vocab_idx")
+
+
+_na_hot_sql = ",\n  ".join(
+    f"CAST(coalesce(list_contains(toks, {q(t)}), false) AS INTEGER) AS has_{t}" for t in _LIST_SPARK_TOKENS)
+
+
+@query("multi_hot_na", f"""{_LIST_SQL}
+SELECT k AS l_orderkey,
+  {_na_hot_sql},
+  CASE WHEN toks IS NULL THEN 1 ELSE 0 END AS has_NA
+FROM t""")
+def multi_hot_na(spark, d):
+    """Multi-hot without a placeholder: a missing list is its own level (has_NA)."""
+    lists = _order_lists(spark, d).withColumnRenamed("k", "l_orderkey")
+    toks = multi.tokens(lists, "txt")
+    return multi.one_hot(toks, "txt", prefix="has_")

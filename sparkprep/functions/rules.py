@@ -139,8 +139,3 @@ def has_rules(col, lowered: bool = False) -> Column:
             c = lowered.contains(topic) & lowered.contains(word)
             cond = c if cond is None else (cond | c)
     return F.when(F.coalesce(cond, F.lit(False)), F.lit("Yes")).otherwise(F.lit("No"))
-
-
-def flag_level(col, level: str = fv.NOT_MENTIONED) -> Column:
-    """0/1 flag -> "0"/"1", null -> ``level``."""
-    return F.coalesce(_c(col).cast("string"), F.lit(level))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.functions import fixed_values as fv
 from sparkprep.functions.text import list_tokens
-from sparkprep.operators import join, multi, split, textmine
+from sparkprep.operators import agg, join, multi, split, textmine
 from sparkprep.operators.impute import fill_tokens
 from sparkprep.plans.registry import q, query, sql_list
 from sparkprep.sources.tables import table, text_table
@@ -64,7 +64,7 @@ def token_filters(spark, d):
     t = F.when(F.col("turn") % 4 == 3, F.lit(None)).otherwise(F.col("text"))
     present = conv.select(t.alias("t")).where(F.col("t").isNotNull())
     words = textmine.unnest_tokens(present, "t").where(~F.col("word").rlike(r"\d"))
-    return textmine.word_counts(words).orderBy(F.desc("n"), "word").limit(10)
+    return agg.top_k(textmine.word_counts(words), 10, [F.desc("n"), F.asc("word")])
 
 
 @query("space_membership", f"""

@@ -103,6 +103,12 @@ RULE_WORDS = ["allowed", "no"]
 # Space-word keywords.
 SPACE_KEYWORDS = ["balcony", "bedroom", "kitchen", "bathroom"]
 
+# Exploratory chart parameters: 2-D density bins, histogram breaks and the
+# San Francisco Bay Area window (lon_min, lon_max, lat_min, lat_max).
+BIN2D_BINS = 100
+HIST_BREAKS = 10
+BAY_AREA_BOUNDS = (-123.0, -121.5, 37.0, 38.5)
+
 # Sentinels and constants.
 NOT_MENTIONED = "Not Mentioned"
 MISSING_CITY = "Missing"

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkprep.functions import fixed_values as fv
 from sparkprep.operators.ordering import exact_quantiles, value_counts
 
 
@@ -72,7 +73,7 @@ def bin_index(x: Column, lo, hi, bins: int) -> Column:
     return F.least(b, F.lit(bins - 1)).cast("int")
 
 
-def histogram(df: DataFrame, col, bins: int = 10, lo=None, hi=None,
+def histogram(df: DataFrame, col, bins: int = fv.HIST_BREAKS, lo=None, hi=None,
               name: str = "bin") -> DataFrame:
     """Counts per equal-width bin; bounds default to the data extent
     (computed as scalar subqueries, so the plan stays one job)."""
@@ -83,7 +84,7 @@ def histogram(df: DataFrame, col, bins: int = 10, lo=None, hi=None,
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def bin2d(df: DataFrame, x: str, y: str, bins: int = 100,
+def bin2d(df: DataFrame, x: str, y: str, bins: int = fv.BIN2D_BINS,
           bounds: Sequence[float] | None = None) -> DataFrame:
     """2-D bin counts; ``bounds`` = (x_lo, x_hi, y_lo, y_hi) also filters rows
     outside the window (axis limits drop them)."""
@@ -101,7 +102,8 @@ def bin2d(df: DataFrame, x: str, y: str, bins: int = 100,
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def bbox(df: DataFrame, x: str, y: str, bounds: Sequence[float]) -> DataFrame:
+def bbox(df: DataFrame, x: str, y: str,
+         bounds: Sequence[float] = fv.BAY_AREA_BOUNDS) -> DataFrame:
     """Rows with x in [x_lo, x_hi] and y in [y_lo, y_hi] (pushed into the scan)."""
     x_lo, x_hi, y_lo, y_hi = bounds
     return df.where(F.col(x).between(x_lo, x_hi) & F.col(y).between(y_lo, y_hi))

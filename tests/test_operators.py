@@ -1,6 +1,7 @@
 """Imputation, splits, folds, multi-hot, joins, drift, metrics and KNN."""
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 from sparkprep.operators import agg, drift, evaluate, impute, join, knn, multi, split
@@ -72,9 +73,12 @@ def test_top_n_keeps_ties(spark):
 
 def test_positional_join_count_mismatch(spark):
     a = spark.range(3).withColumnRenamed("id", "x")
-    b = spark.range(4).withColumnRenamed("id", "y")
-    with pytest.raises(ValueError):
-        join.positional(a, b, ["x"], ["y"])
+    for n in (4, 0):        # a longer and an empty right side
+        b = spark.range(n).withColumnRenamed("id", "y")
+        with pytest.raises(Exception, match="different row counts"):
+            join.positional(a, b, ["x"], ["y"]).collect()
+    same = join.positional(a, spark.range(3).withColumnRenamed("id", "y"), ["x"], [-F.col("y")])
+    assert sorted((r["x"], r["y"]) for r in same.collect()) == [(0, 2), (1, 1), (2, 0)]
 
 
 def test_distinct_first_and_enrich_padding(spark):

@@ -1,5 +1,6 @@
-"""Model queries (Spark ML). Not SQL-expressible: checked rows-only by the
-driver and by contract tests in tests/test_models.py."""
+"""Model queries (Spark ML). The fits are not SQL-expressible: they are
+checked rows-only by the driver and by contract tests in tests/test_models.py.
+The feature table they all start from is SQL-checked."""
 
 from __future__ import annotations
 
@@ -75,3 +76,31 @@ def learning_curve(spark, d):
 @query("fit_score")
 def fit_score(spark, d):
     return workflows.fit_score_write(spark, d, kind="forest")
+
+
+def _feature_sql():
+    from sparkprep.plans.registry import sql_first_match, sql_keywords, sql_match
+    flags = ",\n  ".join(
+        f"CAST(coalesce(CAST({sql_match('lt', p)} AS INTEGER), 0) AS DOUBLE) AS {name}"
+        for name, p in fv.ACCESS_FLAGS)
+    rules = " OR ".join(f"(contains(lt, '{t}') AND contains(lt, '{w}'))"
+                        for t in fv.RULE_TOPICS for w in fv.RULE_WORDS)
+    return f"""
+SELECT d.doc_id, lang, source, CAST(n_chars AS DOUBLE) AS n_chars_f, round(ln(1 + n_chars), 6) AS log_chars,
+  CAST(len(string_split(text, ',')) - 1 AS DOUBLE) AS n_commas,
+  {flags},
+  {sql_keywords('lt', fv.DESCRIPTION_KEYWORDS)} AS desc_category,
+  {sql_keywords('lt', fv.TRANSIT_KEYWORDS)} AS transit_category,
+  {sql_first_match('lt', fv.HOST_MENTION_RULES, fv.HOST_MENTION_DEFAULT)} AS host_mentions,
+  CASE WHEN coalesce({rules}, false) THEN 'Yes' ELSE 'No' END AS has_rules,
+  CASE WHEN l.quality = 1 THEN 'YES' ELSE 'NO' END AS perfect_rating_score,
+  CAST(l.quality = 1 AS DOUBLE) AS label,
+  CASE WHEN l.quality = 1 THEN {fv.CLASS_WEIGHTS['YES']} ELSE {fv.CLASS_WEIGHTS['NO']} END::DOUBLE AS weight
+FROM (SELECT *, lower(text) AS lt FROM documents) d JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+@query("listing_feature_table", _feature_sql())
+def listing_feature_table(spark, d):
+    """The model input: every labelled listing with its derived features."""
+    t = listing_features(spark, d, True)
+    return t.withColumn("log_chars", F.round("log_chars", 6))

@@ -81,7 +81,8 @@ def _bucketize(df: DataFrame, first: Column, n_buckets: int,
         lo, hi = key_range
         width = (hi - lo) / n_buckets
         b = F.floor((first.cast("double") - F.lit(float(lo))) / F.lit(width))
-        return df.withColumn(_BKT, F.least(F.greatest(b, F.lit(0)), F.lit(n_buckets - 1)).cast("int"))
+        b = F.coalesce(F.least(F.greatest(b, F.lit(0)), F.lit(n_buckets - 1)).cast("int"), F.lit(-1))
+        return df.withColumn(_BKT, b)
     keyed = df.withColumn(_KEY, first.cast("double"))
     splits = range_splits(keyed, F.col(_KEY), n_buckets)
     if len(splits) < 3:

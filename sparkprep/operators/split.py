@@ -23,7 +23,8 @@ def hash_text(seed, key: str, salt: Column | None = None) -> Column:
     parts = [F.lit(f"{seed}:")]
     if salt is not None:
         parts += [salt.cast("string"), F.lit(":")]
-    parts.append(F.col(key).cast("string"))
+    # a null key hashes like an empty key: every row keeps a hash and a bucket
+    parts.append(F.coalesce(F.col(key).cast("string"), F.lit("")))
     return F.md5(F.concat(*parts))
 
 

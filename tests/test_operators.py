@@ -206,3 +206,9 @@ def test_long_form_and_drift_verdict(spark):
     te = spark.createDataFrame([("a",), ("c",)], "c string")
     v = drift.verdict(drift.levels(tr, te)).first()
     assert (v["column_name"], v["n_train_only"], v["n_test_only"]) == ("c", 1, 1)
+
+
+def test_hash_select_keeps_rows_with_null_keys(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,), (None,), (3,)], "k int")
+    out = split.holdout(df, 0.4, 5, "k", "v").collect()
+    assert len(out) == 5 and sum(1 for r in out if r["v"]) == 2

@@ -85,6 +85,10 @@ def one_hot(df: DataFrame, list_col: str, vocab: Sequence[str] | None = None,
     """One 0/1 column per vocabulary token, emitted in a single projection."""
     vocab = list(vocab) if vocab is not None else collect_vocabulary(df, list_col, max_terms)
     names = make_unique([f"{prefix}{NA_NAME if t is None else t}" for t in vocab])
+    # a name already used by another column (e.g. the same token in an
+    # earlier list column) is qualified with this list's column name
+    taken = set(df.columns)
+    names = [f"{prefix}{list_col}_{n[len(prefix):]}" if n in taken else n for n in names]
     lst = F.col(list_col)
 
     def hit(t):

@@ -137,3 +137,33 @@ def enriched_forest(spark, d: str, trees: int = fv.FOREST_TREES) -> DataFrame:
     thr = fv.THRESHOLDS["enriched_forest"]
     return metrics_for(model, parts.where(F.col("split") != "valid_final"), thr,
                        by=["split"])
+
+
+def auto_spec(df: DataFrame, exclude=()) -> tuple[DataFrame, models.FeatureSpec]:
+    """Feature spec from column types: numeric columns pass through, text
+    columns are categorical, dates become days since the reference date
+    (added as ``<col>_days``). Returns the table with those date columns."""
+    skip = set(exclude)
+    types = dict(df.dtypes)
+    dates = [c for c, t in types.items() if t in ("date", "timestamp", "timestamp_ntz") and c not in skip]
+    out = df.withColumns({f"{c}_days": F.datediff(F.to_date(c), F.to_date(F.lit(fv.REFERENCE_DATE)))
+                          .cast("double") for c in dates})
+    number_types = ("double", "float", "int", "bigint", "smallint", "tinyint")
+    numeric = [c for c, t in out.dtypes
+               if c not in skip and c not in dates
+               and (t in number_types or t.startswith("decimal"))]
+    categorical = [c for c, t in out.dtypes if t == "string" and c not in skip]
+    return out, models.FeatureSpec(numeric, categorical)
+
+
+def forest_report(df: DataFrame, target: str = TARGET, key: str = "row_id",
+                  trees: int = fv.FOREST_TREES, threshold: float = fv.THRESHOLDS["forest"]) -> DataFrame:
+    """Nested hashed split of a cleaned table, class-weighted forest on the
+    training part, and accuracy / TPR / FPR on the training and validation
+    parts at ``threshold`` (inclusive)."""
+    lab = df.withColumns({"label": encode.binary_label(target).cast("double"),
+                          "weight": encode.class_weight(target, fv.CLASS_WEIGHTS)})
+    lab, spec = auto_spec(lab, exclude=[key, target, "label", "weight"])
+    parts = materialize(split.nested_holdout(lab, key))
+    model = models.random_forest(spec, parts.where(F.col("split") == "train"), trees=trees)
+    return metrics_for(model, parts.where(F.col("split") != "valid_final"), threshold, by=["split"])

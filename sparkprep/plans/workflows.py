@@ -76,6 +76,11 @@ def fit_score_write(spark, d: str, kind: str = "forest", trees: int = fv.FOREST_
         lab = lab.withColumn("weight", encode.class_weight(TARGET, {"YES": fv.BOOST_POS_WEIGHT}))
         model = models.gbt(SPEC, lab, rounds=100)
         thr, inc = 0.45, False
+    elif kind == "lasso":
+        from pyspark.ml import PipelineModel
+        prep, cvm, _, _ = models.lasso_cv(SPEC, lab)
+        model = PipelineModel(stages=[*prep.stages, cvm.bestModel])
+        thr, inc = fv.THRESHOLDS["default"], False
     else:
         model = models.logistic(SPEC, lab)
         thr, inc = fv.THRESHOLDS["default"], False

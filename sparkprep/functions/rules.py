@@ -129,13 +129,18 @@ def rate_level(col) -> Column:
             .when(c.isNull(), F.lit("MISSING")))
 
 
-def has_rules(col, lowered: bool = False) -> Column:
+def has_rules(col, lowered: bool = False, word_boundary: bool = False) -> Column:
     """Yes when a topic word co-occurs with a permission/prohibition word
-    (substring tests on lower-cased text); null text -> No."""
+    (substring tests on lower-cased text, so "not" and "now" count as "no",
+    as in the original); ``word_boundary=True`` matches whole words instead.
+    Null text -> No."""
     lowered = _c(col) if lowered else F.lower(_c(col))
+
+    def test(w):
+        return lowered.rlike(rf"\b{w}\b") if word_boundary else lowered.contains(w)
     cond = None
     for topic in fv.RULE_TOPICS:
         for word in fv.RULE_WORDS:
-            c = lowered.contains(topic) & lowered.contains(word)
+            c = test(topic) & test(word)
             cond = c if cond is None else (cond | c)
     return F.when(F.coalesce(cond, F.lit(False)), F.lit("Yes")).otherwise(F.lit("No"))

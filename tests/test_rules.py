@@ -109,3 +109,10 @@ def test_list_tokens_and_fill(spark):
     out = df.select(fill_tokens(X.list_tokens(F.col("c")), fv.MISSING_TOKEN).alias("t")).collect()
     assert out[0]["t"] == ["tv", "wifi", "airconditioning", ""]
     assert out[1]["t"] == [fv.MISSING_TOKEN]
+
+
+def test_has_rules_word_boundary_option(spark):
+    txt = "pets are not a problem"
+    assert one(spark, R.has_rules(F.col("c")), txt) == "Yes"            # "not" contains "no"
+    assert one(spark, R.has_rules(F.col("c"), word_boundary=True), txt) == "No"
+    assert one(spark, R.has_rules(F.col("c"), word_boundary=True), "no pets") == "Yes"

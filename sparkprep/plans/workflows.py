@@ -76,6 +76,14 @@ def fit_score_write(spark, d: str, kind: str = "forest", trees: int = fv.FOREST_
         lab = lab.withColumn("weight", encode.class_weight(TARGET, {"YES": fv.BOOST_POS_WEIGHT}))
         model = models.gbt(SPEC, lab, rounds=100)
         thr, inc = 0.45, False
+    elif kind == "gbt_early_stop":
+        # early stopping needs labels: hold out a hashed slice of the
+        # labelled rows (the unlabelled table cannot serve as validation)
+        lab = split.holdout(lab.withColumn("weight", F.lit(1.0)), fv.FINAL_FRACTION,
+                            fv.SPLIT_SEED, "doc_id", "is_valid")
+        model = models.gbt(SPEC, lab, rounds=200, step=0.28, max_depth=6, min_node=35,
+                           subsample=0.8, feature_fraction="0.8", validation_col="is_valid")
+        thr, inc = fv.THRESHOLDS["default"], False
     elif kind == "lasso":
         from pyspark.ml import PipelineModel
         prep, cvm, _, _ = models.lasso_cv(SPEC, lab)

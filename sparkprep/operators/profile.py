@@ -109,15 +109,25 @@ def bbox(df: DataFrame, x: str, y: str,
     return df.where(F.col(x).between(x_lo, x_hi) & F.col(y).between(y_lo, y_hi))
 
 
-def boxplot(df: DataFrame, by: str, col: str, coef: float = 1.5) -> DataFrame:
-    """Q1, median, Q3 (exact, linear interpolation), whisker ends (most
-    extreme values within ``coef`` IQR of the box) and outlier count per group.
-    Quartiles come from distributed exact quantiles; the fences are joined
-    back (one row per group) for a single pass that finds whiskers."""
+def boxplot(df: DataFrame, by: str, col: str, coef: float = 1.5,
+            exact: bool = True, accuracy: int = 10000) -> DataFrame:
+    """Q1, median, Q3 (linear interpolation), whisker ends (most extreme
+    values within ``coef`` IQR of the box) and outlier count per group.
+    Quartiles come from distributed exact quantiles, or with ``exact=False``
+    from one ``percentile_approx`` aggregate (a bounded sketch per group,
+    rank error about 1/accuracy); the fences are joined back (one row per
+    group) for a single pass that finds whiskers."""
     # Both the quartiles and the whiskers work on (group, value, count):
     # repeated values and hot groups are reduced before any shuffle.
     vals = value_counts(df, col, [by], "__cnt")
-    qs = exact_quantiles(vals, col, [0.25, 0.5, 0.75], by=[by], count_col="__cnt").select(
+    if exact:
+        qs = exact_quantiles(vals, col, [0.25, 0.5, 0.75], by=[by], count_col="__cnt")
+    else:
+        q = F.percentile_approx(F.col(col).cast("double"), [0.25, 0.5, 0.75], accuracy)
+        qs = (df.where(F.col(col).isNotNull()).groupBy(by)
+              .agg(q.alias("__q"), F.count(F.lit(1)).alias("n"))
+              .select(by, *[F.col("__q")[i].alias(f"q_{i}") for i in range(3)], "n"))
+    qs = qs.select(
         F.col(by).alias("__g"), F.col("q_0").alias("q1"), F.col("q_1").alias("median"),
         F.col("q_2").alias("q3"), F.col("n"))
     qs = qs.withColumns({"__lo": F.col("q1") - coef * (F.col("q3") - F.col("q1")),

@@ -212,3 +212,16 @@ def test_hash_select_keeps_rows_with_null_keys(spark):
     df = spark.createDataFrame([(None,), (1,), (2,), (None,), (3,)], "k int")
     out = split.holdout(df, 0.4, 5, "k", "v").collect()
     assert len(out) == 5 and sum(1 for r in out if r["v"]) == 2
+
+
+def test_boxplot_approx_close_to_exact(spark):
+    from sparkprep.operators import profile
+    rng = np.random.default_rng(5)
+    rows = [(int(g), float(v)) for g, v in zip(rng.integers(0, 3, 3000), rng.normal(100, 15, 3000))]
+    df = spark.createDataFrame(rows, "g int, x double")
+    ex = {r["g"]: r for r in profile.boxplot(df, "g", "x").collect()}
+    ap = {r["g"]: r for r in profile.boxplot(df, "g", "x", exact=False).collect()}
+    for g in ex:
+        assert ap[g]["n"] == ex[g]["n"]
+        for k in ("q1", "median", "q3"):
+            assert abs(ap[g][k] - ex[g][k]) < 1.0     # sketch rank error << IQR

@@ -104,3 +104,50 @@ def listing_feature_table(spark, d):
     """The model input: every labelled listing with its derived features."""
     t = listing_features(spark, d, True)
     return t.withColumn("log_chars", F.round("log_chars", 6))
+
+
+def listing_adapter(spark, d):
+    """A listing-shaped table derived from ``documents`` (FIXTURES.md §1
+    columns): texts from the document text, categories from lang/source,
+    numbers and money/percent text from the character count, nulls by key."""
+    from sparkprep.sources.tables import text_table
+    docs = text_table(spark, d, "documents")
+    k, n = F.col("doc_id"), F.col("n_chars")
+
+    def null_every(m, v):
+        return F.when(k % m == 0, F.lit(None)).otherwise(v)
+
+    def money(v):
+        return F.concat(F.lit("$"), F.format_number(v, 2))
+    return docs.select(
+        k.alias("row_id"),
+        F.col("text").alias("description"), null_every(7, F.col("text")).alias("neighborhood_overview"),
+        F.col("text").alias("host_about"), F.col("text").alias("transit"),
+        null_every(5, F.col("text")).alias("access"), null_every(6, F.col("text")).alias("house_rules"),
+        F.col("lang").alias("space"), F.col("text").alias("street"),
+        F.col("source").alias("host_location"), F.col("source").alias("jurisdiction_names"),
+        null_every(9, F.col("source")).alias("city"),
+        null_every(11, money(n / 10)).alias("price"), null_every(13, money(n / 100)).alias("cleaning_fee"),
+        money(n % 3).alias("extra_people"),
+        null_every(4, F.concat((n % 120).cast("string"), F.lit("%"))).alias("host_acceptance_rate"),
+        null_every(3, F.concat((n % 110).cast("string"), F.lit("%"))).alias("host_response_rate"),
+        null_every(8, F.concat_ws(",", "lang", "source")).alias("amenities"),
+        null_every(10, F.col("source")).alias("host_verifications"),
+        null_every(12, F.col("lang")).alias("features"),
+        null_every(4, F.col("source")).alias("market"), F.col("lang").alias("neighborhood"),
+        null_every(9, (n % 4).cast("double")).alias("bathrooms"),
+        null_every(7, (n % 5).cast("double")).alias("bedrooms"),
+        F.when(n % 3 == 0, "Apartment").when(n % 3 == 1, "House").alias("property_type"),
+        F.when(n % 2 == 0, "Real Bed").otherwise("Futon").alias("bed_type"),
+        F.when(n % 4 == 0, "super_strict_30").when(n % 4 == 1, "flexible").alias("cancellation_policy"),
+        F.when(k % 3 == 0, F.lit(None)).when(k % 3 == 1, "pending").otherwise(k.cast("string")).alias("license"),
+        null_every(13, F.date_add(F.lit("2010-01-01").cast("date"), (k % 3000).cast("int"))).alias("first_review"),
+        F.upper("lang").alias("state"), (n % 100000).cast("string").alias("zipcode"))
+
+
+@query("listing_clean_flow")
+def listing_clean_flow(spark, d):
+    """The whole listing cleaning flow over a listing-shaped view of the
+    documents table (rows-checked; each step is oracle-checked separately)."""
+    from sparkprep.plans.listing_clean import clean_listings
+    return clean_listings(listing_adapter(spark, d))

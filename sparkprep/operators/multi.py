@@ -79,6 +79,29 @@ def collect_vocabulary(df: DataFrame, list_col: str, max_terms: int = 1000) -> l
     return vocab
 
 
+def collect_vocabularies(df: DataFrame, list_cols: Sequence[str],
+                         max_terms: int = 1000) -> dict[str, list]:
+    """Sorted distinct tokens of several list columns from ONE job (tokens
+    tagged with their column, one distinct); same bound as above per column."""
+    if not list_cols:
+        return {}
+    def tag(name):
+        # a one-argument lambda: transform() treats a second argument as the index
+        return lambda x: F.struct(F.lit(name).alias("c"), x.alias("t"))
+    tagged = F.concat(*[F.transform(F.col(c), tag(c)) for c in list_cols])
+    rows = (df.select(F.explode(tagged).alias("e")).select("e.c", "e.t").distinct()
+            .limit(len(list_cols) * (max_terms + 1)).collect())
+    out = {c: [] for c in list_cols}
+    for r in rows:
+        out[r["c"]].append(r["t"])
+    for c, v in out.items():
+        if len(v) > max_terms:
+            raise ValueError(f"more than {max_terms} distinct tokens in {c}; "
+                             "use long_form() or a sparse encoding")
+        out[c] = sorted(v, key=lambda t: (t is None, t or ""))
+    return out
+
+
 def one_hot(df: DataFrame, list_col: str, vocab: Sequence[str] | None = None,
             prefix: str = "has_", max_terms: int = 1000,
             drop_source: bool = True) -> DataFrame:

@@ -150,4 +150,6 @@ def listing_clean_flow(spark, d):
     """The whole listing cleaning flow over a listing-shaped view of the
     documents table (rows-checked; each step is oracle-checked separately)."""
     from sparkprep.plans.listing_clean import clean_listings
+    # The statistics passes replay this derived input; measured, replaying the
+    # projection is cheaper than writing the text-heavy table to a checkpoint.
     return clean_listings(listing_adapter(spark, d))

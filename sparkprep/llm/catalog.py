@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from sparkprep.llm import exact_dedup, line_dedup
+from sparkprep.llm import exact_dedup, line_dedup, phrase_index, url_filter
 
 _QUERIES = {
+    "op3_decontamination": (phrase_index.op3_decontamination, phrase_index.OP3_SQL),
     "op7_line_dedup": (line_dedup.op7_line_dedup, line_dedup.OP7_SQL),
     "op9_exact_dedup": (exact_dedup.op9_exact_dedup, exact_dedup.OP9_SQL),
+    "op10_url_filters": (url_filter.op10_url_filters, url_filter.OP10_SQL),
 }
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from sparkprep.session import shared_path
 
 # Bytes of text a kernel works on at a time; one longer text is one piece.
-CHUNK_BYTES = 1 << 20
+CHUNKBYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -74,14 +74,14 @@ def bytes_and_offsets(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def text_chunks(column, limit: int = CHUNK_BYTES):
+def text_chunks(column, limit: int = CHUNKBYTES):
     """Yield (first row, last row + 1, bytes, offsets) over consecutive rows
     of a text column, about ``limit`` bytes each; whole texts, never cut."""
     data, at = bytes_and_offsets(column)
     i, n = 0, len(at) - 1
     while i < n:
         j = int(np.searchsorted(at, at[i] + limit, side="right")) - 1
-        j = min(max(j, i + 1), n)
+        j = min(max(j, i + 1), i + most, n)
         yield i, j, data[at[i]:at[j]], at[i:j + 1] - at[i]
         i = j
 
@@ -89,7 +89,7 @@ def text_chunks(column, limit: int = CHUNK_BYTES):
 # -- Hashing -------------------------------------------------------------------
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = np.uint64(0x9E3779B97F4A7C15 | 3)
 _powers = np.ones(1, np.uint64)
 
@@ -142,7 +142,7 @@ class Words:
         if len(starts):
             inside = np.arange(len(packed)) - np.repeat(at, lengths)
             with np.errstate(over="ignore"):
-                terms = _BYTE[packed] * powers(int(lengths.max()))[inside]
+                terms = BYTE[packed] * powers(int(lengths.max()))[inside]
                 self.hashes = mix(np.add.reduceat(terms, at))
         else:
             self.hashes = np.zeros(0, np.uint64)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sparkprep.llm import exact_dedup, language, line_dedup, phrase_index, quality, url_filter
+from sparkprep.llm import exact_dedup, jaccard_join, language, line_dedup, phrase_index, quality, url_filter
 
 _QUERIES = {
     "op3_decontamination": (phrase_index.op3_decontamination, phrase_index.OP3_SQL),
     "op4_quality_classifier": (quality.op4_quality_classifier, None),
     "op6_language_id": (language.op6_language_id, None),
     "op7_line_dedup": (line_dedup.op7_line_dedup, line_dedup.OP7_SQL),
+    "op8_ngram_jaccard": (jaccard_join.op8_ngram_jaccard, jaccard_join.OP8_SQL),
     "op9_exact_dedup": (exact_dedup.op9_exact_dedup, exact_dedup.OP9_SQL),
     "op10_url_filters": (url_filter.op10_url_filters, url_filter.OP10_SQL),
 }

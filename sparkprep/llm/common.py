@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from sparkprep.session import shared_path
 
 # Bytes of text a kernel works on at a time; one longer text is one piece.
-CHUNKBYTES = 1 << 20
+CHUNK_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -74,9 +74,10 @@ def bytes_and_offsets(column) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def text_chunks(column, limit: int = CHUNKBYTES):
+def text_chunks(column, limit: int = CHUNK_BYTES, most: int = 1 << 14):
     """Yield (first row, last row + 1, bytes, offsets) over consecutive rows
-    of a text column, about ``limit`` bytes each; whole texts, never cut."""
+    of a text column, about ``limit`` bytes and at most ``most`` rows each;
+    whole texts, never cut."""
     data, at = bytes_and_offsets(column)
     i, n = 0, len(at) - 1
     while i < n:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from sparkprep.llm import exact_dedup, jaccard_join, language, line_dedup, phrase_index, quality, url_filter
+from sparkprep.llm import exact_dedup, jaccard_join, language, line_dedup, phrase_index, quality, site_style, url_filter, warc
 
 _QUERIES = {
+    "op1_html_extraction": (site_style.op1_html_extraction, None),
     "op3_decontamination": (phrase_index.op3_decontamination, phrase_index.OP3_SQL),
+    "op5_warc": (warc.op5_warc, warc.OP5_SQL),
     "op4_quality_classifier": (quality.op4_quality_classifier, None),
     "op6_language_id": (language.op6_language_id, None),
     "op7_line_dedup": (line_dedup.op7_line_dedup, line_dedup.OP7_SQL),

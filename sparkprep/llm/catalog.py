@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from sparkprep.llm import exact_dedup, jaccard_join, language, line_dedup, phrase_index, quality, site_style, url_filter, warc
+import corpus_pipeline
+from sparkprep.llm import exact_dedup, jaccard_join, language, line_dedup, phrase_index, quality, sentencepiece_nbest, site_style, url_filter, warc
 
 _QUERIES = {
     "op1_html_extraction": (site_style.op1_html_extraction, None),
+    "op2_sentencepiece": (sentencepiece_nbest.op2_sentencepiece, None),
     "op3_decontamination": (phrase_index.op3_decontamination, phrase_index.OP3_SQL),
     "op5_warc": (warc.op5_warc, warc.OP5_SQL),
     "op4_quality_classifier": (quality.op4_quality_classifier, None),
@@ -14,6 +16,7 @@ _QUERIES = {
     "op8_ngram_jaccard": (jaccard_join.op8_ngram_jaccard, jaccard_join.OP8_SQL),
     "op9_exact_dedup": (exact_dedup.op9_exact_dedup, exact_dedup.OP9_SQL),
     "op10_url_filters": (url_filter.op10_url_filters, url_filter.OP10_SQL),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
 

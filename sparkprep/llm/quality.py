@@ -164,19 +164,29 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     return weights
 
 
-def score_quality(docs: DataFrame, weights: np.ndarray, text_col: str = "text", score: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the score. A column of that name is
-    replaced."""
+def _scored(docs: DataFrame, weights: np.ndarray, text_col: str) -> DataFrame:
+    """Columns row (all of ``docs``) and score."""
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score_texts(batch.column(1), sent.value))], ["row", "score"])
 
-    rows = nested_row(docs.drop(score) if score != text_col else docs)
+    rows = nested_row(docs)
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
-    scored = rows.select("row", F.col("row").getField(text_col).cast("string").alias("text")).mapInArrow(run, schema)
-    return scored.select("row.*", F.col("score").alias(score))
+    return rows.select("row", F.col("row").getField(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+
+
+def score_quality(docs: DataFrame, weights: np.ndarray, text_col: str = "text", score: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the score. A column of that name is
+    replaced."""
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c != score]
+    return _scored(docs, weights, text_col).select(*kept, F.col("score").alias(score))
+
+
+def keep_good(docs: DataFrame, weights: np.ndarray, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows that score ``threshold`` or more, as they came."""
+    return _scored(docs, weights, text_col).filter(F.col("score") >= threshold).select("row.*")
 
 
 HELD_OUT_OF = 5
@@ -187,9 +197,14 @@ def _held_out(id_):
     return F.crc32(id_.cast("string").cast("binary")) % HELD_OUT_OF == 0
 
 
+def trainable(id_):
+    """Ids that labels may be learnt from."""
+    return ~_held_out(id_)
+
+
 def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    weights = fit_quality(docs, table(spark, sf_dir, "labels"), eligible=lambda i: ~_held_out(i))
+    weights = fit_quality(docs, table(spark, sf_dir, "labels"), eligible=trainable)
     scored = score_quality(docs, weights)
     return scored.select("doc_id", _held_out(F.col("doc_id")).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -6,7 +6,8 @@ counts times inverse document frequencies, scaled to length 1. A language's
 training texts are clustered by spherical k-means into ``clusters`` centroids,
 and a text takes the language of the centroid with the largest cosine. Each
 centroid rejects texts that are farther away than nearly all its members were:
-further than ``margin`` times the distance that ``quantile`` of them keep.
+further than ``margin`` times the distance that ``quantile`` of them keep, and
+than ``LEAST_REACH``.
 
 Document frequencies and the numbers of rows per language are counted over all
 training rows. Clustering takes at most ``max_rows`` texts of a language
@@ -37,6 +38,7 @@ CLUSTERS = 3
 MAX_ROWS = 600
 QUANTILE = 0.995
 MARGIN = 1.5
+LEAST_REACH = 0.2
 UNKNOWN = "und"
 PIECE = 256  # texts counted at a time, DIM numbers each
 
@@ -106,7 +108,7 @@ def _fit_language(idf, clusters, quantile, margin):
             return pa.table({"lang": pa.array([], pa.string()), "centre": pa.array([], pa.binary()), "reach": pa.array([], pa.float64())})
         centres, own = cluster(x, clusters)
         far = [1 - x[own == c] @ centres[c] if (own == c).any() else np.zeros(1) for c in range(len(centres))]
-        reach = [float(np.quantile(d, quantile) * margin) for d in far]
+        reach = [max(LEAST_REACH, float(np.quantile(d, quantile) * margin)) for d in far]
         return pa.table({"lang": [group.column("lang")[0].as_py()] * len(centres), "centre": [c.astype(np.float32).tobytes() for c in centres], "reach": reach})
     return run
 

@@ -144,8 +144,26 @@ def _marked(node: Node) -> bool:
     return False
 
 
-def _is_noise(node: Node, inside: bool) -> bool:
-    return node.noise or (node.tag == "header" and not inside)
+def _is_noise(node: Node, in_content: bool) -> bool:
+    return node.noise or (node.tag == "header" and not in_content)
+
+
+def _flow(node: Node, in_content: bool):
+    """Text and blocks of an element, None where a block is left out; inline
+    elements are part of the text."""
+    stack = list(reversed(node.parts))
+    while stack:
+        part = stack.pop()
+        if isinstance(part, str):
+            yield part
+        elif _is_noise(part, in_content):
+            if part.tag not in INLINE:
+                yield None
+        elif part.tag in INLINE and not part.content:
+            yield " " if part.tag == "br" else ""
+            stack.extend(reversed(part.parts))
+        else:
+            yield part
 
 
 def _clean(text: str) -> str:
@@ -153,17 +171,18 @@ def _clean(text: str) -> str:
 
 
 def walk(root: Node):
-    """(path, child names, own text) of the elements that presentation alone
+    """(path, child names, own text) of the blocks that presentation alone
     doesn't rule out."""
     marked = _marked(root)
-    stack = [(root, "", not marked)]
+    stack = [(root, "", False)]
     while stack:
-        node, path, inside = stack.pop()
-        inside = inside or node.content
-        kids = [p for p in node.parts if isinstance(p, Node) and not _is_noise(p, inside)]
-        if inside and path:
-            yield path, [k.name for k in kids], _clean("".join(p for p in node.parts if isinstance(p, str)))
-        stack.extend((k, f"{path}>{k.name}", inside) for k in kids)
+        node, path, in_content = stack.pop()
+        in_content = in_content or node.content
+        flow = list(_flow(node, in_content))
+        kids = [p for p in flow if isinstance(p, Node)]
+        if path and (in_content or not marked):
+            yield path, [k.name for k in kids], _clean("".join(p if isinstance(p, str) else " " for p in flow))
+        stack.extend((k, f"{path}>{k.name}", in_content) for k in kids)
 
 
 def main_text(root: Node, cut: frozenset[str] = frozenset()) -> str:
@@ -173,32 +192,26 @@ def main_text(root: Node, cut: frozenset[str] = frozenset()) -> str:
     marked, blocks, open_ = _marked(root), [], []
 
     def close():
-        if open_:
-            text = _clean("".join(open_))
-            if text:
-                blocks.append(text)
-            open_.clear()
+        text = _clean("".join(open_))
+        if text:
+            blocks.append(text)
+        open_.clear()
 
-    stack = [(root, "", not marked)]
+    stack = [(root, "", False)]
     while stack:
-        node, path, inside = stack.pop()
+        node, path, in_content = stack.pop()
         if node is None:
             close()
         elif isinstance(node, str):
-            if inside:
+            if in_content or not marked:
                 open_.append(node)
-        elif _is_noise(node, inside) or path in cut:
-            close()
-        elif node.tag in ("br", "wbr"):
-            open_.append(" " if node.tag == "br" else "")
         else:
-            inside = inside or node.content
-            block = node.tag not in INLINE
-            if block:
-                close()
+            close()
+            if path not in cut:
+                in_content = in_content or node.content
                 stack.append((None, "", False))
-            for p in reversed(node.parts):
-                stack.append((p, "" if isinstance(p, str) else f"{path}>{p.name}", inside))
+                for p in reversed(list(_flow(node, in_content))):
+                    stack.append((p, f"{path}>{p.name}" if isinstance(p, Node) else "", in_content))
     close()
     return "\n\n".join(blocks)
 

@@ -149,24 +149,32 @@ _GLUE = END.encode()
 
 def _read(with_payload: bool):
     def run(batches):
-        file, head, want, held, have = None, None, 0, [], 0
+        # The file's bytes that no record has taken yet, and the record whose
+        # block they begin with.
+        file, held, have, head, want = None, [], 0, None, 0
         for batch in batches:
             rows = []
             for path, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                piece = piece or b""
                 if path != file:
-                    file, head, held = path, None, []
-                if head is None:
-                    piece = piece.lstrip(b"\r\n")
-                    if piece.startswith(b"WARC/"):
-                        head, held, have = piece, [], -len(_GLUE)
-                        want = int(dict((k.lower(), v) for k, v in _fields(piece)).get("content-length", "0"))
-                    continue
-                held.append(piece)
-                have += len(_GLUE) + len(piece)
-                if have >= want:
-                    rows.append(_parse(head, _GLUE.join(held)[:want], with_payload))
-                    head = None
+                    file, held, have, head = path, [], 0, None
+                else:
+                    held.append(_GLUE)
+                    have += len(_GLUE)
+                held.append(piece or b"")
+                have += len(held[-1])
+                while head is None or have >= want:
+                    data = b"".join(held)
+                    if head is None:
+                        data = data.lstrip(b"\r\n")
+                        head, found, rest = data.partition(_GLUE)
+                        if not found:
+                            held, have, head = [data], len(data), None
+                            break
+                        want = int(dict((k.lower(), v) for k, v in _fields(head)).get("content-length", "0"))
+                        held, have = [rest], len(rest)
+                    else:
+                        rows.append(_parse(head, data[:want], with_payload))
+                        held, have, head = [data[want:]], len(data) - want, None
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(_TYPES)], _NAMES)
     return run
 

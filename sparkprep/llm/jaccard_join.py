@@ -40,21 +40,23 @@ not read, whatever their names are.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkprep.llm.bloom import merged_blocks
 from sparkprep.llm.common import NOT_SPACE, Words, nested_row, ngram_hashes, stored, table, text_chunks
 
 SHINGLE = 5
 PERCENT = 75
 BITS = 27
 BLOCK_BITS = 22
-MERGERS = 16
 FLUSH = 1 << 22
 MOST_MATCHES = 16
 VERIFY_COST = 20.0  # of a candidate, in list entries
@@ -83,47 +85,61 @@ def _places(grams: np.ndarray) -> np.ndarray:
     return grams >> np.uint64(64 - BITS)
 
 
-def _send(held: list[np.ndarray]):
-    """Counter numbers by block, as byte planes of differences, with counts."""
+def _message(key, at: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """Counter numbers of a block, as byte planes of differences, and counts."""
+    planes = np.diff(at, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+    return pa.RecordBatch.from_pydict({"block": pa.array([key[0]], pa.int32()), "part": pa.array([key[1]], pa.int32()),
+                                       "at": pa.array([planes], pa.binary()), "times": pa.array([times.astype(np.uint16).tobytes()], pa.binary())})
+
+
+def _send(held: list[np.ndarray], part: int):
     at, times = np.unique(_places(np.concatenate(held)), return_counts=True)
-    times = np.minimum(times, 255).astype(np.uint8)
+    times = np.minimum(times, 65535)
     cuts = np.searchsorted(at, np.arange((1 << (BITS - BLOCK_BITS)) + 1, dtype=np.uint64) << np.uint64(BLOCK_BITS))
     for k in np.flatnonzero(np.diff(cuts)):
-        part = (at[cuts[k]:cuts[k + 1]] & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint32)
-        planes = np.diff(part, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
-        yield pa.RecordBatch.from_pydict({"block": pa.array([int(k)], pa.int32()), "at": pa.array([planes], pa.binary()),
-                                          "times": pa.array([times[cuts[k]:cuts[k + 1]].tobytes()], pa.binary())})
+        low = (at[cuts[k]:cuts[k + 1]] & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint32)
+        yield _message((int(k), part), low, times[cuts[k]:cuts[k + 1]])
 
 
 def _count(batches):
-    held, n = [], 0
+    held, n, part = [], 0, TaskContext.get().partitionId()
     for batch in batches:
         for grams in shingle_sets(batch.column(0)):
             held.append(grams)
             n += len(grams)
             if n >= FLUSH:
-                yield from _send(held)
+                yield from _send(held, part)
                 held, n = [], 0
     if n:
-        yield from _send(held)
+        yield from _send(held, part)
 
 
-def _add_up(batches):
-    totals: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for block, at, times in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            total = totals.setdefault(block, np.zeros(1 << BLOCK_BITS, np.uint16))
-            places = np.cumsum(np.ascontiguousarray(np.frombuffer(at, np.uint8).reshape(4, -1).T).view(np.uint32).ravel())
-            have = total[places]
-            new = np.frombuffer(times, np.uint8)
-            total[places] = np.where(have > 65000, have, have + new)
-    for block, total in totals.items():
-        level = np.log2(np.maximum(total, 1)).astype(np.uint8)
-        packed = zlib.compress((level[0::2] | level[1::2] << 4).tobytes(), 1)
-        yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "levels": pa.array([packed], pa.binary())})
+def _add_up(last: bool):
+    """Messages sorted by (block, part), added up; the last turn gives levels."""
+    def out(key, total):
+        if last:
+            level = np.log2(np.maximum(total, 1)).astype(np.uint8)
+            packed = zlib.compress((level[0::2] | level[1::2] << 4).tobytes(), 1)
+            yield pa.RecordBatch.from_pydict({"block": pa.array([key[0]], pa.int32()), "levels": pa.array([packed], pa.binary())})
+        else:
+            yield _message(key, np.flatnonzero(total).astype(np.uint32), total[total > 0])
+
+    def run(batches):
+        key, total = None, None
+        for batch in batches:
+            for block, part, at, times in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if (block, part) != key:
+                    if key is not None:
+                        yield from out(key, total)
+                    key, total = (block, part), np.zeros(1 << BLOCK_BITS, np.uint16)
+                places = np.cumsum(np.ascontiguousarray(np.frombuffer(at, np.uint8).reshape(4, -1).T).view(np.uint32).ravel())
+                total[places] = np.minimum(total[places].astype(np.uint32) + np.frombuffer(times, np.uint16), 65535)
+        if key is not None:
+            yield from out(key, total)
+    return run
 
 
-_loaded: dict[int, np.ndarray] = {}
+_loaded: dict[str, np.ndarray] = {}
 
 
 class Levels:
@@ -131,7 +147,7 @@ class Levels:
 
     def __init__(self, spark: SparkSession, planes: list[tuple[int, bytes]]):
         self._sent = spark.sparkContext.broadcast(planes)
-        self.key = id(self)
+        self.key = uuid.uuid4().hex
 
     def of(self, grams: np.ndarray) -> np.ndarray:
         if self.key not in _loaded:
@@ -145,8 +161,8 @@ class Levels:
 
 
 def count_shingles(texts: DataFrame) -> Levels:
-    sent = texts.mapInArrow(_count, "block int, at binary, times binary")
-    merged = sent.repartition(MERGERS, "block").mapInArrow(_add_up, "block int, levels binary")
+    message = "block int, part int, at binary, times binary"
+    merged = merged_blocks(texts.mapInArrow(_count, message), 1 << (BITS - BLOCK_BITS), _add_up, message, "block int, levels binary")
     # 2**BITS / 2 bytes at most, whatever the input.
     return Levels(texts.sparkSession, [(r["block"], bytes(r["levels"])) for r in merged.collect()])
 

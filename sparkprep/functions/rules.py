@@ -26,17 +26,17 @@ def _one(lowered: Column, p: str) -> Column:
     if all(a and _is_plain(a) for a in alts):
         cond = None
         for a in alts:
-            c = lowered.contains(a)
+            c = lowered.contains(a.lower())
             cond = c if cond is None else (cond | c)
         return cond
-    return lowered.rlike(p)
+    return lowered.rlike("(?iu)" + p)  # the pattern's own case may matter (\\D, \\W)
 
 
 def _match(lowered: Column, pattern) -> Column:
     pats = pattern if isinstance(pattern, (list, tuple)) else [pattern]
     cond = None
     for p in pats:
-        c = _one(lowered, p.lower())
+        c = _one(lowered, p)
         cond = c if cond is None else (cond & c)
     return cond
 

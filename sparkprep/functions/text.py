@@ -47,7 +47,7 @@ def before(col, sep: str = ",") -> Column:
 
 def has(col, pattern: str) -> Column:
     """Case-insensitive pattern test where null text counts as no match."""
-    return F.coalesce(F.lower(_c(col)).rlike(pattern.lower()), F.lit(False))
+    return F.coalesce(_c(col).rlike("(?iu)" + pattern), F.lit(False))
 
 
 def detect(col, pattern: str) -> Column:

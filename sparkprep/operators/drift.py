@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 def _levels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct (column_name, level) pairs of all categorical columns, from
     one unpivot (stack) and one distinct."""
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
-    return (df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, level)")
+    pairs = [x for c in cols for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]
+    return (df.select(F.stack(F.lit(len(cols)), *pairs).alias("column_name", "level"))
             .where(F.col("level").isNotNull()).distinct())
 
 
@@ -30,9 +30,17 @@ def levels(train: DataFrame, test: DataFrame, cols: Sequence[str] | None = None)
     return only_a.unionByName(only_b)
 
 
-def verdict(report: DataFrame) -> DataFrame:
-    """Per column: 'different' when any level is one-sided."""
-    return report.groupBy("column_name").agg(
+def verdict(train: DataFrame, test: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, n_train_only, n_test_only, verdict) for every shared
+    string column (or ``cols``): 'different' when any level is one-sided, else
+    'identical'."""
+    if cols is None:
+        tt = dict(test.dtypes)
+        cols = [c for c, t in train.dtypes if t == "string" and tt.get(c) == "string"]
+    every = train.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    counts = levels(train, test, cols).groupBy("column_name").agg(
         F.count_if(F.col("side") == "train_only").alias("n_train_only"),
-        F.count_if(F.col("side") == "test_only").alias("n_test_only")) \
-        .withColumn("verdict", F.lit("different"))
+        F.count_if(F.col("side") == "test_only").alias("n_test_only"))
+    out = every.join(counts, "column_name", "left").na.fill(0, ["n_train_only", "n_test_only"])
+    one_sided = F.col("n_train_only") + F.col("n_test_only") > 0
+    return out.withColumn("verdict", F.when(one_sided, "different").otherwise("identical"))

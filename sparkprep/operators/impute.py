@@ -18,8 +18,10 @@ from sparkprep.operators.ordering import exact_quantiles
 
 def fit_mean(df: DataFrame, cols: Iterable[str]) -> dict[str, float | None]:
     cols = list(cols)
-    row = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+    if not cols:
+        return {}
+    row = df.agg(*[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    return {c: row[f"m{i}"] for i, c in enumerate(cols)}
 
 
 def fit_median(df: DataFrame, cols: Iterable[str], exact: bool = True,
@@ -27,15 +29,17 @@ def fit_median(df: DataFrame, cols: Iterable[str], exact: bool = True,
     """Median per column. ``exact`` uses distributed exact quantiles (sorted
     counts, never one task holding a column); otherwise percentile_approx."""
     cols = list(cols)
+    if not cols:
+        return {}
     if not exact:
         row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy)
                        .alias(c) for c in cols]).first()
         return {c: row[c] for c in cols}
     # all columns in one job: stack to (column, value), quantiles per column
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (__col, __v)")
+    pairs = [x for i, c in enumerate(cols) for x in (F.lit(i), F.col(f"`{c}`").cast("double"))]
+    long = df.select(F.stack(F.lit(len(cols)), *pairs).alias("__col", "__v"))
     got = {r["__col"]: r["q_0"] for r in exact_quantiles(long, "__v", [0.5], by=["__col"]).collect()}
-    return {c: got.get(c) for c in cols}
+    return {c: got.get(i) for i, c in enumerate(cols)}
 
 
 def apply_fill(df: DataFrame, values: dict) -> DataFrame:

@@ -44,74 +44,57 @@ def vocabulary(df: DataFrame, list_col: str, order_col: str) -> DataFrame:
     return with_row_index(materialize(firsts), ["first_row", "first_pos"], "vocab_idx")
 
 
-def make_unique(names: Sequence[str]) -> list[str]:
-    """Repeated names get suffixes .1, .2, ... (first keeps its name)."""
-    seen: dict[str, int] = {}
-    taken = set(names)
+def make_unique(names: Sequence[str], taken: Sequence[str] = ()) -> list[str]:
+    """Repeated names get suffixes .1, .2, ... (first keeps its name). Names
+    that differ in case only count as repeated, as Spark resolves columns
+    without regard to case."""
+    used = {t.lower() for t in taken}
+    wanted = {n.lower() for n in names}
     out = []
     for n in names:
-        if n not in seen:
-            seen[n] = 0
-            out.append(n)
-            continue
-        k = seen[n]
-        while True:
+        cand, k = n, 0
+        while cand.lower() in used or (k and cand.lower() in wanted):
             k += 1
             cand = f"{n}.{k}"
-            if cand not in taken:
-                break
-        seen[n] = k
-        taken.add(cand)
+        used.add(cand.lower())
         out.append(cand)
     return out
 
 
-def collect_vocabulary(df: DataFrame, list_col: str, max_terms: int = 1000) -> list[str]:
-    """Distinct tokens, sorted, for a wide encoding. Fails (rather than
-    silently truncating) beyond ``max_terms``: use :func:`long_form` or a
-    sparse vector for open vocabularies."""
-    toks = (df.select(F.explode(list_col).alias("t")).distinct()
-            .orderBy(F.asc_nulls_last("t")).limit(max_terms + 1).collect())
-    vocab = [r["t"] for r in toks]
-    if len(vocab) > max_terms:
-        raise ValueError(f"more than {max_terms} distinct tokens in {list_col}; "
-                         "use long_form() or a sparse encoding")
-    return vocab
+def collect_vocabulary(df: DataFrame, list_col: str) -> list[str]:
+    """Distinct tokens, sorted, for a wide encoding: the tokens become column
+    names, so they all come to the driver. Open vocabularies belong in
+    :func:`long_form` or :func:`sparse_one_hot`, which don't need them there."""
+    return collect_vocabularies(df, [list_col])[list_col]
 
 
-def collect_vocabularies(df: DataFrame, list_cols: Sequence[str],
-                         max_terms: int = 1000) -> dict[str, list]:
+def collect_vocabularies(df: DataFrame, list_cols: Sequence[str]) -> dict[str, list]:
     """Sorted distinct tokens of several list columns from ONE job (tokens
-    tagged with their column, one distinct); same bound as above per column."""
+    tagged with their column, one distinct)."""
     if not list_cols:
         return {}
-    def tag(name):
+    def tag(i):
         # a one-argument lambda: transform() treats a second argument as the index
-        return lambda x: F.struct(F.lit(name).alias("c"), x.alias("t"))
-    tagged = F.concat(*[F.transform(F.col(c), tag(c)) for c in list_cols])
-    rows = (df.select(F.explode(tagged).alias("e")).select("e.c", "e.t").distinct()
-            .limit(len(list_cols) * (max_terms + 1)).collect())
+        return lambda x: F.struct(F.lit(i).alias("c"), x.alias("t"))
+    tagged = F.concat(*[F.transform(F.col(f"`{c}`"), tag(i)) for i, c in enumerate(list_cols)])
+    rows = df.select(F.explode(tagged).alias("e")).select("e.c", "e.t").distinct().collect()
     out = {c: [] for c in list_cols}
     for r in rows:
-        out[r["c"]].append(r["t"])
-    for c, v in out.items():
-        if len(v) > max_terms:
-            raise ValueError(f"more than {max_terms} distinct tokens in {c}; "
-                             "use long_form() or a sparse encoding")
-        out[c] = sorted(v, key=lambda t: (t is None, t or ""))
-    return out
+        out[list_cols[r["c"]]].append(r["t"])
+    return {c: sorted(v, key=lambda t: (t is None, t or "")) for c, v in out.items()}
 
 
-def one_hot(df: DataFrame, list_col: str, vocab: Sequence[str] | None = None,
-            prefix: str = "has_", max_terms: int = 1000,
-            drop_source: bool = True) -> DataFrame:
-    """One 0/1 column per vocabulary token, emitted in a single projection."""
-    vocab = list(vocab) if vocab is not None else collect_vocabulary(df, list_col, max_terms)
-    names = make_unique([f"{prefix}{NA_NAME if t is None else t}" for t in vocab])
+def one_hot(df: DataFrame, list_col: str, vocab: Sequence[str],
+            prefix: str = "has_", drop_source: bool = True) -> DataFrame:
+    """One 0/1 column per token of the caller's vocabulary, emitted in a
+    single projection."""
+    vocab = list(vocab)
+    names = [f"{prefix}{NA_NAME if t is None else t}" for t in vocab]
     # a name already used by another column (e.g. the same token in an
     # earlier list column) is qualified with this list's column name
-    taken = set(df.columns)
-    names = [f"{prefix}{list_col}_{n[len(prefix):]}" if n in taken else n for n in names]
+    others = {c.lower() for c in df.columns}
+    names = [f"{prefix}{list_col}_{n[len(prefix):]}" if n.lower() in others else n for n in names]
+    names = make_unique(names, df.columns)
     lst = F.col(list_col)
 
     def hit(t):

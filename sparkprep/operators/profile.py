@@ -12,11 +12,6 @@ from sparkprep.functions import fixed_values as fv
 from sparkprep.operators.ordering import exact_quantiles, value_counts
 
 
-def summary(df: DataFrame, *stats: str) -> DataFrame:
-    """count / mean / stddev / min / quartiles / max per column (built-in)."""
-    return df.summary(*stats) if stats else df.summary()
-
-
 def numeric_summary(df: DataFrame, cols=None) -> DataFrame:
     """(column_name, n, mean, sd, min, max) for numeric columns, from ONE
     aggregate over all of them, unpivoted to long form."""
@@ -28,8 +23,8 @@ def numeric_summary(df: DataFrame, cols=None) -> DataFrame:
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
-    rows = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
-    return wide.selectExpr(f"stack({len(cols)}, {rows}) AS (column_name, n, mean, sd, min, max)")
+    rows = [x for i, c in enumerate(cols) for x in (F.lit(c), *(F.col(f"{k}{i}") for k in ("n", "m", "s", "lo", "hi")))]
+    return wide.select(F.stack(F.lit(len(cols)), *rows).alias("column_name", "n", "mean", "sd", "min", "max"))
 
 
 def nulls(df: DataFrame, only_missing: bool = True) -> DataFrame:
@@ -39,8 +34,8 @@ def nulls(df: DataFrame, only_missing: bool = True) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__rows")]
     aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"__n{i}") for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
-    pairs = ", ".join(f"'{c}', __n{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr("__rows", f"stack({len(cols)}, {pairs}) AS (column_name, n_null)")
+    pairs = [x for i, c in enumerate(cols) for x in (F.lit(c), F.col(f"__n{i}"))]
+    long = wide.select("__rows", F.stack(F.lit(len(cols)), *pairs).alias("column_name", "n_null"))
     out = long.select("column_name", F.col("n_null").cast("long").alias("n_null"),
                       (F.col("__rows") - F.col("n_null")).cast("long").alias("n_not_null"))
     return out.where(F.col("n_null") > 0) if only_missing else out

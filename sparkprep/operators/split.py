@@ -2,9 +2,9 @@
 independent fractional subsets and contiguous folds.
 
 Rows are ranked by ``md5(seed:key)`` (then the key), which is independent of
-partitioning and file layout, unlike ``randomSplit``. Ranks come from the
-distributed row index, so split sizes are exact (``floor(frac * n)``) without
-sorting the table in one task.
+partitioning and file layout, unlike ``randomSplit``. Split sizes are exact
+(``floor(frac * n)``): the pair at the split is found among the rows of one
+hash bucket, and every row is compared with it.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions import fixed_values as fv
-from sparkprep.operators.ordering import default_buckets, with_row_index
-from sparkprep.sources.tables import spread
+from sparkprep.operators.ordering import with_row_index
 
 
 def hash_text(seed, key: str, salt: Column | None = None) -> Column:
@@ -28,47 +27,62 @@ def hash_text(seed, key: str, salt: Column | None = None) -> Column:
     return F.md5(F.concat(*parts))
 
 
-_HASH_RANGE = (0.0, float(16 ** 15))
+BUCKETS = 4096
+
+
+def _limits(df: DataFrame, frac, seed, key: str, by: list[str], salt, n_buckets: int) -> DataFrame:
+    """Per group the ``(hash, key)`` of the last row that is taken, from scans
+    of the key and group columns alone.
+
+    Hashes are uniform, so the hash's first digits cut the rows into even
+    buckets. A count per (group, bucket) tells the bucket that holds the limit;
+    of that bucket, 1/``n_buckets`` of a group, the pairs are ranked."""
+    names = [F.col(f"`{c}`").alias(f"__g{i}") for i, c in enumerate(by)]
+    g = [f"__g{i}" for i in range(len(by))]
+    pairs = df.select(*names, frac.alias("__f"), hash_text(seed, key, salt).alias("__h"), F.col(f"`{key}`").alias("__key"))
+    bucket = F.floor(F.conv(F.substring("__h", 1, 8), 16, 10).cast("long") * F.lit(n_buckets) / F.lit(16 ** 8)).cast("int")
+    pairs = pairs.withColumn("__b", bucket)
+    per = pairs.groupBy(*g, "__b").agg(F.count(F.lit(1)).alias("__c"), F.max("__f").alias("__f"))
+    grp = Window.partitionBy(*g) if g else Window.partitionBy()
+    before = F.coalesce(F.sum("__c").over(grp.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    take = F.floor(F.sum("__c").over(grp) * F.max("__f").over(grp))
+    edge = (per.select(*g, "__b", "__c", before.alias("__before"), take.alias("__take"))
+            .filter((F.col("__take") > F.col("__before")) & (F.col("__take") <= F.col("__before") + F.col("__c")))
+            .select(*[F.col(c).alias(c + "e") for c in g], F.col("__b").alias("__be"), (F.col("__take") - F.col("__before")).alias("__need")))
+    # At most one row per group; one row without groups.
+    same = [F.col("__b") == F.col("__be"), *(F.col(c).eqNullSafe(F.col(c + "e")) for c in g)]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    near = pairs.join(F.broadcast(edge) if not g else edge, cond)
+    rank = F.row_number().over(Window.partitionBy(*g, "__b").orderBy("__h", "__key"))
+    return (near.withColumn("__r", rank).filter(F.col("__r") == F.col("__need"))
+            .select(*g, F.struct(F.col("__h"), F.col("__key")).alias("__limit")))
 
 
 def hash_select(df: DataFrame, frac, seed, key: str, flag: str, by=(), salt=None,
-                n_buckets: int | None = None) -> DataFrame:
+                n_buckets: int = BUCKETS) -> DataFrame:
     """``flag`` = row is among the ``floor(frac * n)`` lowest ``(hash, key)``
-    of its ``by`` group (``frac`` a number or a column).
-
-    Hashes are uniform, so equal-width hash buckets are balanced. One
-    aggregate counts rows per (group, bucket); then each bucket is entirely
-    in, entirely out, or the single boundary bucket of its group. Only the
-    boundary bucket's rows are ranked (a window over ~1/B of the data); all
-    other rows are decided by a join with the small bucket-state table and
-    never shuffled."""
+    of its ``by`` group (``frac`` a number or a column). A null group is a
+    group like any other.
+
+    The k-th lowest pair is found first (:func:`_limits`, which reads only key
+    and group columns); then each row is compared with it. Without groups the
+    limit is a scalar, so the table itself is scanned once and never joined or
+    shuffled."""
     by = [by] if isinstance(by, str) else list(by)
-    b = n_buckets or default_buckets(df)
-    lo, hi = _HASH_RANGE
-    h = hash_text(seed, key, salt)
-    data = (df.withColumn("__h", h)
-            .withColumn("__hn", F.conv(F.substring("__h", 1, 15), 16, 10).cast("long"))
-            .withColumn("__bk", F.least(F.greatest(F.floor(
-                (F.col("__hn").cast("double") - lo) / F.lit((hi - lo) / b)), F.lit(0)),
-                F.lit(b - 1)).cast("int")))
     fr = frac if isinstance(frac, Column) else F.lit(float(frac))
-    per = data.groupBy(*by, "__bk").agg(F.count(F.lit(1)).alias("__c"))
-    grp = Window.partitionBy(*by) if by else Window.partitionBy()
-    per = (per.withColumn("__cb", F.coalesce(F.sum("__c").over(
-                grp.orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-           .withColumn("__k", F.floor(F.sum("__c").over(grp) * fr))
-           .select(*by, "__bk",
-                   F.when(F.col("__cb") + F.col("__c") <= F.col("__k"), 1)
-                   .when(F.col("__cb") >= F.col("__k"), 0).otherwise(2).alias("__state"),
-                   (F.col("__k") - F.col("__cb")).alias("__need")))
-    # at most (groups x buckets) rows; without groups at most ``b``: broadcast
-    small = F.broadcast(per) if not by else per
-    joined = data.join(small, [*by, "__bk"])
-    direct = joined.where(F.col("__state") != 2).withColumn(flag, F.col("__state") == 1)
-    edge = joined.where(F.col("__state") == 2).withColumn("__r", F.row_number().over(
-        Window.partitionBy(*by, "__bk").orderBy("__hn", "__h", key)))
-    edge = edge.withColumn(flag, F.col("__r") <= F.col("__need")).drop("__r")
-    return direct.unionByName(edge).drop("__h", "__hn", "__bk", "__state", "__need")
+    limits = _limits(df, fr, seed, key, by, salt, n_buckets)
+    pair = F.struct(hash_text(seed, key, salt).alias("__h"), F.col(f"`{key}`").alias("__key"))
+    if not by:
+        return df.withColumn(flag, F.coalesce(pair <= limits.select("__limit").scalar(), F.lit(False)))
+    cond = None
+    for i, c in enumerate(by):
+        one = F.col(f"`{c}`").eqNullSafe(F.col(f"__g{i}"))
+        cond = one if cond is None else cond & one
+    # One row per group; what Spark broadcasts or shuffles follows from its size.
+    out = df.join(limits, cond, "left").withColumn(flag, F.coalesce(pair <= F.col("__limit"), F.lit(False)))
+    return out.drop("__limit", *[f"__g{i}" for i in range(len(by))])
 
 
 def holdout(df: DataFrame, frac: float, seed, key: str,
@@ -85,12 +99,10 @@ def nested_holdout(df: DataFrame, key: str, seed=fv.SPLIT_SEED,
     """train / valid_use / valid_final: ``valid_frac`` of rows go to
     validation, of which ``final_frac`` is set aside."""
     first = holdout(df, valid_frac, seed, key, "__valid")
-    valid = first.where("__valid")
-    second = holdout(valid, final_frac, f"{seed}/2", key, "__final")
-    lab = F.when(F.col("__final"), F.lit("valid_final")).otherwise(F.lit("valid_use"))
-    v = second.withColumn(out, lab).drop("__valid", "__final")
-    t = first.where(~F.col("__valid")).withColumn(out, F.lit("train")).drop("__valid")
-    return t.unionByName(v)
+    inner = _limits(first.where("__valid"), F.lit(float(final_frac)), f"{seed}/2", key, [], None, BUCKETS)
+    pair = F.struct(hash_text(f"{seed}/2", key).alias("__h"), F.col(f"`{key}`").alias("__key"))
+    final = F.coalesce(pair <= inner.select("__limit").scalar(), F.lit(False))
+    return first.withColumn(out, F.when(~F.col("__valid"), "train").when(final, "valid_final").otherwise("valid_use")).drop("__valid")
 
 
 def fractions(df: DataFrame, fracs: Sequence[float], seed, key: str,
@@ -98,8 +110,7 @@ def fractions(df: DataFrame, fracs: Sequence[float], seed, key: str,
     """For each fraction f an independent hashed subset of ``floor(f * n)``
     rows; all subsets are produced by one job (rows tagged with f)."""
     arr = F.array(*[F.lit(float(f)) for f in fracs])
-    # spread before the explode (len(fracs) x rows are hashed afterwards)
-    tagged = spread(df).withColumn(name, F.explode(arr))
+    tagged = df.withColumn(name, F.explode(arr))
     sel = hash_select(tagged, F.col(name), seed, key, "__sel", by=[name], salt=F.col(name))
     return sel.where("__sel").drop("__sel")
 

@@ -53,9 +53,21 @@ def prune(vocab: DataFrame, max_terms: int = fv.VOCAB_TERM_MAX,
     return vocab.orderBy(F.desc("term_count"), F.asc(term)).limit(max_terms)
 
 
+def top_vocabulary(df: DataFrame, text_col: str, max_terms: int = fv.VOCAB_TERM_MAX,
+                   stop_words=fv.ENGLISH_STOP_WORDS) -> DataFrame:
+    """(term, term_count, doc_count) of the ``max_terms`` most frequent terms:
+    terms are counted and pruned first, and only the kept ones are counted by
+    document, so no exchange is keyed by (document, term)."""
+    toks = df.select(clean_tokens(text_col, list(stop_words)).alias("__t"))
+    kept = prune(word_counts(toks.select(F.explode("__t").alias("term")), "term", "term_count"), max_terms)
+    held = restrict(toks.select(F.explode(F.array_distinct("__t")).alias("term")), kept)
+    # At most ``max_terms`` rows on both sides.
+    return kept.join(held.groupBy("term").agg(F.count(F.lit(1)).alias("doc_count")), "term")
+
+
 def restrict(dtm: DataFrame, vocab: DataFrame, term: str = "term") -> DataFrame:
     """Document-term counts limited to a pruned vocabulary (broadcast: the
-    vocabulary size is bounded by the prune limit)."""
+    vocabulary must come from :func:`prune`, whose limit bounds its size)."""
     return dtm.join(F.broadcast(vocab.select(term)), term, "inner")
 
 

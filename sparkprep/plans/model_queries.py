@@ -41,7 +41,7 @@ def gbt_scores(spark, d):
         "weight", encode.class_weight(TARGET, {"YES": fv.BOOST_POS_WEIGHT}))
     parts = materialize(split_listings(lab))
     model = models.gbt(SPEC, parts.where(F.col("split") == "train"), rounds=50, step=0.18,
-                       max_depth=47, min_node=3)
+                       max_depth=models.MAX_DEPTH, min_node=4)
     valid = parts.where(F.col("split") == "valid_use")
     scored = models.score(model, valid).withColumn(
         "pred", evaluate.classify("prob_yes", 0.45, inclusive=True))
@@ -50,7 +50,8 @@ def gbt_scores(spark, d):
 
 @query("gbt_early_stop")
 def gbt_early_stop(spark, d):
-    lab = listing_features(spark, d, True).withColumn("weight", F.lit(1.0))
+    lab = listing_features(spark, d, True).withColumn(
+        "weight", encode.class_weight(TARGET, {"YES": fv.LEAFWISE_POS_WEIGHT}))
     parts = materialize(split_listings(lab).where(F.col("split") != "valid_final")
                         .withColumn("is_valid", F.col("split") == "valid_use"))
     model = models.gbt(SPEC, parts, rounds=200, step=0.28, max_depth=6, min_node=35,
@@ -152,4 +153,7 @@ def listing_clean_flow(spark, d):
     from sparkprep.plans.listing_clean import clean_listings
     # The statistics passes replay this derived input; measured, replaying the
     # projection is cheaper than writing the text-heavy table to a checkpoint.
-    return clean_listings(listing_adapter(spark, d))
+    langs, sources = ["de", "en", "es", "fr"], [f"src{i}" for i in range(20)]
+    return clean_listings(listing_adapter(spark, d), vocabs={
+        "amenities": [*langs, *sources, None], "host_verifications": [*sources, None],
+        "features": [*langs, fv.MISSING_TOKEN]})

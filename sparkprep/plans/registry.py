@@ -30,9 +30,8 @@ def sql_match(lowered: str, pattern) -> str:
     pats = pattern if isinstance(pattern, (list, tuple)) else [pattern]
     parts = []
     for p in pats:
-        p = p.lower()
-        parts.append(f"contains({lowered}, {q(p)})" if _is_plain(p)
-                     else f"regexp_matches({lowered}, {q(p)})")
+        parts.append(f"contains({lowered}, {q(p.lower())})" if _is_plain(p)
+                     else f"regexp_matches({lowered}, {q(p)}, 'i')")
     return "(" + " AND ".join(parts) + ")"
 
 

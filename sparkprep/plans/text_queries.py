@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkprep.functions import fixed_values as fv
-from sparkprep.functions.text import list_tokens
+from sparkprep.functions.text import list_tokens, word_tokens
 from sparkprep.operators import agg, join, multi, split, textmine
 from sparkprep.operators.impute import fill_tokens
 from sparkprep.plans.registry import q, query, sql_list
@@ -39,13 +39,10 @@ SELECT word, CAST(n AS BIGINT) AS n,
 FROM c WHERE word NOT IN {STOP_SQL} AND NOT regexp_matches(word, '\\d')""")
 def stopword_antijoin(spark, d):
     docs = text_table(spark, d, "documents")
-    # One aggregate yields per-word counts and the grand total (rollup row
-    # with a null word); both branches reuse its exchange, so every text is
-    # tokenised once.
-    both = textmine.unnest_tokens(docs, "text").rollup("word").agg(
-        F.count(F.lit(1)).alias("n"), F.grouping("word").alias("__g"))
-    total = both.where(F.col("__g") == 1).select("n").scalar()
-    counts = both.where(F.col("__g") == 0).drop("__g")
+    # The total is the sum of the per-word counts; both branches reuse their
+    # exchange, so every text is tokenised once.
+    counts = textmine.word_counts(textmine.unnest_tokens(docs, "text"))
+    total = counts.agg(F.sum("n").alias("n")).select("n").scalar()
     kept = join.anti(counts, _stop_words(spark), "word", small=True) \
         .where(~F.col("word").rlike(r"\d"))
     flag = F.when(F.col("word").isin(*fv.SPACE_KEYWORDS), "Yes").otherwise("No")
@@ -92,10 +89,7 @@ v AS (SELECT term, sum(n) AS term_count, count(*) AS doc_count FROM dtm GROUP BY
 SELECT term, CAST(term_count AS BIGINT) AS term_count, CAST(doc_count AS BIGINT) AS doc_count FROM v""")
 def dtm_topterms(spark, d):
     docs = text_table(spark, d, "documents")
-    dtm = textmine.doc_term_counts(textmine.clean_term_rows(docs, "doc_id", "text"), "doc_id")
-    vocab = textmine.prune(textmine.vocabulary(dtm))
-    kept = textmine.restrict(dtm, vocab)
-    return textmine.term_totals(kept)
+    return textmine.top_vocabulary(docs, "text")
 
 
 _SPLIT_SQL = """SELECT doc_id, row_number() OVER (ORDER BY md5('{seed}:' || CAST(doc_id AS VARCHAR)), doc_id) AS rn,
@@ -113,11 +107,10 @@ SELECT doc_id, dtm.term, CAST(n AS BIGINT) AS n FROM dtm JOIN v ON dtm.term = v.
 def dtm_train_vocab(spark, d):
     docs = split.holdout(text_table(spark, d, "documents").select("doc_id", "text"),
                          fv.VALID_FRACTION, fv.SPLIT_SEED, "doc_id", "is_valid")
-    dtm = textmine.doc_term_counts(
-        textmine.clean_term_rows(docs, ["doc_id", "is_valid"], "text"), ["doc_id", "is_valid"])
-    train_vocab = textmine.prune(textmine.vocabulary(dtm.where(~F.col("is_valid"))))
-    applied = textmine.restrict(dtm.where("is_valid"), train_vocab)
-    return applied.select("doc_id", "term", "n")
+    train = textmine.clean_term_rows(docs.where(~F.col("is_valid")), [], "text")
+    train_vocab = textmine.prune(textmine.word_counts(train, "term", "term_count"))
+    valid = textmine.clean_term_rows(docs.where("is_valid"), "doc_id", "text")
+    return textmine.doc_term_counts(textmine.restrict(valid, train_vocab), "doc_id")
 
 
 # ----------------------------------------------------------- list columns
@@ -158,7 +151,7 @@ def multi_hot(spark, d):
     toks = lists.select(F.col("k").alias("l_orderkey"),
                         fill_tokens(list_tokens("txt"), fv.MISSING_TOKEN).alias("toks"))
     toks = toks.withColumn("n_tokens", F.size(F.array_distinct("toks")).cast("long"))
-    return multi.one_hot(toks, "toks", prefix="has_")
+    return multi.one_hot(toks, "toks", [*_LIST_SPARK_TOKENS, fv.MISSING_TOKEN], prefix="has_")
 
 
 @query("list_vocabulary", f"""{_LIST_SQL},
@@ -186,4 +179,14 @@ def multi_hot_na(spark, d):
     """Multi-hot without a placeholder: a missing list is its own level (has_NA)."""
     lists = _order_lists(spark, d).withColumnRenamed("k", "l_orderkey")
     toks = multi.tokens(lists, "txt")
-    return multi.one_hot(toks, "txt", prefix="has_")
+    return multi.one_hot(toks, "txt", [*_LIST_SPARK_TOKENS, None], prefix="has_")
+
+
+@query("multi_hot_open", f"""
+WITH w AS (SELECT doc_id, unnest({WORDS_SQL.format(c='text')}) AS token FROM documents)
+SELECT DISTINCT doc_id, token FROM w WHERE token <> ''""")
+def multi_hot_open(spark, d):
+    """Multi-hot over an open vocabulary: every word of every document, in
+    long form."""
+    docs = text_table(spark, d, "documents", "doc_id", "text")
+    return multi.long_form(docs.select("doc_id", word_tokens("text").alias("words")), "doc_id", "words")

@@ -13,6 +13,7 @@ from sparkprep.functions import rules as R
 from sparkprep.functions.text import before
 from sparkprep.operators import encode, evaluate, join, split
 from sparkprep.plans import models
+from sparkprep.plans.listing_clean import prune_for_model
 from sparkprep.session import materialize, shared_path
 from sparkprep.sources.files import write_predictions
 from sparkprep.sources.tables import table, text_table
@@ -79,10 +80,10 @@ def fit_score_write(spark, d: str, kind: str = "forest", trees: int = fv.FOREST_
     elif kind == "gbt_early_stop":
         # early stopping needs labels: hold out a hashed slice of the
         # labelled rows (the unlabelled table cannot serve as validation)
-        lab = split.holdout(lab.withColumn("weight", F.lit(1.0)), fv.FINAL_FRACTION,
-                            fv.SPLIT_SEED, "doc_id", "is_valid")
-        model = models.gbt(SPEC, lab, rounds=200, step=0.28, max_depth=6, min_node=35,
-                           subsample=0.8, feature_fraction="0.8", validation_col="is_valid")
+        lab = split.holdout(lab.withColumn("weight", encode.class_weight(
+            TARGET, {"YES": fv.LEAFWISE_POS_WEIGHT})), fv.FINAL_FRACTION, fv.SPLIT_SEED, "doc_id", "is_valid")
+        # the untuned preset: step 0.1, 31 leaves (depth 5), 20 rows a leaf, no sampling
+        model = models.gbt(SPEC, lab, rounds=200, step=0.1, max_depth=5, min_node=20, validation_col="is_valid")
         thr, inc = fv.THRESHOLDS["default"], False
     elif kind == "lasso":
         from pyspark.ml import PipelineModel
@@ -95,6 +96,7 @@ def fit_score_write(spark, d: str, kind: str = "forest", trees: int = fv.FOREST_
     scored = models.score(model, test).withColumn(
         "prediction", evaluate.classify("prob_yes", thr, inc))
     out = scored.select("doc_id", "prob_yes", "prediction")
+    out = materialize(out)  # scored once, for the file and the caller
     write_predictions(out, path or shared_path(spark, f"predictions-{kind}"), key="doc_id")
     return out
 
@@ -152,10 +154,12 @@ def enriched_forest(spark, d: str, trees: int = fv.FOREST_TREES) -> DataFrame:
                        by=["split"])
 
 
-def auto_spec(df: DataFrame, exclude=()) -> tuple[DataFrame, models.FeatureSpec]:
-    """Feature spec from column types: numeric columns pass through, text
-    columns are categorical, dates become days since the reference date
-    (added as ``<col>_days``). Returns the table with those date columns."""
+def auto_spec(df: DataFrame, exclude=(), categorical: Sequence[str] = ()) -> tuple[DataFrame, models.FeatureSpec]:
+    """Feature spec: numeric columns pass through, dates become days since the
+    reference date (added as ``<col>_days``), and the text columns named in
+    ``categorical`` are encoded. The encoders keep one entry per level on the
+    driver, so the caller names the columns of few levels; other text columns
+    are not features. Returns the table with the date columns."""
     skip = set(exclude)
     types = dict(df.dtypes)
     dates = [c for c, t in types.items() if t in ("date", "timestamp", "timestamp_ntz") and c not in skip]
@@ -165,18 +169,18 @@ def auto_spec(df: DataFrame, exclude=()) -> tuple[DataFrame, models.FeatureSpec]
     numeric = [c for c, t in out.dtypes
                if c not in skip and c not in dates
                and (t in number_types or t.startswith("decimal"))]
-    categorical = [c for c, t in out.dtypes if t == "string" and c not in skip]
-    return out, models.FeatureSpec(numeric, categorical)
+    return out, models.FeatureSpec(numeric, [c for c in categorical if c not in skip])
 
 
 def forest_report(df: DataFrame, target: str = TARGET, key: str = "row_id",
-                  trees: int = fv.FOREST_TREES, threshold: float = fv.THRESHOLDS["forest"]) -> DataFrame:
-    """Nested hashed split of a cleaned table, class-weighted forest on the
+                  trees: int = fv.FOREST_TREES, threshold: float = fv.THRESHOLDS["forest"],
+                  categorical: Sequence[str] = ()) -> DataFrame:
+    """Nested hashed split of a cleaned table without the pruned features, class-weighted forest on the
     training part, and accuracy / TPR / FPR on the training and validation
     parts at ``threshold`` (inclusive)."""
     lab = df.withColumns({"label": encode.binary_label(target).cast("double"),
                           "weight": encode.class_weight(target, fv.CLASS_WEIGHTS)})
-    lab, spec = auto_spec(lab, exclude=[key, target, "label", "weight"])
+    lab, spec = auto_spec(prune_for_model(lab), [key, target, "label", "weight"], categorical)
     parts = materialize(split.nested_holdout(lab, key))
     model = models.random_forest(spec, parts.where(F.col("split") == "train"), trees=trees)
     return metrics_for(model, parts.where(F.col("split") != "valid_final"), threshold, by=["split"])

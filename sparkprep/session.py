@@ -8,6 +8,7 @@ UI off, UTC session time zone, and a checkpoint folder when none is configured.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -21,6 +22,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # 128 MiB input splits keep scan tasks small enough to fit an executor core.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
@@ -51,8 +53,9 @@ def get_session(master: str | None = None, app: str = "sparkprep",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the deployment sets it to a shared file system. Only when it
-    is unset (local tests) a private temporary folder is created and set.
+    On a cluster the deployment sets it to a shared file system; a cluster
+    session without it is refused. Only a local session (tests, bench) gets a
+    private temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
@@ -61,6 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = (spark.conf.get("spark.checkpoint.dir", None)
                   or sc.getConf().get("spark.checkpoint.dir", None))
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="sparkprep-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -79,18 +84,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def materialize(df, rows_per_partition: int = 200_000):
+def materialize(df):
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder
     (survives executor loss, unlike a local checkpoint). Used before
-    iterative fits so each iteration does not replay the feature plan.
-
-    Partitions are then right-sized to about ``rows_per_partition`` rows
-    (narrow coalesce, no shuffle): iterative learners launch one job per
-    iteration, so tiny tasks cost more in scheduling than in work."""
+    iterative fits so each iteration does not replay the feature plan. The
+    partitions stay as they are."""
     ensure_checkpoint_dir(df.sparkSession)
-    ck = df.checkpoint(eager=True)
-    n = ck.count()
-    target = max(1, -(-n // rows_per_partition))
-    if target < ck.rdd.getNumPartitions():
-        ck = ck.coalesce(target)
-    return ck
+    return df.checkpoint(eager=True)

@@ -14,19 +14,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (tokenising whole texts) at least one task
-    per core. Repartitions (round-robin) only when the scan yields fewer
-    partitions than cores, as a single small file does; at cluster scale the
-    scan already has far more splits than cores and nothing is added."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def text_table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """A text table restricted to ``cols`` (pruned before any repartition),
-    spread over the cores."""
+    """A text table restricted to ``cols``. The number of scan tasks follows
+    from the session's split settings; rows are not moved."""
     df = table(spark, sf_dir, name)
-    return spread(df.select(*cols) if cols else df)
+    return df.select(*cols) if cols else df

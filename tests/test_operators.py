@@ -55,7 +55,7 @@ def test_contiguous_folds_equal_cut(spark, n, k):
 def test_multi_hot_row_sums_equal_distinct_tokens(spark):
     df = spark.createDataFrame([(1, "a, b,b"), (2, None), (3, "C")], "id int, c string")
     t = multi.tokens(df, "c", null_token="missing_value_placeholder")
-    wide = multi.one_hot(t, "c")
+    wide = multi.one_hot(t, "c", multi.collect_vocabulary(t, "c"))
     cols = [c for c in wide.columns if c.startswith("has_")]
     for r in wide.collect():
         src = {1: {"a", "b"}, 2: {"missing_value_placeholder"}, 3: {"c"}}[r["id"]]
@@ -124,7 +124,8 @@ def test_knn_matches_brute_force(spark):
 
 def test_multi_hot_missing_list_is_its_own_level(spark):
     df = spark.createDataFrame([(1, "Wifi, TV"), (2, None)], "id int, c string")
-    wide = multi.one_hot(multi.tokens(df, "c"), "c")
+    toks = multi.tokens(df, "c")
+    wide = multi.one_hot(toks, "c", multi.collect_vocabulary(toks, "c"))
     got = {r["id"]: r.asDict() for r in wide.collect()}
     assert "has_NA" in wide.columns
     assert got[1]["has_NA"] == 0 and got[1]["has_wifi"] == 1 and got[1]["has_tv"] == 1
@@ -204,8 +205,31 @@ def test_long_form_and_drift_verdict(spark):
     assert sorted(map(tuple, multi.long_form(df, "id", "t").collect())) == [(1, "a"), (1, "b")]
     tr = spark.createDataFrame([("a",), ("b",)], "c string")
     te = spark.createDataFrame([("a",), ("c",)], "c string")
-    v = drift.verdict(drift.levels(tr, te)).first()
-    assert (v["column_name"], v["n_train_only"], v["n_test_only"]) == ("c", 1, 1)
+    tr, te = (t.withColumn("same", F.lit("x")) for t in (tr, te))
+    got = {(v["column_name"], v["n_train_only"], v["n_test_only"], v["verdict"]) for v in drift.verdict(tr, te).collect()}
+    assert got == {("c", 1, 1, "different"), ("same", 0, 0, "identical")}
+
+
+def test_names_that_differ_in_case_only(spark):
+    assert multi.make_unique(["has_na", "has_NA", "has_na.1"]) == ["has_na", "has_NA.2", "has_na.1"]
+    df = spark.createDataFrame([(1, "N/A"), (2, None)], "id int, c string")
+    toks = multi.tokens(df, "c")
+    got = {tuple(r) for r in multi.one_hot(toks, "c", multi.collect_vocabulary(toks, "c")).collect()}
+    assert got == {(1, 1, 0), (2, 0, 1)}
+
+
+def test_hash_select_keeps_null_groups(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "g") for i in range(10)], "k int, g string")
+    out = split.hash_select(df, 0.4, 7, "k", "v", by="g").collect()
+    assert len(out) == 10 and {g: sum(r["v"] for r in out if r["g"] == g) for g in (None, "g")} == {None: 2, "g": 2}
+
+
+def test_pattern_keeps_its_case(spark):
+    from sparkprep.functions import rules
+    from sparkprep.functions.text import has
+    df = spark.createDataFrame([("abc",), ("123",), ("ABC",)], "t string")
+    assert [r[0] for r in df.select(has("t", r"\D")).collect()] == [True, False, True]
+    assert [r[0] for r in df.select(rules.first_match("t", [(r"^\D+$", "word"), ("ABC", "x")], "other")).collect()] == ["word", "other", "word"]
 
 
 def test_hash_select_keeps_rows_with_null_keys(spark):

@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkprep.operators.ordering import with_row_index
+
 
 def ordinal_model(df: DataFrame, cols: Sequence[str], suffix: str = "_idx"):
     """StringIndexer over all ``cols`` in one fit (levels sorted by text)."""
@@ -34,6 +36,24 @@ def ordinal(df: DataFrame, cols: Sequence[str], suffix: str = "_code",
         .drop(*[c + "_idx" for c in cols])
 
 
+def level_codes(df: DataFrame, col: str) -> DataFrame:
+    """(level, code) of a column of any number of levels: 1-based codes of the
+    sorted distinct values, as a table that never leaves the executors."""
+    levels = df.select(F.col(f"`{col}`").alias("level")).where(F.col("level").isNotNull()).distinct()
+    return with_row_index(levels, ["level"], "code")
+
+
+def ordinal_by_table(df: DataFrame, col: str, codes: DataFrame, suffix: str = "_code") -> DataFrame:
+    """:func:`ordinal` by a join with :func:`level_codes`; unseen and null
+    values get ``n_levels + 1``. Nulls get keys of their own, so they spread."""
+    top = codes.agg((F.count(F.lit(1)) + 1).alias("top")).select("top").scalar()
+    apart = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
+    keyed = df.withColumn("__k", F.coalesce(F.col(f"`{col}`").cast("string"), apart))
+    j = keyed.join(codes.select(F.col("level").cast("string").alias("__level"), F.col("code").alias("__code")),
+                   F.col("__k") == F.col("__level"), "left")
+    return j.withColumn(col + suffix, F.coalesce("__code", top).cast("int")).drop("__k", "__level", "__code")
+
+
 class Dummies:
     """One 0/1 column per level of each categorical column (no reference
     level dropped); other columns pass through."""

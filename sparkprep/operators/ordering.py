@@ -15,7 +15,8 @@ No step puts a whole group, let alone the whole table, into one task: a hot
 group is split across the ``B`` ranges, and the only un-partitioned window
 runs over at most ``B`` rows. The first order column must be numeric (or
 castable to double in an order-preserving way) and should be close to unique;
-later columns break ties.
+later columns break ties. Row indexes by text keys go by range partitions over
+all order columns instead (:func:`with_row_index`).
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sparkprep.session import shuffle_partitions
+from sparkprep.session import materialize, shuffle_partitions
 
 _KEY = "__ord_key"
 _BKT = "__ord_bucket"
@@ -49,13 +51,10 @@ def _names(cols) -> list[str]:
     return list(cols or [])
 
 
-MAX_BUCKETS = 100_000
-
-
 def default_buckets(df: DataFrame) -> int:
     """Four ranges per shuffle partition (so per-range windows shrink as the
-    cluster's shuffle width grows), capped to keep the split list small."""
-    return min(MAX_BUCKETS, max(8, 4 * shuffle_partitions(df.sparkSession)))
+    cluster's shuffle width, which is set for the data, grows)."""
+    return max(8, 4 * shuffle_partitions(df.sparkSession))
 
 
 def range_splits(df: DataFrame, key: Column, n_buckets: int,
@@ -63,7 +62,7 @@ def range_splits(df: DataFrame, key: Column, n_buckets: int,
     """Bucket edges at approximate quantiles of ``key`` (bounded memory). The
     sketch accuracy scales with the number of ranges so neighbouring edges
     stay distinguishable."""
-    accuracy = accuracy or min(1_000_000, max(10_000, 4 * n_buckets))
+    accuracy = accuracy or max(10_000, 4 * n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     row = df.select(F.percentile_approx(key.cast("double"), probs, accuracy)
                     .alias("q")).first()
@@ -160,11 +159,42 @@ def with_row_index(df: DataFrame, order_cols, name: str = "row_idx",
     """Dense position (``start``-based) of each row in ``order_cols`` order,
     optionally restarting per ``by`` group. ``order_cols`` must be unique
     (within a group) for the result to be deterministic."""
+    first = df.select(_as_cols(order_cols)[0]).schema[0].dataType
+    if isinstance(first, (T.StringType, T.BinaryType)):
+        return _index_by_ranges(df, order_cols, name, _names(by), start, total)
     out = prefix_sums(df, order_cols, by=by, before="__pos", total=total,
                       n_buckets=n_buckets, key_range=key_range)
     return out.withColumn(name, F.col("__pos") + F.lit(start)).drop("__pos")
 
 
+def _index_by_ranges(df: DataFrame, order_cols, name: str, by: list[str], start: int,
+                     total: str | None) -> DataFrame:
+    """Row index for keys that have no number: rows are range-partitioned and
+    sorted by all group and order columns (equal first values spread over
+    ranges), written to the shared folder once, and numbered from one count
+    per partition. Within groups the group's smallest position is taken off."""
+    order = [F.col(f"`{c}`") for c in by] + _as_cols(order_cols)
+    ranged = df.repartitionByRange(shuffle_partitions(df.sparkSession), *order).sortWithinPartitions(*order)
+    rows = materialize(ranged.withColumn(_KEY, F.monotonically_increasing_id()))
+    part = F.shiftright(_KEY, 33)  # the high bits of the id number the partition
+    counts = rows.groupBy(part.alias(_BKT)).agg(F.count(F.lit(1)).alias(_W))
+    before = F.coalesce(F.sum(_W).over(Window.orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row per partition.
+    offs = counts.select(_BKT, before.alias(_OFF), F.sum(_W).over(Window.partitionBy()).alias(_TOT))
+    place = F.col(_KEY) - F.shiftleft(F.col(_BKT), 33) + F.col(_OFF)
+    out = rows.withColumn(_BKT, part).join(F.broadcast(offs), _BKT).withColumn(name, place)
+    if by:
+        groups = out.groupBy(*[F.col(f"`{c}`").alias(f"__g{i}") for i, c in enumerate(by)]).agg(F.min(name).alias(_BW), F.count(F.lit(1)).alias(_W))
+        cond = F.lit(True)
+        for i, c in enumerate(by):
+            cond = cond & F.col(f"`{c}`").eqNullSafe(F.col(f"__g{i}"))
+        out = out.drop(_TOT).join(groups.withColumnRenamed(_W, _TOT), cond).withColumn(name, F.col(name) - F.col(_BW))
+        out = out.drop(_BW, *[f"__g{i}" for i in range(len(by))])
+    out = out.withColumn(name, F.col(name) + F.lit(start))
+    out = out.withColumnRenamed(_TOT, total) if total else out.drop(_TOT)
+    return out.drop(_KEY, _BKT, _OFF)
+
+
 def value_counts(df: DataFrame, value: str, by: Sequence[str] = (),
                  name: str = "__c") -> DataFrame:
     """(group, value, count) of non-null values, map-side combined."""

@@ -27,6 +27,19 @@ def numeric_summary(df: DataFrame, cols=None) -> DataFrame:
     return wide.select(F.stack(F.lit(len(cols)), *rows).alias("column_name", "n", "mean", "sd", "min", "max"))
 
 
+def full_summary(df: DataFrame, cols=None) -> DataFrame:
+    """:func:`numeric_summary` with the null count and exact quartiles."""
+    from pyspark.sql import types as T
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    pairs = [x for c in cols for x in (F.lit(c), F.col(f"`{c}`").cast("double"))]
+    long = df.select(F.stack(F.lit(len(cols)), *pairs).alias("column_name", "__v"))
+    q = exact_quantiles(long, "__v", [0.25, 0.5, 0.75], by=["column_name"]).drop("n")
+    q = q.toDF("column_name", "q1", "median", "q3")
+    return (numeric_summary(df, cols).withColumn("n", F.col("n").cast("long"))
+            .join(nulls(df.select(*[F.col(f"`{c}`") for c in cols]), only_missing=False).select("column_name", "n_null"), "column_name")
+            .join(q, "column_name", "left"))
+
+
 def nulls(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """(column_name, n_null, n_not_null) from ONE aggregate over all columns,
     unpivoted to long form."""

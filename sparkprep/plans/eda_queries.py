@@ -209,6 +209,36 @@ def positional_join(spark, d):
         "row_idx", "a_key", "o_totalprice", "b_key", "o_orderstatus")
 
 
+@query("positional_join_text", """
+WITH a AS (SELECT c_name, c_acctbal, row_number() OVER (ORDER BY c_name) AS row_idx FROM customer),
+b AS (SELECT c_custkey, c_mktsegment,
+             row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS row_idx FROM customer)
+SELECT a.row_idx, c_name, c_acctbal, c_mktsegment, c_custkey FROM a JOIN b ON a.row_idx = b.row_idx""")
+def positional_join_text(spark, d):
+    """Positions by text keys; the second has five values, a fifth of all rows
+    each."""
+    c = table(spark, d, "customer")
+    a, b = c.select("c_name", "c_acctbal"), c.select("c_mktsegment", "c_custkey")
+    return join.positional(a, b, ["c_name"], ["c_mktsegment", "c_custkey"]).select(
+        "row_idx", "c_name", "c_acctbal", "c_mktsegment", "c_custkey")
+
+
+@query("level_verdict", """
+WITH t AS (SELECT c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS nation,
+                  CASE WHEN c_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS parity, c_custkey % 2 = 0 AS is_test FROM customer),
+lv AS (SELECT 'segment' AS column_name, segment AS level, is_test FROM t UNION ALL SELECT 'nation', nation, is_test FROM t
+       UNION ALL SELECT 'parity', parity, is_test FROM t),
+s AS (SELECT column_name, level, bool_or(is_test) AS te, bool_or(NOT is_test) AS tr FROM lv GROUP BY ALL)
+SELECT column_name, CAST(count(*) FILTER (NOT te) AS BIGINT) AS n_train_only, CAST(count(*) FILTER (NOT tr) AS BIGINT) AS n_test_only,
+       CASE WHEN count(*) FILTER (NOT te OR NOT tr) > 0 THEN 'different' ELSE 'identical' END AS verdict FROM s GROUP BY column_name""")
+def level_verdict(spark, d):
+    even = F.col("c_custkey") % 2 == 0
+    t = table(spark, d, "customer").select(
+        F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("string").alias("nation"),
+        F.when(even, "even").otherwise("odd").alias("parity"), even.alias("is_test"))
+    return drift.verdict(t.where("NOT is_test").drop("is_test"), t.where("is_test").drop("is_test"))
+
+
 @query("enrich_join", """
 WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn
                           FROM orders) t WHERE rn = 1)
@@ -238,6 +268,32 @@ def csv_round_trip(spark, d):
     return back
 
 
+@query("csv_row_index", """
+SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN o_orderkey % 10 < 7 THEN 0 ELSE 1 END, o_orderkey) AS row_id FROM orders""")
+def csv_row_index(spark, d):
+    """Two folders of CSV files of unequal size, written in key order and read
+    back with row ids in file order."""
+    path = shared_path(spark, "ordered-csv")
+    o = table(spark, d, "orders").select("o_orderkey")
+    first = F.col("o_orderkey") % 10 < 7
+    for k, part in enumerate((o.where(first), o.where(~first))):
+        part.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.option("header", True).csv(f"{path}/part={k}")
+    return read_table(spark, f"{path}/part=*", schema="o_orderkey long", multi_line=False)
+
+
+@query("summary_quartiles", """
+WITH p AS (SELECT CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_retailprice END AS price, CAST(p_size AS DOUBLE) AS size FROM part),
+l AS (SELECT 'price' AS column_name, price AS v FROM p UNION ALL SELECT 'size', size FROM p)
+SELECT column_name, CAST(count(v) AS BIGINT) AS n, CAST(count(*) - count(v) AS BIGINT) AS n_null, round(avg(v), 6) AS mean,
+       round(min(v), 6) AS min, round(quantile_cont(v, 0.25), 6) AS q1, round(quantile_cont(v, 0.5), 6) AS median,
+       round(quantile_cont(v, 0.75), 6) AS q3, round(max(v), 6) AS max FROM l GROUP BY column_name""")
+def summary_quartiles(spark, d):
+    p = table(spark, d, "part").select(
+        F.when(F.col("p_partkey") % 7 != 0, F.col("p_retailprice")).alias("price"), F.col("p_size").cast("double").alias("size"))
+    s = profile.full_summary(p)
+    return s.select("column_name", "n", "n_null", *[F.round(c, 6).alias(c) for c in ("mean", "min", "q1", "median", "q3", "max")])
+
+
 _SUM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 

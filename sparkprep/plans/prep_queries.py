@@ -38,6 +38,17 @@ _CELLS_SQL = """CAST(count_if(pred = 'YES' AND actual = 'YES') AS BIGINT) AS tp,
 _P_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
+@query("ordinal_encode_wide", """
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN c_name END AS c_name FROM customer),
+l AS (SELECT c_name, row_number() OVER (ORDER BY c_name) AS code FROM (SELECT DISTINCT c_name FROM c WHERE c_name IS NOT NULL) x)
+SELECT c_custkey, c.c_name, CAST(coalesce(code, (SELECT count(*) + 1 FROM l)) AS INTEGER) AS c_name_code
+FROM c LEFT JOIN l ON c.c_name = l.c_name""")
+def ordinal_encode_wide(spark, d):
+    """Codes of a column with a level per row, by a level table."""
+    c = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 9 != 0, F.col("c_name")).alias("c_name"))
+    return encode.ordinal_by_table(c, "c_name", encode.level_codes(c, "c_name"))
+
+
 @query("ordinal_encode", """
 SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_type) AS INTEGER) AS p_type_code,
        CAST(dense_rank() OVER (ORDER BY p_brand) AS INTEGER) AS p_brand_code FROM part""")

@@ -6,8 +6,8 @@ texts link when ``100 * |A & B| >= percent * |A | B|``, and classes are the
 connected components of the links.
 
 1. Counts. One pass adds all shingles of all texts to a sketch of ``2**BITS``
-   counters, broadcast as 4-bit logarithms (64 MiB at any input size). Counts
-   are never too low, so a shingle counted once is in one text only. The
+   counters, broadcast as 2-bit levels of frequency (64 MiB at any input size).
+   Counts are never too low, so a shingle counted once is in one text only. The
    sketch orders shingles from rare to frequent and estimates costs; links
    never depend on its error.
 2. Prefixes. Texts that link share at least l shingles of their first
@@ -55,9 +55,11 @@ from sparkprep.llm.common import NOT_SPACE, Words, nested_row, ngram_hashes, sto
 
 SHINGLE = 5
 PERCENT = 75
-BITS = 27
+BITS = 28
 BLOCK_BITS = 22
 FLUSH = 1 << 22
+LEVELS = (2, 8, 256)  # texts that a shingle of level 1, 2, 3 is in at least
+OTHERS = np.array([0.0, 2.0, 40.0, 1000.0])  # other texts that a level stands for
 MOST_MATCHES = 16
 VERIFY_COST = 20.0  # of a candidate, in list entries
 BLOCK_SHINGLES = 1 << 19  # of a block in step 5; one longer set is a block
@@ -118,8 +120,8 @@ def _add_up(last: bool):
     """Messages sorted by (block, part), added up; the last turn gives levels."""
     def out(key, total):
         if last:
-            level = np.log2(np.maximum(total, 1)).astype(np.uint8)
-            packed = zlib.compress((level[0::2] | level[1::2] << 4).tobytes(), 1)
+            level = sum((total >= least).astype(np.uint8) for least in LEVELS)
+            packed = zlib.compress((level[0::4] | level[1::4] << 2 | level[2::4] << 4 | level[3::4] << 6).tobytes(), 1)
             yield pa.RecordBatch.from_pydict({"block": pa.array([key[0]], pa.int32()), "levels": pa.array([packed], pa.binary())})
         else:
             yield _message(key, np.flatnonzero(total).astype(np.uint32), total[total > 0])
@@ -143,7 +145,8 @@ _loaded: dict[str, np.ndarray] = {}
 
 
 class Levels:
-    """floor(log2(count)) of shingles, on executors; 0 means one text only."""
+    """How many of ``LEVELS`` a shingle's count reaches, on executors; 0 means
+    that it is in one text only."""
 
     def __init__(self, spark: SparkSession, planes: list[tuple[int, bytes]]):
         self._sent = spark.sparkContext.broadcast(planes)
@@ -152,18 +155,18 @@ class Levels:
     def of(self, grams: np.ndarray) -> np.ndarray:
         if self.key not in _loaded:
             _loaded.clear()  # a reused worker keeps the last sketch only
-            plane, size = np.zeros(1 << (BITS - 1), np.uint8), 1 << (BLOCK_BITS - 1)
+            plane, size = np.zeros(1 << (BITS - 2), np.uint8), 1 << (BLOCK_BITS - 2)
             for block, packed in self._sent.value:
                 plane[block * size:(block + 1) * size] = np.frombuffer(zlib.decompress(packed), np.uint8)
             _loaded[self.key] = plane
         at = _places(grams)
-        return _loaded[self.key][at >> np.uint64(1)] >> ((at & np.uint64(1)) << np.uint64(2)).astype(np.uint8) & np.uint8(15)
+        return _loaded[self.key][at >> np.uint64(2)] >> ((at & np.uint64(3)) << np.uint64(1)).astype(np.uint8) & np.uint8(3)
 
 
 def count_shingles(texts: DataFrame) -> Levels:
     message = "block int, part int, at binary, times binary"
     merged = merged_blocks(texts.mapInArrow(_count, message), 1 << (BITS - BLOCK_BITS), _add_up, message, "block int, levels binary")
-    # 2**BITS / 2 bytes at most, whatever the input.
+    # 2**BITS / 4 bytes at most, whatever the input.
     return Levels(texts.sparkSession, [(r["block"], bytes(r["levels"])) for r in merged.collect()])
 
 
@@ -173,8 +176,7 @@ def matches_needed(level: np.ndarray, base: int) -> int:
     """The l of lowest estimated cost for shingles of these levels, in order;
     ``base`` + l of them are the prefix."""
     most = min(MOST_MATCHES, len(level) - base)
-    others = np.where(level > 0, 1.5 * np.exp2(level.astype(float)) - 1, 0.0)
-    entries = np.cumsum(others)[base:base + most]
+    entries = np.cumsum(OTHERS[level])[base:base + most]
     return 1 + int(np.argmin(entries * (1 + VERIFY_COST / np.arange(1, most + 1))))
 
 
@@ -339,12 +341,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     two = rows.select(F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).cast("string").alias("text"))
     kind = two.schema["id"].dataType.simpleString()
     levels = count_shingles(two.filter("id IS NOT NULL").select("text"))
-    sets = stored(two.mapInArrow(_read(levels, percent), f"id {kind}, n long, class binary, shared binary, prefix array<long>, matches int, central double"), "sets")
+    read = two.mapInArrow(_read(levels, percent), f"id {kind}, n long, class binary, shared binary, prefix array<long>, matches int, central double")
+    sets = stored(read.withColumn("at", F.monotonically_increasing_id()), "sets")
     usable = sets.filter("id IS NOT NULL AND class IS NOT NULL")
-    classes = stored(usable.groupBy("class").agg(F.min("id").alias("rep"), F.max("id").alias("last")).withColumnRenamed("class", "cls"), "classes")
-    # Texts that can link, one of each class; an id may stand for several.
-    able = usable.filter("shared IS NOT NULL").join(classes, (F.col("class") == F.col("cls")) & (F.col("id") == F.col("rep")))
-    able = stored(able.dropDuplicates(["class"]).select(F.col("class"), "rep", "n", "shared", "prefix", "matches", "central"), "able")
+    first = usable.groupBy("class").agg(F.min(F.struct("id", "at")).alias("first"))
+    classes = stored(first.select(F.col("class").alias("cls"), F.col("first.id").alias("rep"), F.col("first.at").alias("row")), "classes")
+    # Texts that can link, one row of each class.
+    able = usable.filter("shared IS NOT NULL").join(classes, (F.col("class") == F.col("cls")) & (F.col("at") == F.col("row")))
+    able = stored(able.select("class", "n", "shared", "prefix", "matches", "central"), "able")
     member = F.struct("central", "class").alias("member")
     entries = able.select(F.explode("prefix").alias("token"), member)
     pivots = stored(entries.groupBy("token").agg(F.max("member").alias("pivot"), F.count(F.lit(1)).alias("size"))

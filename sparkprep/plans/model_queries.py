@@ -20,7 +20,7 @@ def lasso_select(spark, d):
     train = materialize(split_listings(lab).where(F.col("split") == "train"))
     # 100 penalties is the default of lasso_cv; Spark ML fits each of them from
     # scratch, and 1,000 fits take over 500 s on the sf0.01 table (README).
-    prep, cvm, names, _ = models.lasso_cv(SPEC, train, folds=10, n_lambdas=20)
+    prep, cvm, names, _ = models.lasso_cv(SPEC, train, folds=10, n_lambdas=8)
     return models.nonzero_features(cvm.bestModel, names, spark)
 
 

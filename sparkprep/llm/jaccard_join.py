@@ -362,9 +362,9 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Members that don't link with their pivot, against all of its members.
     queries = verified.filter("NOT linked").select("pivot", "rep")
     full = able.select("class", "n", "matches", "prefix", "shared", F.size("prefix").alias("p"))
-    weight = F.sum(F.greatest(F.lit(1), (F.octet_length("shared") / 8).cast("long")))
-    load = (verified.join(able.select(F.col("class").alias("rep"), "shared"), "rep").groupBy("pivot")
-            .agg(weight.alias("all"), F.sum(F.when(~F.col("linked"), (F.octet_length("shared") / 8).cast("long")).otherwise(0)).alias("asked"))
+    size = F.greatest(F.lit(1), (F.octet_length("shared") / 8).cast("long"))
+    load = (verified.join(able.select(F.col("class").alias("rep"), size.alias("size")), "rep").groupBy("pivot")
+            .agg(F.sum("size").alias("all"), F.sum(F.when(~F.col("linked"), F.col("size")).otherwise(0)).alias("asked"))
             .filter("asked > 0").select(F.col("pivot").alias("hub"), F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("ny"),
                                         F.ceil(F.col("asked") / BLOCK_SHINGLES).cast("int").alias("nx")))
     load = stored(load, "load")

@@ -15,11 +15,12 @@ whose own importance and that of everything below it is under ``threshold`` is
 removed from every page of the host. Elements that HTML or their class names
 declare to be navigation, header, footer, aside, advert, notice, form, script,
 comments and the like have presentation importance 0; where a page marks its
-content (article, main), what lies outside has 0 and the marked root has 1.
+content (article, main, role main), what lies outside has 0, and the marked
+root has composite importance 1: neither it nor what it lies in is ever cut.
 
-Copies of a page count once, a path needs ``min_pages`` pages before its
-entropies are trusted, and pages without a host are judged by presentation
-alone. The counts are partial aggregates over (path, value) hashes, so a host
+Pages of one content text count once, whatever stands around it; a path needs
+``min_pages`` pages before its entropies are trusted, and pages without a host
+are judged by presentation alone. The counts are partial aggregates over (path, value) hashes, so a host
 with a third of all pages is one partial row a task for each value; only one
 row per path reaches the task that walks a host's tree, and only paths on
 ``min_pages`` pages do.
@@ -87,7 +88,9 @@ def _element(tag: str, attrs: str, parent: Node) -> Node:
                     name += "".join("." + c for c in sorted(set(value.split())))
                 noise = noise or not NOISE_WORDS.isdisjoint(_WORD.findall(value))
             elif key == "role":
-                noise, content = noise or value in NOISE_ROLES, content or value == "main"
+                noise = noise or value in NOISE_ROLES
+                if value == "main" and not content:
+                    content, name = True, name.replace(tag, "main", 1)
             elif key == "hidden":
                 noise = True
     return Node(tag, name, noise, content, parent)
@@ -132,22 +135,25 @@ def parse(source: str) -> Node:
     return root
 
 
-def _marked(node: Node) -> bool:
-    """Whether the page marks its content somewhere that isn't noise."""
-    stack = [node]
-    while stack:
-        one = stack.pop()
-        if one.content and not one.noise:
-            return True
-        if not one.noise:
-            stack.extend(p for p in one.parts if isinstance(p, Node))
-    return False
-
-
 def _is_noise(node: Node, in_content: bool) -> bool:
     return node.noise or (node.tag == "header" and not in_content)
 
 
+def _marked(root: Node) -> set[int]:
+    """Ids of the nodes by which the page marks its content, somewhere that
+    isn't noise, and of all nodes around them."""
+    found, stack = set(), [root]
+    while stack:
+        one = stack.pop()
+        if one.content:
+            up = one
+            while up is not None and id(up) not in found:
+                found.add(id(up))
+                up = up.parent
+        stack.extend(p for p in one.parts if isinstance(p, Node) and not _is_noise(p, False))
+    return found
+
+
 def _flow(node: Node, in_content: bool):
     """Text and blocks of an element, None where a block is left out; inline
     elements are part of the text."""
@@ -207,7 +213,7 @@ def main_text(root: Node, cut: frozenset[str] = frozenset()) -> str:
                 open_.append(node)
         else:
             close()
-            if path not in cut:
+            if path not in cut or id(node) in marked:
                 in_content = in_content or node.content
                 stack.append((None, "", False))
                 for p in reversed(list(_flow(node, in_content))):
@@ -229,13 +235,15 @@ def _styles(batches):
     for batch in batches:
         out = [[] for _ in range(6)]
         for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            page = _hash(host, source)
-            if page in seen:  # a copy; those in other tasks fall to distinct()
+            copy = _hash(host, source)
+            if copy in seen:  # adds no row; other copies fall to the grouping by page
                 continue
             if len(seen) < 1 << 20:
-                seen.add(page)
+                seen.add(copy)
+            root = parse(source)
+            page = _hash(host, main_text(root))
             shown, texts = {}, {}
-            for path, kids, text in walk(parse(source)):
+            for path, kids, text in walk(root):
                 shown.setdefault(path, set()).add(">".join(kids))
                 if text:
                     texts.setdefault(path, set()).add(text)
@@ -250,6 +258,11 @@ def _styles(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["host", "path", "node", "kind", "value", "page"])
 
 
+def _is_root(path: str) -> bool:
+    """Whether a path ends in an element that marks the content."""
+    return path.rpartition(">")[2].partition(".")[0] in CONTENT_TAGS
+
+
 def importance(paths: list[tuple[str, float, float | None]], gamma: float = GAMMA) -> dict[str, tuple[float, float]]:
     """(composite importance, highest at or below) by path, from (path,
     presentation, content or None)."""
@@ -263,6 +276,7 @@ def importance(paths: list[tuple[str, float, float | None]], gamma: float = GAMM
         below = [out[k] for k in kids.get(p, ())]
         branches = [b[0] for b in below] + ([text] if text is not None else [])
         value = (1 - gamma) * shown + gamma * (sum(branches) / len(branches)) if branches else shown
+        value = 1.0 if _is_root(p) else value
         out[p] = value, max([value, *(b[1] for b in below)])
     return out
 
@@ -283,7 +297,10 @@ def style_cuts(pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GA
     cut (paths). Hosts without any have no row."""
     rows = pages.filter("host <> ''").select("host", "html").mapInArrow(
         _styles, "host string, path string, node long, kind int, value long, page long")
-    pages_with = rows.distinct().groupBy("node", "kind", "value").agg(
+    # Each page's texts, and one way (the least) in which its copies show a path.
+    way = F.when(F.col("kind") == 1, F.col("value")).alias("text")
+    rows = rows.groupBy("node", "kind", "page", "host", "path", way).agg(F.min("value").alias("value"))
+    pages_with = rows.groupBy("node", "kind", "value").agg(
         F.count(F.lit(1)).alias("k"), F.first("host").alias("host"), F.first("path").alias("path"))
     k, style = F.col("k").cast("double"), F.col("kind") == 0
     nodes = pages_with.groupBy("node").agg(

@@ -62,6 +62,27 @@ def test_style_tree_cuts_repeated_branches(spark):
     assert S.extract_text(pages.limit(0)).collect() == []
 
 
+def test_marked_content_is_never_cut(spark):
+    """Mirrors: one article, or three, under navigation that differs by page."""
+    def mirror(i, words, tag="article"):
+        return f"<body><div class=top>{i} other way {i * 3}</div><{tag}><p>{words} one</p><p>{words} two</p></{tag.split()[0]}><div>end {i}</div></body>"
+
+    rows = [(i, f"http://one.com/?s={i}", mirror(i, "same")) for i in range(40)]
+    rows += [(100 + i, f"http://three.com/?s={i}", mirror(i, f"text {i % 3}")) for i in range(90)]
+    rows += [(200 + i, f"http://role.com/?s={i}", mirror(i, "same", "div role=main")) for i in range(20)]
+    rows += [(300 + i, f"http://mixed.com/?s={i}", f"<body><p>always this</p><i>{i}</i></body>") for i in range(20)]
+    rows += [(400, "http://mixed.com/", "<body><article><p>always this</p></article></body>")]
+    got = {r.id: r.text for r in S.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(40):
+        assert got[i] == "same one\n\nsame two"
+    for i in range(90):
+        assert got[100 + i] == f"text {i % 3} one\n\ntext {i % 3} two"
+    assert all(got[200 + i] == "same one\n\nsame two" for i in range(20))
+    assert got[400] == "always this"
+    tree = S.parse("<body><div><article><p>a</p></article></div></body>")
+    assert S.main_text(tree, frozenset([">body", ">body>div", ">body>div>article"])) == "a"
+
+
 def test_importance_against_entropies(spark):
     """Presentation and content importances of a small site, by hand."""
     shown = ["<div class=a><p>t1</p></div>"] * 2 + ["<div class=a><p>t1</p><section>u</section></div>"] + ["<div class=a><p>t2</p></div>"]

@@ -12,9 +12,13 @@ classes, from the root down). For a path on m pages, two importances are taken:
 A node's composite importance is ``(1 - gamma) * presentation + gamma * mean
 importance of its branches``, the text at the node being one branch. A branch
 whose own importance and that of everything below it is under ``threshold`` is
-removed from every page of the host. Elements that HTML or their class names
-declare to be navigation, header, footer, aside, advert, notice, form, script,
-comments and the like have presentation importance 0; where a page marks its
+removed from every page of the host. Elements that HTML declares to be
+navigation, header, footer, aside, form, script and the like are left out. Those
+whose class or id has a word for them (advert, notice, comments; not in
+no-sidebar, has-comments, with-menu, ad-free) have presentation importance 0:
+they are left out unless their composite importance, by the content of their
+branches, reaches ``threshold`` on their host. Class words don't count on html,
+body, article and main and on what an article or main lies in. Where a page marks its
 content (article, main, role main), what lies outside has 0, and the marked
 root has composite importance 1: neither it nor what it lies in is ever cut.
 
@@ -60,6 +64,11 @@ NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor
                         "menu breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter "
                         "subscribe signup share sharing social comment comments disqus reply replies widget toolbar pagination pager login".split())
 CONTENT_TAGS = frozenset(["article", "main"])
+PLAIN_TAGS = CONTENT_TAGS | {"html", "body"}  # class words don't count on these
+# What takes back a word of a class name after it, or before it.
+BEFORE = frozenset("no non not has have with without hide".split())
+AFTER = frozenset(["free", "less"])
+DOUBT = "\x1e"  # ends the names of elements with a class word
 # An open element of the second kind is closed by the first.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
@@ -72,33 +81,45 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "name", "noise", "content", "parts", "parent")
+    __slots__ = ("tag", "name", "noise", "doubt", "content", "parts", "parent")
 
-    def __init__(self, tag, name, noise, content, parent):
-        self.tag, self.name, self.noise, self.content, self.parent, self.parts = tag, name, noise, content, parent, []
+    def __init__(self, tag, name, noise, doubt, content, parent):
+        self.tag, self.name, self.noise, self.doubt, self.content, self.parent, self.parts = tag, name, noise, doubt, content, parent, []
+
+
+def _noise_word(token: str) -> bool:
+    """Whether one class name or id has a word for what isn't content."""
+    words = _WORD.findall(token)
+    for i, word in enumerate(words):
+        if word in BEFORE:
+            return False
+        if word in NOISE_WORDS and not AFTER.intersection(words[i + 1:i + 2]):
+            return True
+    return False
 
 
 def _element(tag: str, attrs: str, parent: Node) -> Node:
-    name, noise, content = tag, tag in NOISE_TAGS, tag in CONTENT_TAGS
+    name, noise, doubt, content = tag, tag in NOISE_TAGS, False, tag in CONTENT_TAGS
     if attrs and "=" in attrs or " hidden" in attrs:
         for key, value in _ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
                 if key == "class":
                     name += "".join("." + c for c in sorted(set(value.split())))
-                noise = noise or not NOISE_WORDS.isdisjoint(_WORD.findall(value))
+                doubt = doubt or any(map(_noise_word, value.split()))
             elif key == "role":
                 noise = noise or value in NOISE_ROLES
                 if value == "main" and not content:
                     content, name = True, name.replace(tag, "main", 1)
             elif key == "hidden":
                 noise = True
-    return Node(tag, name, noise, content, parent)
+    doubt = doubt and not content and tag not in PLAIN_TAGS
+    return Node(tag, name + DOUBT if doubt else name, noise, doubt, content, parent)
 
 
 def parse(source: str) -> Node:
     """The page's element tree; parts are text and nodes in page order."""
-    root = top = Node("", "", False, False, None)
+    root = top = Node("", "", False, False, False, None)
     at, n = 0, len(source)
     while at < n:
         m = _TOKEN.search(source, at)
@@ -141,20 +162,26 @@ def _is_noise(node: Node, in_content: bool) -> bool:
 
 def _marked(root: Node) -> set[int]:
     """Ids of the nodes by which the page marks its content, somewhere that
-    isn't noise, and of all nodes around them."""
-    found, stack = set(), [root]
+    isn't noise, and of all nodes around them. Class words of these nodes are
+    taken back. An article inside an element with a class word (a comment, a
+    teaser) is kept, but marks nothing."""
+    found, around, stack = set(), set(), [(root, False)]
     while stack:
-        one = stack.pop()
+        one, doubt = stack.pop()
+        doubt = doubt or one.doubt is not False
         if one.content:
-            up = one
-            while up is not None and id(up) not in found:
-                found.add(id(up))
+            marks = not doubt or one.name.startswith("main")
+            up, done = one, found if marks else around
+            while up is not None and id(up) not in done:
+                done.add(id(up))
+                if up.doubt:  # None where it is taken back
+                    up.doubt, up.name = None, up.name.removesuffix(DOUBT)
                 up = up.parent
-        stack.extend(p for p in one.parts if isinstance(p, Node) and not _is_noise(p, False))
+        stack.extend((p, doubt) for p in one.parts if isinstance(p, Node) and not _is_noise(p, False))
     return found
 
 
-def _flow(node: Node, in_content: bool):
+def _flow(node: Node, in_content: bool, left_out):
     """Text and blocks of an element, None where a block is left out; inline
     elements are part of the text."""
     stack = list(reversed(node.parts))
@@ -162,7 +189,7 @@ def _flow(node: Node, in_content: bool):
         part = stack.pop()
         if isinstance(part, str):
             yield part
-        elif _is_noise(part, in_content):
+        elif _is_noise(part, in_content) or part.doubt and left_out(part):
             if part.tag not in INLINE:
                 yield None
         elif part.tag in INLINE and not part.content:
@@ -184,17 +211,18 @@ def walk(root: Node):
     while stack:
         node, path, in_content = stack.pop()
         in_content = in_content or node.content
-        flow = list(_flow(node, in_content))
-        kids = [p for p in flow if isinstance(p, Node)]
+        doubtful = []  # left out of the text here, and asked like blocks
+        flow = list(_flow(node, in_content, lambda p: doubtful.append(p) or True))
+        kids = [p for p in flow if isinstance(p, Node)] + doubtful
         if path and (in_content or not marked):
             yield path, [k.name for k in kids], _clean("".join(p if isinstance(p, str) else " " for p in flow))
         stack.extend((k, f"{path}>{k.name}", in_content) for k in kids)
 
 
-def main_text(root: Node, cut: frozenset[str] = frozenset()) -> str:
+def main_text(root: Node, cut: frozenset[str] = frozenset(), keep: frozenset[str] = frozenset()) -> str:
     """Blocks of the branches that stay. Elements are left out by
-    presentation, by their path in ``cut``, and, where the page marks its
-    content, outside it."""
+    presentation, unless their path is in ``keep``, by their path in ``cut``,
+    and, where the page marks its content, outside it."""
     marked, blocks, open_ = _marked(root), [], []
 
     def close():
@@ -216,7 +244,7 @@ def main_text(root: Node, cut: frozenset[str] = frozenset()) -> str:
             if path not in cut or id(node) in marked:
                 in_content = in_content or node.content
                 stack.append((None, "", False))
-                for p in reversed(list(_flow(node, in_content))):
+                for p in reversed(list(_flow(node, in_content, lambda p: f"{path}>{p.name}" not in keep))):
                     stack.append((p, f"{path}>{p.name}" if isinstance(p, Node) else "", in_content))
     close()
     return "\n\n".join(blocks)
@@ -275,6 +303,7 @@ def importance(paths: list[tuple[str, float, float | None]], gamma: float = GAMM
         shown, text = own[p]
         below = [out[k] for k in kids.get(p, ())]
         branches = [b[0] for b in below] + ([text] if text is not None else [])
+        shown = 0.0 if p.endswith(DOUBT) else shown
         value = (1 - gamma) * shown + gamma * (sum(branches) / len(branches)) if branches else shown
         value = 1.0 if _is_root(p) else value
         out[p] = value, max([value, *(b[1] for b in below)])
@@ -286,15 +315,18 @@ def _cuts(threshold: float, gamma: float):
         rows = list(zip(*(group.column(c).to_pylist() for c in ("path", "shown", "text"))))
         value = importance(rows, gamma)
         low = {p for p, (_, top) in value.items() if top < threshold}
-        cut = [p for p in low if p.rpartition(">")[0] not in low]
-        return pa.table({"site": pa.array([group.column("host")[0].as_py()] * bool(cut), pa.string()),
-                         "cut": pa.array([sorted(cut)] * bool(cut), pa.list_(pa.string()))})
+        cut = sorted(p for p in low if p.rpartition(">")[0] not in low)
+        keep = sorted(p for p, (own, _) in value.items() if p.endswith(DOUBT) and own >= threshold)
+        any_ = bool(cut or keep)
+        return pa.table({"site": pa.array([group.column("host")[0].as_py()] * any_, pa.string()),
+                         "cut": pa.array([cut] * any_, pa.list_(pa.string())), "keep": pa.array([keep] * any_, pa.list_(pa.string()))})
     return run
 
 
 def style_cuts(pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GAMMA, min_pages: int = MIN_PAGES) -> DataFrame:
-    """Low-importance branches by host, from columns host and html: site,
-    cut (paths). Hosts without any have no row."""
+    """Low-importance branches by host, and those that are kept in spite of
+    their class words, from columns host and html: site, cut and keep (paths).
+    Hosts without any have no row."""
     rows = pages.filter("host <> ''").select("host", "html").mapInArrow(
         _styles, "host string, path string, node long, kind int, value long, page long")
     # Each page's texts, and one way (the least) in which its copies show a path.
@@ -310,14 +342,14 @@ def style_cuts(pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GA
     m = F.col("m")
     nodes = nodes.select("host", "path", (1 - F.col("klogk") / (m * F.log(m))).alias("shown"),
                          F.when(F.col("texts") > 0, 1 - F.col("logk") / (F.col("texts") * F.log(m))).alias("text"))
-    return nodes.groupBy("host").applyInArrow(_cuts(threshold, gamma), "site string, cut array<string>")
+    return nodes.groupBy("host").applyInArrow(_cuts(threshold, gamma), "site string, cut array<string>, keep array<string>")
 
 
 def _extract(batches):
     for batch in batches:
         text = []
-        for source, cut in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            text.append(main_text(parse(source), frozenset(cut or ())) if source else "")
+        for source, cut, keep in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4))):
+            text.append(main_text(parse(source), frozenset(cut or ()), frozenset(keep or ())) if source else "")
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string())], ["id", "url", "text"])
 
 
@@ -330,10 +362,10 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     kind = source.schema["id"].dataType.simpleString()
     host = ascii_lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
     source = source.withColumn("host", host)
-    # One row per host that loses a branch. Spark broadcasts the table where
+    # One row per host that loses or regains a branch. Spark broadcasts the table where
     # its size on disk allows, and joins by shuffle beyond that.
     cuts = stored(style_cuts(source, threshold, gamma, min_pages), "style-cuts")
-    joined = source.join(cuts, F.col("host") == F.col("site"), "left").select("id", "url", "html", "cut")
+    joined = source.join(cuts, F.col("host") == F.col("site"), "left").select("id", "url", "html", "cut", "keep")
     return joined.mapInArrow(_extract, f"id {kind}, url string, text string")
 
 

@@ -43,6 +43,25 @@ def test_markup():
     assert text("<div>" * 3000 + "deep") == "deep"
 
 
+def test_class_words():
+    text = lambda s: S.main_text(S.parse(s))
+    for tag in ("body class='single no-sidebar'", "div class='content with-sidebar'", "article class='post has-comments'", "main id='ad-free'", "body class='menu'",
+                "html id=widget", "article class='promo'", "div role=main class='modal'"):
+        assert text(f"<{tag}><p>all of it</p></{tag.split()[0]}>") == "all of it", tag
+    assert text("<div>out<div class='overlay'><main><p>x</p></main></div></div>") == "x"
+    assert text("<div class='post'>x</div><div class='comments'>no<nav>n</nav></div><div class='menu-with-icons'>m</div>") == "x"
+    assert text("<div class='post'>x</div><div class='sidebar'><article>y</article></div>") == "x\n\ny"
+    tree = S.parse("<div class='post'>x</div><div class='sidebar'><article>y</article></div>")
+    assert S.main_text(tree) == S.main_text(tree)  # reading a tree again gives the same
+
+
+def test_content_outweighs_class_words(spark):
+    rows = [(i, f"http://w.com/{i}", f"<p>Own {i}</p><div class=widget-text><p>Part {i}</p></div><div class=cookie-box><p>We use them</p></div>") for i in range(20)]
+    rows += [(50, None, rows[0][2])]
+    got = {r.id: r.text for r in S.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Own {i}\n\nPart {i}" for i in range(20)) and got[50] == "Own 0"
+
+
 def page(i, extra=""):
     return f"<body><div class=top>Same words {extra}</div><div class=box><p>Own text of page {i} <i>x</i></p><p>More {i * 7}</p></div><div class=end><span>Always the same</span></div></body>"
 

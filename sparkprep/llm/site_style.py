@@ -30,7 +30,9 @@ row per path reaches the task that walks a host's tree, and only paths on
 ``min_pages`` pages do.
 
 Defined results: null or empty html gives an empty text. Broken or cut markup
-is read as far as it goes. White space (Unicode) inside a block becomes one
+is read as far as it goes; an open head ends at the first text or element that
+can't be in it, an open svg at the first html element. Formulas (math) are text
+of their block, without their annotations. White space (Unicode) inside a block becomes one
 space, ``br`` counts as white space, empty blocks are left out, blocks are
 joined by two newlines. Null ids, repeated rows and ties change nothing; other
 columns are not read.
@@ -54,11 +56,19 @@ MIN_PAGES = 16
 
 # HTML element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object textarea title select".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
+RAW = frozenset("script style noscript template iframe object textarea title select".split())
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())  # may stand in a head
+FOREIGN = frozenset(["svg", "math"])
+# Html in svg and math stays there inside these, and ends them elsewhere.
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mn mo ms mtext".split())
+ENDS_FOREIGN = frozenset("article aside b big blockquote body br center code dd div dl dt em embed footer form h1 h2 h3 h4 h5 h6 head header hr i img li "
+                         "listing main menu meta nav nobr ol p pre ruby s section small span strike strong sub sup table tt u ul var".split())
+MATH = frozenset("math maction menclose merror mfenced mfrac mi mlabeledtr mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace "
+                 "msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics annotation annotation-xml".split())
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
-NOISE_TAGS = frozenset("head nav footer aside form script style noscript template iframe svg math object textarea title select "
-                       "button input dialog menu".split())
+NOISE_TAGS = frozenset("head nav footer aside form script style noscript template iframe svg object textarea title select "
+                       "button input dialog menu annotation annotation-xml".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation "
                         "menu breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter "
@@ -117,17 +127,26 @@ def _element(tag: str, attrs: str, parent: Node) -> Node:
     return Node(tag, name + DOUBT if doubt else name, noise, doubt, content, parent)
 
 
+def _foreign(node: Node | None) -> Node | None:
+    """The innermost svg or math that a node is or lies in."""
+    while node is not None and node.tag not in FOREIGN:
+        node = node.parent
+    return node
+
+
 def parse(source: str) -> Node:
     """The page's element tree; parts are text and nodes in page order."""
     root = top = Node("", "", False, False, False, None)
-    at, n = 0, len(source)
+    at, n, foreign = 0, len(source), None  # foreign: the open svg or math
     while at < n:
         m = _TOKEN.search(source, at)
+        text = source[at:m.start() if m else n]
+        if text:
+            if top.tag == "head" and text.strip():
+                top = top.parent
+            top.parts.append(text)
         if m is None:
-            top.parts.append(source[at:])
             break
-        if m.start() > at:
-            top.parts.append(source[at:m.start()])
         at = m.end()
         if not m[2]:
             continue
@@ -138,7 +157,17 @@ def parse(source: str) -> Node:
                 node = node.parent
             if node.parent is not None:
                 top = node.parent
+                foreign = _foreign(top) if foreign else None
             continue
+        if foreign and tag in ENDS_FOREIGN:
+            node = top
+            while node is not foreign and node.tag not in HOLDS_HTML:
+                node = node.parent
+            if node is foreign:
+                top = foreign.parent
+                foreign = _foreign(top)
+        if top.tag == "head" and tag not in HEAD:
+            top = top.parent
         ends = CLOSES.get(tag) or ({"p"} if tag in CLOSES_P else ())
         if ends:
             node = top
@@ -146,13 +175,16 @@ def parse(source: str) -> Node:
                 node = node.parent
             if node.tag in ends:
                 top = node.parent
+                foreign = _foreign(top) if foreign else None
         node = _element(tag, m[3], top)
         top.parts.append(node)
-        if tag in RAW:
+        closed = m[3].endswith("/")
+        if tag in RAW and not (foreign and closed):
             end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
             at = end.end() if end else n
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID and not closed:
             top = node
+            foreign = node if tag in FOREIGN else foreign
     return root
 
 

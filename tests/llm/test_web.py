@@ -43,6 +43,18 @@ def test_markup():
     assert text("<div>" * 3000 + "deep") == "deep"
 
 
+def test_legal_markup_loses_nothing():
+    text = lambda s: S.main_text(S.parse(s))
+    assert text("<html><head><title>t</title><meta charset=x><body><p>a</p></body></html>") == "a"
+    assert text("<head><title>t</title><style>p{}</style> <article><p>a</article>") == "a" and text("<head><link href=x>a<p>b") == "a\n\nb"
+    assert text("<html><head><title>t</title></head>\n<body>a") == "a"
+    assert text("<article><p>a<svg width='1' />b<p>c <math/>d<svg><path/></svg></article>") == "a\n\nb\n\nc d"
+    assert text("<p>a</p><svg><style/><g><path d=x></g><text>no</text></svg><p>b<svg><g><p>c</p><p>d") == "a\n\nb\n\nc\n\nd"
+    assert text("<div>x<svg><foreignObject><p>no</p></foreignObject><title>no</title></svg>y</div>") == "x\n\ny"
+    assert text("<article><p>If <math display=block><semantics><mrow><mi>a</mi><mo>=</mo><msup><mi>b</mi><mn>2</mn></msup></mrow>"
+                "<annotation encoding='application/x-tex'>a=b^2</annotation></semantics></math> then</p><p>z</article>") == "If a=b2 then\n\nz"
+
+
 def test_class_words():
     text = lambda s: S.main_text(S.parse(s))
     for tag in ("body class='single no-sidebar'", "div class='content with-sidebar'", "article class='post has-comments'", "main id='ad-free'", "body class='menu'",

@@ -22,12 +22,15 @@ body, article and main and on what an article or main lies in. Where a page mark
 content (article, main, role main), what lies outside has 0, and the marked
 root has composite importance 1: neither it nor what it lies in is ever cut.
 
-Pages of one content text count once, whatever stands around it; a path needs
-``min_pages`` pages before its entropies are trusted, and pages without a host
-are judged by presentation alone. The counts are partial aggregates over (path, value) hashes, so a host
+One rule holds at every size: the score that is compared with ``threshold`` is
+``(1 - 1 / m**2) * importance + prior / m**2``, where the prior is 0 at and below
+elements with a class word and 1 elsewhere. A block repeated on two pages is kept
+for want of evidence, on three and more it is not. Pages of one content text count
+once, whatever stands around it, and pages without a host and paths on a single
+page are judged by the prior alone. The counts are partial aggregates over (path, value) hashes, so a host
 with a third of all pages is one partial row a task for each value; only one
 row per path reaches the task that walks a host's tree, and only paths on
-``min_pages`` pages do.
+``min_pages`` pages (two, the least that have an entropy) do.
 
 Defined results: null or empty html gives an empty text. Broken or cut markup
 is read as far as it goes; an open head ends at the first text or element that
@@ -52,7 +55,7 @@ from sparkprep.llm.common import ascii_lower, nested_row, stored, table
 
 THRESHOLD = 0.2
 GAMMA = 0.9
-MIN_PAGES = 16
+MIN_PAGES = 2
 
 # HTML element names by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -323,10 +326,19 @@ def _is_root(path: str) -> bool:
     return path.rpartition(">")[2].partition(".")[0] in CONTENT_TAGS
 
 
-def importance(paths: list[tuple[str, float, float | None]], gamma: float = GAMMA) -> dict[str, tuple[float, float]]:
-    """(composite importance, highest at or below) by path, from (path,
-    presentation, content or None)."""
-    own = {p: (shown, text) for p, shown, text in paths}
+def _score(path: str, value: float, m: float | None) -> float:
+    """Importance, moved towards the prior by what m pages leave uncertain."""
+    if m is None or _is_root(path):
+        return value
+    prior = 0.0 if f"{DOUBT}>" in path + ">" else 1.0
+    return value + (prior - value) / (m * m)
+
+
+def importance(paths: list[tuple[str, float, float | None]], gamma: float = GAMMA, pages: dict[str, float] | None = None) -> dict[str, tuple[float, float]]:
+    """(composite importance, highest score at or below) by path, from (path,
+    presentation, content or None) and the number of pages of each path;
+    without one the score is the importance."""
+    own, pages = {p: (shown, text) for p, shown, text in paths}, pages or {}
     kids: dict[str, list[str]] = {}
     for p in own:
         kids.setdefault(p.rpartition(">")[0], []).append(p)
@@ -338,17 +350,18 @@ def importance(paths: list[tuple[str, float, float | None]], gamma: float = GAMM
         shown = 0.0 if p.endswith(DOUBT) else shown
         value = (1 - gamma) * shown + gamma * (sum(branches) / len(branches)) if branches else shown
         value = 1.0 if _is_root(p) else value
-        out[p] = value, max([value, *(b[1] for b in below)])
+        out[p] = value, max([_score(p, value, pages.get(p)), *(b[1] for b in below)])
     return out
 
 
 def _cuts(threshold: float, gamma: float):
     def run(group: pa.Table) -> pa.Table:
         rows = list(zip(*(group.column(c).to_pylist() for c in ("path", "shown", "text"))))
-        value = importance(rows, gamma)
+        pages = dict(zip(group.column("path").to_pylist(), group.column("m").to_pylist()))
+        value = importance(rows, gamma, pages)
         low = {p for p, (_, top) in value.items() if top < threshold}
         cut = sorted(p for p in low if p.rpartition(">")[0] not in low)
-        keep = sorted(p for p, (own, _) in value.items() if p.endswith(DOUBT) and own >= threshold)
+        keep = sorted(p for p, (own, _) in value.items() if p.endswith(DOUBT) and _score(p, own, pages[p]) >= threshold)
         any_ = bool(cut or keep)
         return pa.table({"site": pa.array([group.column("host")[0].as_py()] * any_, pa.string()),
                          "cut": pa.array([cut] * any_, pa.list_(pa.string())), "keep": pa.array([keep] * any_, pa.list_(pa.string()))})
@@ -372,7 +385,7 @@ def style_cuts(pages: DataFrame, threshold: float = THRESHOLD, gamma: float = GA
         F.sum(F.when(~style, F.log(k))).alias("logk"), F.count(F.when(~style, 1)).alias("texts"),
         F.max("host").alias("host"), F.max("path").alias("path")).filter(F.col("m") >= max(2, min_pages))
     m = F.col("m")
-    nodes = nodes.select("host", "path", (1 - F.col("klogk") / (m * F.log(m))).alias("shown"),
+    nodes = nodes.select("host", "path", "m", (1 - F.col("klogk") / (m * F.log(m))).alias("shown"),
                          F.when(F.col("texts") > 0, 1 - F.col("logk") / (F.col("texts") * F.log(m))).alias("text"))
     return nodes.groupBy("host").applyInArrow(_cuts(threshold, gamma), "site string, cut array<string>, keep array<string>")
 

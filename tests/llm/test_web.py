@@ -114,6 +114,18 @@ def test_marked_content_is_never_cut(spark):
     assert S.main_text(tree, frozenset([">body", ">body>div", ">body>div>article"])) == "a"
 
 
+def test_one_rule_at_every_size(spark):
+    """Repeated blocks go on small hosts as on large ones; own texts never do."""
+    rows = [(100 * n + i, f"http://h{n}.com/{i}", page(i)) for n in (1, 2, 3, 5, 15, 16, 40) for i in range(n)]
+    got = {r.id: r.text for r in S.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in (1, 2, 3, 5, 15, 16, 40):
+        for i in range(n):
+            own = f"Own text of page {i} x\n\nMore {i * 7}"
+            assert got[100 * n + i] == (own if n > 2 else f"Same words\n\n{own}\n\nAlways the same")
+    score = [S.importance([(">div", 0.0, 0.0)], pages={">div": m})[">div"][1] for m in range(2, 30)]
+    assert score == sorted(score, reverse=True) and score[0] == 0.25 and S.importance([(">main", 0.0, 0.0)], pages={">main": 99})[">main"] == (1.0, 1.0)
+
+
 def test_importance_against_entropies(spark):
     """Presentation and content importances of a small site, by hand."""
     shown = ["<div class=a><p>t1</p></div>"] * 2 + ["<div class=a><p>t1</p><section>u</section></div>"] + ["<div class=a><p>t2</p></div>"]

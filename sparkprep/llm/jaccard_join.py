@@ -23,9 +23,11 @@ connected components of the links.
    pivots. What links with the pivot is connected through it, so pairs of such
    texts need no look: a group of near copies costs one comparison a member.
 5. Rest. Texts that share a list with a pivot they don't link with are compared
-   with the members of that group in blocks of bounded size: first shared
-   prefix shingles, then, for the pairs that have enough, whole sets, each as a
-   matrix product. A block gives a spanning forest of its links, never pairs.
+   with the members of that group in blocks of bounded size, by shingles and by
+   texts: first shared prefix shingles, then, for the pairs that have enough,
+   whole sets, each as matrix products of ``TILE`` texts a side. Texts of one
+   size with the same shared shingles have the same links and are compared once
+   a block. A block gives a spanning forest of its links, never pairs.
 6. Components by alternating large-star and small-star steps on the links.
 
 Every text that links with another shares a list with it, so no link is lost:
@@ -63,6 +65,8 @@ OTHERS = np.array([0.0, 2.0, 40.0, 1000.0])  # other texts that a level stands f
 MOST_MATCHES = 16
 VERIFY_COST = 20.0  # of a candidate, in list entries
 BLOCK_SHINGLES = 1 << 19  # of a block in step 5; one longer set is a block
+BLOCK_TEXTS = 1 << 13  # of a block's side
+TILE = 1 << 10  # texts a side of one matrix product
 SLICE = 2048
 
 
@@ -250,19 +254,32 @@ def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def block_links(left, right, percent: int):
-    """Links (id, id) that connect what a block's links connect: a forest.
-    left, right: lists of (id, n, l, prefix, shared)."""
+def _alike(side) -> list[list]:
+    """Texts (id, n, l, prefix, shared) by size and shared shingles: what isn't
+    shared is in one text only, so these decide all of a text's links."""
+    groups: dict = {}
+    for row in side:
+        groups.setdefault((row[1], row[4].tobytes()), []).append(row)
+    return list(groups.values())
+
+
+def _tile_links(left, right, percent: int):
+    """Numbers of the pairs of rows that link if they are different texts."""
     n, m = (np.array([r[1] for r in side], np.int64) for side in (left, right))
     least = np.minimum.outer(np.array([r[2] for r in left]), np.array([r[2] for r in right]))
-    size = 100 * np.minimum.outer(n, m) >= percent * np.maximum.outer(n, m)
-    size &= np.not_equal.outer(np.array([r[0] for r in left], object), np.array([r[0] for r in right], object)).astype(bool)
-    look = size & (_common([r[3] for r in left], [r[3] for r in right]) >= least)
+    look = 100 * np.minimum.outer(n, m) >= percent * np.maximum.outer(n, m)
+    look &= _common([r[3] for r in left], [r[3] for r in right]) >= least
     x, y = np.flatnonzero(look.any(axis=1)), np.flatnonzero(look.any(axis=0))
-    if not len(x):
-        return
-    both = _common([left[i][4] for i in x], [right[j][4] for j in y])
-    ok = look[np.ix_(x, y)] & _links(both, n[x][:, None], m[y][None, :], percent)
+    if len(x):
+        both = _common([left[i][4] for i in x], [right[j][4] for j in y])
+        i, j = np.nonzero(look[np.ix_(x, y)] & _links(both, n[x][:, None], m[y][None, :], percent))
+        yield from zip(x[i].tolist(), y[j].tolist())
+
+
+def block_links(left, right, percent: int):
+    """Links (id, id) that connect what a block's links connect: a forest.
+    left, right: lists of (id, n, l, prefix, shared)."""
+    left, right = _alike(left), _alike(right)
     root: dict = {}
 
     def find(v):
@@ -271,12 +288,17 @@ def block_links(left, right, percent: int):
             v = root[v]
         return v
 
-    for i, j in zip(*np.nonzero(ok)):
-        a, b = left[x[i]][0], right[y[j]][0]
-        ra, rb = find(a), find(b)
-        if ra != rb:
-            root[ra] = rb
-            yield a, b
+    for low in range(0, len(left), TILE):
+        for start in range(0, len(right), TILE):
+            some, others = left[low:low + TILE], right[start:start + TILE]
+            for i, j in _tile_links([g[0] for g in some], [g[0] for g in others], percent):
+                # All of one group link with all of the other.
+                pairs = [(a[0], others[j][0][0]) for a in some[i]] + [(some[i][0][0], b[0]) for b in others[j][1:]]
+                for a, b in pairs:
+                    ra, rb = find(a), find(b)
+                    if ra != rb:
+                        root[ra] = rb
+                        yield a, b
 
 
 def _blocks(percent: int):
@@ -362,7 +384,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Members that don't link with their pivot, against all of its members.
     queries = verified.filter("NOT linked").select("pivot", "rep")
     full = able.select("class", "n", "matches", "prefix", "shared", F.size("prefix").alias("p"))
-    size = F.greatest(F.lit(1), (F.octet_length("shared") / 8).cast("long"))
+    size = F.greatest(F.lit(max(1, BLOCK_SHINGLES // BLOCK_TEXTS)), (F.octet_length("shared") / 8).cast("long"))
     load = (verified.join(able.select(F.col("class").alias("rep"), size.alias("size")), "rep").groupBy("pivot")
             .agg(F.sum("size").alias("all"), F.sum(F.when(~F.col("linked"), F.col("size")).otherwise(0)).alias("asked"))
             .filter("asked > 0").select(F.col("pivot").alias("hub"), F.ceil(F.col("all") / BLOCK_SHINGLES).cast("int").alias("ny"),

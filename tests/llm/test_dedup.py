@@ -156,6 +156,50 @@ def test_near_many_blocks(docs, monkeypatch):
     assert got == plain_classes(rows)
 
 
+def test_many_short_texts_that_do_not_link(docs):
+    """A hot group of short template texts: every text is asked, few link."""
+    n = 20_000
+    rows = [(i, f"k{i} this item is no longer available now") for i in range(n)]
+    rows += [(n + i, f"k{i} this item is no longer available now or") for i in range(0, 300, 3)]
+    got = {r.id: r.component for r in near_classes(docs(rows)).collect()}
+    assert got == {i: i % n for i, _ in rows}
+
+
+def test_blocks_against_pairs_and_in_bounded_memory(monkeypatch):
+    import tracemalloc
+
+    import numpy as np
+    rng = random.Random(9)
+
+    def text(i, pool, size=6):
+        shared = np.array(sorted({1, *rng.sample(range(2, pool), rng.randrange(2, size))}), np.uint64)
+        return i.to_bytes(4, "big"), len(shared) + rng.randrange(2), 1, shared[:2], shared
+
+    def classes(names, links):
+        root = {v: v for v in names}
+        for a, b in links:
+            old, new = root[a], root[b]
+            root = {k: new if v == old else v for k, v in root.items()}
+        return {frozenset(k for k in root if root[k] == v) for v in root.values()}
+
+    monkeypatch.setattr(jaccard_join, "TILE", 16)
+    for pool in (9, 14):
+        side = [text(i, pool) for i in range(120)]
+        left, right = side[:70], side[40:]
+        links = [(a[0], b[0]) for a in left for b in right
+                 if a[0] != b[0] and np.intersect1d(a[3], b[3]).size and 100 * (k := np.intersect1d(a[4], b[4]).size) >= 75 * (a[1] + b[1] - k)]
+        found = list(jaccard_join.block_links(left, right, 75))
+        assert set(found) <= set(links) and len(found) < len(side) and links
+        assert classes([r[0] for r in side], found) == classes([r[0] for r in side], links)
+    monkeypatch.undo()
+    side = [text(i, 10 ** 6) for i in range(5000)]
+    tracemalloc.start()
+    list(jaccard_join.block_links(side, side, 75))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
+
+
 def test_near_cases(docs):
     text = " ".join(f"w{i}" for i in range(40))
     rows = [(5, text), (5, text), (3, text + " x"), (None, text), (8, "other words here that link with nothing"), (8, text), (9, None)]

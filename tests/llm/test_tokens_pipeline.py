@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as proto
@@ -82,6 +83,29 @@ def test_long_unit_and_ties():
         assert s == -n and all(x == s for x, _ in rest) and len(ids) == -(-n // 3)  # equal scores: fewest pieces
 
 
+def test_very_long_units():
+    """Time and memory grow with a unit's length, not with its square."""
+    p = Pieces({"a": (0, -1.0), "aa": (1, -2.0), "aaa": (2, -3.0)}, None)
+    tracemalloc.start()
+    found = p._segment("a" * 12_000, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(set(found)) == 4 and peak < 30 << 20
+    units = p.units("a" * 1_000_000)
+    got = p.nbest([units], 3)[0]
+    assert len(units) == 1 and [s for s, _ in got] == [-1e6] * 3
+    assert [len(i) for _, i in got] == [333_334] * 3 and len({i.tobytes() for _, i in got}) == 3
+    p.nbest([["a"]], 3)
+    assert units[0] not in p._cache
+    rng = random.Random(4)
+    p = Pieces(VOCAB, list(range(100, 356)))
+    text = "".join(rng.choice("abcé") for _ in range(40_000))
+    got = p._segment(text, 5)
+    score = {i: s for i, s in p.pieces.values()}
+    assert [s for s, _ in got] == sorted((s for s, _ in got), reverse=True) and len(set(got)) == 5
+    assert all(p.decode(ids) == text and s == sum(score.get(i, 0) for i in ids) + text.count("é") * p.unknown for s, ids in got)
+
+
 def test_model_round_trip(spark):
     texts = ["", None, "plain words", "  two  spaces ", "über 日本 \x00 \t\n x y 😀", "▁mark", "a" * 5000, "plain words", "퟿ é"]
     docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)] + [(None, "plain words", "x", "y")], "doc_id long, text string, ids string, row string")

@@ -6,7 +6,8 @@ record. Records end with two CR LF, which the text writer adds as its line
 separator, so Spark writes and compresses the archives straight to any file
 system. They are read back the same way: the text reader gives the pieces
 between double line ends in file order, and a small state machine per file puts
-records together by their Content-Length, holding one record at a time.
+records together by their Content-Length, holding one record at a time. A file is read by
+one task, compressed or not: a split inside a record could not be told from text.
 
 Transactions are assembled by joins over the WARC-Concurrent-To links, in
 either direction and through at most one record in between, and give one nested
@@ -179,9 +180,22 @@ def _read(with_payload: bool):
     return run
 
 
+def _unsplit(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` that reads a file as one split."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(key, str(1 << 62))
+    return own
+
+
 def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """The records of all WARC files under ``path``."""
-    pieces = spark.read.option("lineSep", END).text(path).select(F.col("_metadata.file_path"), F.col("value").cast("binary"))
+    lines = _unsplit(spark).read.option("lineSep", END).text(path)
+    whole = F.when(F.col("_metadata.file_block_start") == 0, F.col("value")).otherwise(F.raise_error(F.lit("a WARC file was split")))
+    pieces = DataFrame(lines.select(F.col("_metadata.file_path"), whole.cast("binary").alias("value"))._jdf, spark)
     return pieces.mapInArrow(_read(with_payload), RECORD)
 
 

@@ -201,3 +201,22 @@ def test_links_in_any_direction_and_cut_records(spark, tmp_path):
     assert set(rows) == {b, d}
     assert rows[b].request.rid == a and rows[b].metadata.fields == {"k": "v"} and bytes(rows[b].response.payload) == b"body"
     assert rows[d].request is None and rows[d].metadata.fields == {"k": "w"}
+
+
+def test_plain_archives_are_not_split(spark, tmp_path):
+    """Plain files far longer than a split, with header-like text in blocks."""
+    ids = [f"<urn:uuid:{uuid.UUID(int=i)}>" for i in range(400)]
+    fake = "WARC/1.0\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    for name, part in (("a", ids[:300]), ("b", ids[300:])):
+        (tmp_path / f"{name}.warc").write_bytes("".join(record("resource", r, [], f"{i} " + fake * (i % 9)) for i, r in enumerate(part)).encode())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in old:
+            spark.conf.set(k, "1000")
+        records = W.read_warc(spark, str(tmp_path))
+        got = {r.record_id: bytes(r.payload).decode() for r in records.collect()}
+        assert records.sparkSession is spark and spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000"
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {r: f"{i % 300} " + fake * (i % 300 % 9) for i, r in enumerate(ids)}

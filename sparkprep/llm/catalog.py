@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from sparkprep.llm import exact_dedup, jaccard_join, language, line_dedup, phrase_index, quality, sentencepiece_nbest, site_style, token_counts, tokenizer_alignment, url_filter, warc
+from sparkprep.llm import exact_dedup, jaccard_join, language, line_dedup, phrase_index, quality, sentencepiece_nbest, site_style, spelling_variants, token_counts, tokenizer_alignment, url_filter, warc
 
 _QUERIES = {
     "op1_html_extraction": (site_style.op1_html_extraction, None),
@@ -16,6 +16,7 @@ _QUERIES = {
     "op8_ngram_jaccard": (jaccard_join.op8_ngram_jaccard, jaccard_join.OP8_SQL),
     "op9_exact_dedup": (exact_dedup.op9_exact_dedup, exact_dedup.OP9_SQL),
     "op10_url_filters": (url_filter.op10_url_filters, url_filter.OP10_SQL),
+    "op11_spelling_variants": (spelling_variants.op11_spelling_variants, spelling_variants.OP11_SQL),
     "op12_token_counts": (token_counts.op12_token_counts, None),
     "op13_tokenizer_alignment": (tokenizer_alignment.op13_tokenizer_alignment, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),

@@ -152,13 +152,16 @@ ENGLISH_STOP_WORDS = [
     "cannot", "could", "here's", "how's", "let's", "ought", "that's", "there's",
     "what's", "when's", "where's", "who's", "why's", "would",
 ]
-# ------------------------------------------------------------ END FIXED VALUES
 
-# Features dropped before modelling, and the target not modelled.
+# Features dropped before modelling, and the target not modelled.
 PRUNED_FEATURES = ["host_neighbourhood", "neighborhood", "city", "market",
                    "smart_location", "cancellation_policy", "has_space_features",
                    "jurisdiction_state", "desc_category"]
 SECOND_TARGET = "high_booking_rate"
 
-# Fixed value: weight of positive rows for the leaf-wise booster.
+# Weight of positive rows for the leaf-wise booster.
 LEAFWISE_POS_WEIGHT = 0.9
+
+# Boosting rounds without gain before it stops.
+PATIENCE = 15
+# ------------------------------------------------------------ END FIXED VALUES

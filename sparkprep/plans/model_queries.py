@@ -14,14 +14,21 @@ from sparkprep.plans.workflows import SPEC, TARGET, listing_features, split_list
 from sparkprep.session import materialize
 
 
-@query("lasso_select")
-def lasso_select(spark, d):
+def _training_lasso(spark, d, n_lambdas=100):
     lab = listing_features(spark, d, True)
     train = materialize(split_listings(lab).where(F.col("split") == "train"))
-    # 100 penalties is the default of lasso_cv; Spark ML fits each of them from
-    # scratch, and 1,000 fits take over 500 s on the sf0.01 table (README).
-    prep, cvm, names, _ = models.lasso_cv(SPEC, train, folds=10, n_lambdas=8)
-    return models.nonzero_features(cvm.bestModel, names, spark)
+    return models.lasso_cv(SPEC, train, folds=10, n_lambdas=n_lambdas)
+
+
+@query("lasso_select")
+def lasso_select(spark, d):
+    return models.nonzero_features(_training_lasso(spark, d), spark)
+
+
+@query("lasso_path")
+def lasso_path(spark, d):
+    """Cross-validated loss and number of features along the 100 penalties."""
+    return models.path_table(_training_lasso(spark, d), spark)
 
 
 @query("forest_importance")
@@ -37,12 +44,22 @@ def forest_metrics(spark, d):
     return workflows.enriched_forest(spark, d)
 
 
+@query("forest_report")
+def forest_report(spark, d):
+    return workflows.forest_at_threshold(spark, d)
+
+
+def _boosting_parts(spark, d, weight):
+    lab = listing_features(spark, d, True).withColumn("weight", encode.class_weight(TARGET, {"YES": weight}))
+    parts = materialize(split_listings(lab))
+    spec, _ = workflows.lasso_spec(parts.where(F.col("split") == "train"))
+    return parts, spec
+
+
 @query("gbt_scores")
 def gbt_scores(spark, d):
-    lab = listing_features(spark, d, True).withColumn(
-        "weight", encode.class_weight(TARGET, {"YES": fv.BOOST_POS_WEIGHT}))
-    parts = materialize(split_listings(lab))
-    model = models.gbt(SPEC, parts.where(F.col("split") == "train"), rounds=50, step=0.18,
+    parts, spec = _boosting_parts(spark, d, fv.BOOST_POS_WEIGHT)
+    model = models.gbt(spec, parts.where(F.col("split") == "train"), rounds=50, step=0.18,
                        max_depth=models.MAX_DEPTH, min_node=4)
     valid = parts.where(F.col("split") == "valid_use")
     scored = models.score(model, valid).withColumn(
@@ -50,20 +67,29 @@ def gbt_scores(spark, d):
     return scored.select("doc_id", TARGET, "prob_yes", "pred")
 
 
+def _early_stop(spark, d):
+    parts, spec = _boosting_parts(spark, d, fv.LEAFWISE_POS_WEIGHT)
+    train, valid = (parts.where(F.col("split") == s) for s in ("train", "valid_use"))
+    return models.gbt_patience(spec, train, valid, rounds=200, patience=fv.PATIENCE, step=0.28, max_depth=6, min_node=35,
+                               subsample=0.8, feature_fraction="0.8"), valid
+
+
 @query("gbt_early_stop")
 def gbt_early_stop(spark, d):
-    lab = listing_features(spark, d, True).withColumn(
-        "weight", encode.class_weight(TARGET, {"YES": fv.LEAFWISE_POS_WEIGHT}))
-    parts = materialize(split_listings(lab).where(F.col("split") != "valid_final")
-                        .withColumn("is_valid", F.col("split") == "valid_use"))
-    model = models.gbt(SPEC, parts, rounds=200, step=0.28, max_depth=6, min_node=35,
-                       subsample=0.8, feature_fraction="0.8", validation_col="is_valid")
-    valid = models.score(model, parts.where("is_valid"))
+    fit, valid = _early_stop(spark, d)
+    valid = models.score(fit.model, valid)
     auc = evaluate.auc(valid.withColumn("y", encode.binary_label(TARGET)), "prob_yes", "y")
     m = evaluate.binary_metrics(valid.withColumn("pred", evaluate.classify("prob_yes", 0.5, False)),
                                 "pred", TARGET)
     return m.select(F.lit(auc).alias("auc"), (1 - F.col("accuracy")).alias("error_rate"),
-                    F.lit(model.stages[-1].getNumTrees).alias("n_trees"))
+                    F.lit(fit.best).alias("n_trees"))
+
+
+@query("gbt_curve")
+def gbt_curve(spark, d):
+    """Validation loss after each boosting round, up to the round that stopped it."""
+    fit, _ = _early_stop(spark, d)
+    return spark.createDataFrame([(i + 1, loss, i + 1 == fit.best) for i, loss in enumerate(fit.curve)], "round int, loss double, kept boolean")
 
 
 @query("logit_cv")
@@ -81,6 +107,21 @@ def fit_score(spark, d):
     return workflows.fit_score_write(spark, d, kind="forest")
 
 
+@query("fit_score_lasso")
+def fit_score_lasso(spark, d):
+    return workflows.fit_score_write(spark, d, kind="lasso")
+
+
+@query("fit_score_gbt")
+def fit_score_gbt(spark, d):
+    return workflows.fit_score_write(spark, d, kind="gbt")
+
+
+@query("fit_score_gbt_early_stop")
+def fit_score_gbt_early_stop(spark, d):
+    return workflows.fit_score_write(spark, d, kind="gbt_early_stop")
+
+
 def _feature_sql():
     from sparkprep.plans.registry import sql_first_match, sql_keywords, sql_match
     flags = ",\n  ".join(

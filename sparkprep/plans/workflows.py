@@ -64,18 +64,28 @@ def metrics_for(model, df: DataFrame, threshold: float, inclusive: bool = True,
     return evaluate.binary_metrics(pred, "pred", TARGET, by)
 
 
+def lasso_spec(train: DataFrame, folds: int = 10, n_lambdas: int = 100) -> tuple[models.FeatureSpec, models.LassoFit]:
+    """The features that the lasso keeps on the training rows: the boosters and the
+    logistic formula use no others."""
+    fit = models.lasso_cv(SPEC, train, folds=folds, n_lambdas=n_lambdas)
+    return SPEC.select(fit.selected), fit
+
+
 def fit_score_write(spark, d: str, kind: str = "forest", trees: int = fv.FOREST_TREES,
-                    path: str | None = None) -> DataFrame:
+                    path: str | None = None, rounds: int | None = None, n_lambdas: int = 100) -> DataFrame:
     """Refit on every labelled row, score the unlabelled rows, threshold and
-    write (doc_id, prediction) as CSV under the shared folder."""
+    write (doc_id, prediction) as CSV under the shared folder. All kinds but the
+    forest use the features that the lasso keeps."""
     lab = materialize(listing_features(spark, d, True))
     test = listing_features(spark, d, False)
+    if kind != "forest":
+        spec, fit = lasso_spec(lab, n_lambdas=n_lambdas)
     if kind == "forest":
         model = models.random_forest(SPEC, lab, trees=trees)
         thr, inc = fv.THRESHOLDS["forest"], True
     elif kind == "gbt":
         lab = lab.withColumn("weight", encode.class_weight(TARGET, {"YES": fv.BOOST_POS_WEIGHT}))
-        model = models.gbt(SPEC, lab, rounds=100)
+        model = models.gbt(spec, lab, rounds=rounds or 100)
         thr, inc = 0.45, False
     elif kind == "gbt_early_stop":
         # early stopping needs labels: hold out a hashed slice of the
@@ -83,15 +93,14 @@ def fit_score_write(spark, d: str, kind: str = "forest", trees: int = fv.FOREST_
         lab = split.holdout(lab.withColumn("weight", encode.class_weight(
             TARGET, {"YES": fv.LEAFWISE_POS_WEIGHT})), fv.FINAL_FRACTION, fv.SPLIT_SEED, "doc_id", "is_valid")
         # the untuned preset: step 0.1, 31 leaves (depth 5), 20 rows a leaf, no sampling
-        model = models.gbt(SPEC, lab, rounds=200, step=0.1, max_depth=5, min_node=20, validation_col="is_valid")
+        model = models.gbt_patience(spec, lab.where("NOT is_valid"), lab.where("is_valid"), rounds=rounds or 200, step=0.1,
+                                    max_depth=5, min_node=20).model
         thr, inc = fv.THRESHOLDS["default"], False
     elif kind == "lasso":
-        from pyspark.ml import PipelineModel
-        prep, cvm, _, _ = models.lasso_cv(SPEC, lab)
-        model = PipelineModel(stages=[*prep.stages, cvm.bestModel])
+        model = models.lasso_model(SPEC, lab, fit)
         thr, inc = fv.THRESHOLDS["default"], False
     else:
-        model = models.logistic(SPEC, lab)
+        model = models.logistic(spec, lab)
         thr, inc = fv.THRESHOLDS["default"], False
     scored = models.score(model, test).withColumn(
         "prediction", evaluate.classify("prob_yes", thr, inc))
@@ -118,13 +127,15 @@ def learning_curve(spark, d: str, fracs: Sequence[float] = fv.TRAIN_SIZES,
     return rows.select("train_size", "tp", "fp", "tn", "fn", "accuracy", "tpr", "fpr")
 
 
-def logit_cv(spark, d: str, k: int = fv.CV_FOLDS) -> DataFrame:
-    """Per fold: unpenalised logistic regression fitted on the other folds,
-    confusion counts on its own training part and on the held-out fold."""
+def logit_cv(spark, d: str, k: int = fv.CV_FOLDS, n_lambdas: int = 100) -> DataFrame:
+    """Per fold: unpenalised logistic regression on the lasso-selected features,
+    fitted on the other folds, confusion counts on its own training part and on the
+    held-out fold."""
     lab = materialize(split.contiguous_folds(listing_features(spark, d, True), k, "doc_id"))
+    spec, _ = lasso_spec(lab, n_lambdas=n_lambdas)
     parts = None
     for i in range(1, k + 1):
-        model = models.logistic(SPEC, lab.where(F.col("fold") != i))
+        model = models.logistic(spec, lab.where(F.col("fold") != i))
         part = F.when(F.col("fold") == i, "heldout").otherwise("train")
         m = metrics_for(model, lab.withColumn("part", part), 0.5, inclusive=False,
                         by=["part"]).withColumn("fold", F.lit(i))
@@ -134,6 +145,14 @@ def logit_cv(spark, d: str, k: int = fv.CV_FOLDS) -> DataFrame:
         .unionByName(means.select(F.lit("mean").alias("fold"), "part", "accuracy", "tpr", "fpr"))
 
 
+def forest_at_threshold(spark, d: str, trees: int = fv.FOREST_TREES) -> DataFrame:
+    """The main forest's accuracy, TPR and FPR on the training part and on both
+    validation parts, at its own threshold."""
+    parts = materialize(split_listings(listing_features(spark, d, True)))
+    model = models.random_forest(SPEC, parts.where(F.col("split") == "train"), trees=trees)
+    return metrics_for(model, parts, fv.THRESHOLDS["forest"], by=["split"])
+
+
 def enriched_forest(spark, d: str, trees: int = fv.FOREST_TREES) -> DataFrame:
     """Join every listing with one lookup row per source (first page by id,
     de-duplicated before the join), split, fit a forest and report train and

@@ -82,7 +82,7 @@ def test_pieces_give_the_overlaps_of_the_whole():
     rng = np.random.default_rng(2)
     for _ in range(60):
         a, b = (np.append(np.sort(rng.choice(np.arange(1, 200), rng.integers(1, 90), replace=False)), 200) for _ in range(2))
-        whole = list(zip(*(x.tolist() for x in ta.piece_overlaps(a, b, 0, len(a), 0, len(b)))))
+        whole = sorted(zip(*(x.tolist() for x in ta.piece_overlaps(a, b, 0, len(a), 0, len(b)))))
         start_a, start_b = np.append(0, a[:-1]), np.append(0, b[:-1])
         assert [w[:2] for w in whole] == [(p, q) for p in range(len(a)) for q in range(len(b)) if max(start_a[p], start_b[q]) < min(a[p], b[q])]
         for work in (1, 2, 3, 10, 1000):

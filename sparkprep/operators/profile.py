@@ -5,11 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkprep.functions import fixed_values as fv
 from sparkprep.operators.ordering import exact_quantiles, value_counts
+from sparkprep.session import materialize
 
 
 def numeric_summary(df: DataFrame, cols=None) -> DataFrame:
@@ -40,6 +41,38 @@ def full_summary(df: DataFrame, cols=None) -> DataFrame:
             .join(q, "column_name", "left"))
 
 
+def level_counts(df: DataFrame, cols=None, top: int = 6) -> DataFrame:
+    """(column_name, level, n) for text columns: the ``top`` most frequent levels, by
+    count and then by MD5 of the level, and the sum of all others as ``(Other)``.
+
+    Two scans. The first counts 16-byte digests, never the texts, so columns of long
+    or distinct texts shuffle no text; their top digests (``top`` rows a column) are
+    the only ones whose texts the second scan looks up. Nulls are no level."""
+    from pyspark.sql import types as T
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column_name string, level string, n long")
+    pairs = [x for c in cols for x in (F.lit(c), F.col(f"`{c}`"))]
+    long = df.select(F.stack(F.lit(len(cols)), *pairs).alias("column_name", "level")).where("level IS NOT NULL")
+    long = long.withColumn("key", F.md5(F.col("level").cast("binary")))
+    counts = long.groupBy("column_name", "key").agg(F.count(F.lit(1)).alias("n"))
+    # A column's top levels are among those of its parts: a bounded heap per part, so
+    # a column of many levels is no single window.
+    spread = counts.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(64)))
+    order = [F.desc("n"), F.asc("key")]
+    heads = spread.withColumn("r", F.row_number().over(Window.partitionBy("column_name", "part").orderBy(*order))).where(F.col("r") <= top)
+    heads = heads.withColumn("r", F.row_number().over(Window.partitionBy("column_name").orderBy(*order))).where(F.col("r") <= top)
+    heads = materialize(heads.select("column_name", "key", "n"))
+    # ``top`` rows a column.
+    named = (long.join(F.broadcast(heads.select("column_name", "key")), ["column_name", "key"])
+             .groupBy("column_name", "key").agg(F.min("level").alias("level")))
+    shown = heads.join(named, ["column_name", "key"]).select("column_name", "level", "n")
+    rest = (counts.groupBy("column_name").agg(F.sum("n").alias("n"))
+            .join(heads.groupBy("column_name").agg(F.sum("n").alias("taken")), "column_name")
+            .select("column_name", F.lit("(Other)").alias("level"), (F.col("n") - F.col("taken")).alias("n")).where("n > 0"))
+    return shown.unionByName(rest)
+
+
 def nulls(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """(column_name, n_null, n_not_null) from ONE aggregate over all columns,
     unpivoted to long form."""

@@ -317,3 +317,13 @@ def sentinel_split(spark, d):
         F.when(F.col("o_orderkey") % 5 == 0, None).otherwise(F.col("o_orderpriority")).alias("pri"))
     filled = o.fillna({"pri": fv.NOT_MENTIONED})
     return profile.null_split(filled, "pri", sentinel=fv.NOT_MENTIONED)
+
+
+@query("level_counts", """
+WITH l AS (SELECT 'text' AS column_name, text AS level FROM documents UNION ALL SELECT 'lang' AS column_name, lang AS level FROM documents UNION ALL SELECT 'source' AS column_name, source AS level FROM documents),
+c AS (SELECT column_name, level, count(*) AS n FROM l WHERE level IS NOT NULL GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, md5(level)) AS k FROM c)
+SELECT column_name, CASE WHEN k <= 6 THEN level ELSE '(Other)' END AS level, CAST(sum(n) AS BIGINT) AS n FROM r GROUP BY ALL""")
+def level_counts(spark, d):
+    """The six most frequent levels of every text column, and all others together."""
+    return profile.level_counts(table(spark, d, "documents"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkprep.functions import fixed_values as fv
-from sparkprep.operators import encode, evaluate, knn, split
+from sparkprep.operators import encode, evaluate, knn, pivot_knn, split
 from sparkprep.plans.registry import q, query
 from sparkprep.session import materialize
 from sparkprep.sources.tables import table
@@ -134,7 +134,31 @@ def cv_metrics(spark, d):
     return m.select("fold", "part", *[F.round(c, 6).alias(c) for c in ("accuracy", "tpr", "fpr")])
 
 
-@query("knn_predict", f"""
+_SWEEP_SQL = f"""
+WITH b AS ({_LAB_SQL}),
+c AS (SELECT score, count_if(actual = 'YES') AS pos, count_if(actual = 'NO') AS neg FROM b GROUP BY score),
+s AS (SELECT score, pos, neg, coalesce(sum(pos) OVER w, 0) AS fn, coalesce(sum(neg) OVER w, 0) AS tn, sum(pos) OVER () AS p, sum(neg) OVER () AS n
+      FROM c WINDOW w AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+@query("threshold_sweep", _SWEEP_SQL + """
+SELECT round(score, 6) AS threshold, CAST(p - fn AS BIGINT) AS tp, CAST(n - tn AS BIGINT) AS fp, CAST(tn AS BIGINT) AS tn, CAST(fn AS BIGINT) AS fn,
+  round((p - fn + tn) / (p + n), 6) AS accuracy, round((p - fn) / nullif(p, 0), 6) AS tpr, round((n - tn) / nullif(n, 0), 6) AS fpr
+FROM s""")
+def threshold_sweep(spark, d):
+    lab = labelled_docs(spark, d).select(_score().alias("score"), encode.binary_label("perfect_rating_score").alias("y"))
+    sweep = evaluate.threshold_sweep(lab, "score", "y")
+    return sweep.select(F.round("threshold", 6).alias("threshold"), "tp", "fp", "tn", "fn", *[F.round(c, 6).alias(c) for c in ("accuracy", "tpr", "fpr")])
+
+
+@query("auc_exact", _SWEEP_SQL + """
+SELECT CAST(max(p) AS BIGINT) AS n_pos, CAST(max(n) AS BIGINT) AS n_neg, round(sum(pos * (tn + neg / 2.0)) / (max(p)::DOUBLE * max(n)), 6) AS auc FROM s""")
+def auc_exact(spark, d):
+    lab = labelled_docs(spark, d).select(_score().alias("score"), encode.binary_label("perfect_rating_score").alias("y"))
+    return evaluate.auc_exact(lab, "score", "y").select("n_pos", "n_neg", F.round("auc", 6).alias("auc"))
+
+
+_KNN_SQL = f"""
 WITH r AS (SELECT vec_id, label, embedding,
              row_number() OVER (ORDER BY md5('{SEED}:' || CAST(vec_id AS VARCHAR)), vec_id) AS rn,
              count(*) OVER () AS cnt FROM embeddings),
@@ -151,20 +175,46 @@ best AS (SELECT qid, tlabel AS predicted FROM
          (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY c DESC, tlabel) AS k FROM v) b WHERE k = 1)
 SELECT s.vec_id, CAST(s.label AS BIGINT) AS actual, CAST(best.predicted AS BIGINT) AS predicted,
        CASE WHEN s.is_valid THEN 'valid' ELSE 'train' END AS split
-FROM s JOIN best ON s.vec_id = best.qid""")
-def knn_predict(spark, d):
+FROM s JOIN best ON s.vec_id = best.qid"""
+
+
+def _knn_rows(spark, d, near):
+    """Every embedding with the vote of its nearest training rows, found by ``near``."""
     e = table(spark, d, "embeddings")
     # the split table feeds the train side, the query side and the output
     s = materialize(split.holdout(e, fv.VALID_FRACTION, SEED, "vec_id", "is_valid"))
     train = s.where(~F.col("is_valid"))
-    pred = knn.knn_predict(train, s, fv.KNN_K, vec="embedding", label="label",
-                           train_id="vec_id", query_id="vec_id")
+    pred = knn.vote(near(train, s, fv.KNN_K, vec="embedding", label="label", train_id="vec_id", query_id="vec_id"), fv.KNN_K)
     out = s.select("vec_id", F.col("label").cast("long").alias("actual"),
                    F.when(F.col("is_valid"), "valid").otherwise("train").alias("split"))
     return out.join(pred.withColumnRenamed("qid", "vec_id"), "vec_id").select(
         "vec_id", "actual", F.col("predicted").cast("long").alias("predicted"), "split")
 
 
+@query("knn_predict", _KNN_SQL)
+def knn_predict(spark, d):
+    return _knn_rows(spark, d, knn.candidates)
+
+
+@query("knn_pivot", _KNN_SQL)
+def knn_pivot(spark, d):
+    """The same rows by pivot cells: each training row is sent once."""
+    return _knn_rows(spark, d, pivot_knn.candidates)
+
+
+@query("knn_lsh")
+def knn_lsh(spark, d):
+    """Approximate vote by hashed buckets, with how many of the exact neighbours of
+    each row it found."""
+    e = materialize(split.holdout(table(spark, d, "embeddings"), fv.VALID_FRACTION, SEED, "vec_id", "is_valid"))
+    args = (e.where(~F.col("is_valid")), e, fv.KNN_K)
+    names = dict(vec="embedding", label="label", train_id="vec_id", query_id="vec_id")
+    found = materialize(pivot_knn.lsh_candidates(*args, **names))
+    hits = pivot_knn.recall(found, pivot_knn.candidates(*args, **names))
+    return (hits.join(knn.vote(found, fv.KNN_K), "qid", "left")
+            .select(F.col("qid").alias("vec_id"), F.col("predicted").cast("long").alias("predicted"), "n_exact", "n_found"))
+
+
 @query("feature_label_split", """
 SELECT d.doc_id, round(CAST(n_chars AS DOUBLE), 6) AS n_chars_f, round(ln(1 + n_chars), 6) AS log_chars,
        round(CAST(len(string_split(text, ',')) - 1 AS DOUBLE), 6) AS n_commas, l.quality AS label

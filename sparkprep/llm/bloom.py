@@ -26,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkprep.llm.common import sole_cache
+
 BITS = 28
 BLOCK_BITS = 22
 PROBES = 2
@@ -156,6 +158,7 @@ class TwiceSeen:
             for block, packed in self._sent.value:
                 plane[block * size:(block + 1) * size] = np.frombuffer(zlib.decompress(packed), np.uint8)
             _loaded.clear()  # a reused worker keeps the last filter only
+            sole_cache("filter", _loaded.clear)
             self._plane = _loaded[self.name] = plane
         out = np.ones(len(keys), bool)
         for at in positions(keys, self.bits):

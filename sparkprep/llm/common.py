@@ -55,6 +55,21 @@ def ascii_lower(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+# -- Workers -------------------------------------------------------------------
+
+_kept: dict[str, object] = {}
+
+
+def sole_cache(name: str, clear=lambda: None) -> None:
+    """Called by tasks: what the worker process keeps from other operators' tasks
+    is cleared, so a reused worker holds the tables of one operator at a time."""
+    for other in [k for k in _kept if k != name]:
+        _kept.pop(other)()
+    if name not in _kept:
+        pa.default_memory_pool().release_unused()
+    _kept[name] = clear
+
+
 # -- Arrow ---------------------------------------------------------------------
 
 def bytes_and_offsets(column) -> tuple[np.ndarray, np.ndarray]:

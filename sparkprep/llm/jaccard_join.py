@@ -19,8 +19,10 @@ connected components of the links.
    don't reach ``percent`` of their set link with nothing.
 3. Classes of equal sets are reduced to one representative.
 4. Stars. Each prefix shingle's list has a pivot, its most central text (highest
-   mean frequency of its shingles). All members are verified against their
-   pivots. What links with the pivot is connected through it, so pairs of such
+   mean frequency of its shingles). Members are verified against their pivots:
+   sizes and shared prefix shingles are tested on small rows first (on 16 bits of
+   each shingle, so never too few are counted), and only pairs that pass send sets,
+   each to the parts of bounded size into which a pivot's members are dealt. What links with the pivot is connected through it, so pairs of such
    texts need no look: a group of near copies costs one comparison a member.
 5. Rest. Texts that share a list with a pivot they don't link with are compared
    with the members of that group in blocks of bounded size, by shingles and by
@@ -53,7 +55,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.llm.bloom import merged_blocks
-from sparkprep.llm.common import NOT_SPACE, Words, nested_row, ngram_hashes, stored, table, text_chunks
+from sparkprep.llm.common import NOT_SPACE, Words, nested_row, ngram_hashes, sole_cache, stored, table, text_chunks
 
 SHINGLE = 5
 PERCENT = 75
@@ -66,6 +68,7 @@ MOST_MATCHES = 16
 VERIFY_COST = 20.0  # of a candidate, in list entries
 BLOCK_SHINGLES = 1 << 19  # of a block in step 5; one longer set is a block
 BLOCK_TEXTS = 1 << 13  # of a block's side
+STAR_TEXTS = 1 << 10  # members of a pivot verified by one part
 TILE = 1 << 10  # texts a side of one matrix product
 SLICE = 2048
 
@@ -159,6 +162,7 @@ class Levels:
     def of(self, grams: np.ndarray) -> np.ndarray:
         if self.key not in _loaded:
             _loaded.clear()  # a reused worker keeps the last sketch only
+            sole_cache("levels", _loaded.clear)
             plane, size = np.zeros(1 << (BITS - 2), np.uint8), 1 << (BLOCK_BITS - 2)
             for block, packed in self._sent.value:
                 plane[block * size:(block + 1) * size] = np.frombuffer(zlib.decompress(packed), np.uint8)
@@ -212,8 +216,9 @@ def _read(levels: Levels, percent: int):
                 pa.array([None if r is None else r[0].tobytes() for r in rows], pa.binary()),
                 pa.array([None if r is None else r[1].view(np.int64) for r in rows], pa.list_(pa.int64())),
                 pa.array([None if r is None else r[2] for r in rows], pa.int32()),
-                pa.array([None if r is None else r[3] for r in rows], pa.float64())],
-                ["id", "n", "class", "shared", "prefix", "matches", "central"])
+                pa.array([None if r is None else r[3] for r in rows], pa.float64()),
+                pa.array([None if r is None else _marks(r[1]) for r in rows], pa.binary())],
+                ["id", "n", "class", "shared", "prefix", "matches", "central", "marks"])
     return run
 
 
@@ -223,14 +228,48 @@ def _links(both, n, m, percent):
     return 100 * both >= percent * (n + m - both)
 
 
-def _star(percent: int):
-    """Rows (pivot, its set, member, its set): whether they link."""
+def _marks(prefix: np.ndarray) -> bytes:
+    """16 bits of each prefix shingle, sorted: two texts share at most as many
+    shingles as marks."""
+    return np.sort((prefix >> np.uint64(20)).astype(np.uint16)).tobytes()
+
+
+def shared_marks(a: bytes, b: bytes) -> int:
+    x, y = np.frombuffer(a, np.uint16), np.frombuffer(b, np.uint16)
+    both = np.intersect1d(x, y)
+    times = [np.searchsorted(z, both, "right") - np.searchsorted(z, both) for z in (x, y)]
+    return int(np.minimum(*times).sum())
+
+
+def _able_to_link(percent: int):
+    """Rows (pivot, member, sizes, matches and marks of both): whether the sizes and
+    the shared prefix shingles allow a link."""
     def run(batches):
         for batch in batches:
-            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(c).to_pylist()] for c in ("p_shared", "shared"))
             n, m = batch.column("p_n").to_numpy(), batch.column("n").to_numpy()
-            both = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b)], np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("rep"), pa.array(_links(both, n, m, percent))], ["pivot", "rep", "linked"])
+            least = np.minimum(batch.column("p_matches").to_numpy(), batch.column("matches").to_numpy()).tolist()
+            near = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)).tolist()
+            marks = zip(near, least, batch.column("p_marks").to_pylist(), batch.column("marks").to_pylist())
+            can = [ok and shared_marks(a, b) >= k for ok, k, a, b in marks]
+            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("member"), pa.array(can, pa.bool_())], ["pivot", "member", "able"])
+    return run
+
+
+def _star(percent: int):
+    """Rows sorted by (pivot, part), the pivot's own first: whether members link."""
+    def run(batches):
+        key, hub, size = None, None, 0
+        for batch in batches:
+            out = []
+            for pivot, part, rep, n, shared in zip(*(batch.column(c).to_pylist() for c in ("pivot", "part", "rep", "n", "shared"))):
+                grams = np.frombuffer(shared, np.uint64)
+                if (pivot, part) != key:
+                    key, hub, size = (pivot, part), grams, n
+                else:
+                    both = len(np.intersect1d(hub, grams, assume_unique=True))
+                    out.append((pivot, rep, bool(_links(both, size, n, percent))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.binary()), pa.array([r[1] for r in out], pa.binary()),
+                                              pa.array([r[2] for r in out], pa.bool_())], ["pivot", "rep", "linked"])
     return run
 
 
@@ -363,23 +402,35 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     two = rows.select(F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).cast("string").alias("text"))
     kind = two.schema["id"].dataType.simpleString()
     levels = count_shingles(two.filter("id IS NOT NULL").select("text"))
-    read = two.mapInArrow(_read(levels, percent), f"id {kind}, n long, class binary, shared binary, prefix array<long>, matches int, central double")
+    read = two.mapInArrow(_read(levels, percent), f"id {kind}, n long, class binary, shared binary, prefix array<long>, matches int, central double, marks binary")
     sets = stored(read.withColumn("at", F.monotonically_increasing_id()), "sets")
     usable = sets.filter("id IS NOT NULL AND class IS NOT NULL")
     first = usable.groupBy("class").agg(F.min(F.struct("id", "at")).alias("first"))
     classes = stored(first.select(F.col("class").alias("cls"), F.col("first.id").alias("rep"), F.col("first.at").alias("row")), "classes")
     # Texts that can link, one row of each class.
     able = usable.filter("shared IS NOT NULL").join(classes, (F.col("class") == F.col("cls")) & (F.col("at") == F.col("row")))
-    able = stored(able.select("class", "n", "shared", "prefix", "matches", "central"), "able")
+    able = stored(able.select("class", "n", "shared", "prefix", "matches", "central", "marks"), "able")
     member = F.struct("central", "class").alias("member")
     entries = able.select(F.explode("prefix").alias("token"), member)
     pivots = stored(entries.groupBy("token").agg(F.max("member").alias("pivot"), F.count(F.lit(1)).alias("size"))
                     .filter("size > 1").select("token", F.col("pivot.class").alias("pivot")), "pivots")
     stars = stored(entries.join(pivots, "token").filter("pivot <> member.class").select("pivot", F.col("member.class").alias("member")).distinct(), "stars")
-    sized = able.select(F.col("class").alias("member"), F.col("class").alias("rep"), "n", "shared")
-    hub = able.select(F.col("class").alias("hub"), F.col("n").alias("p_n"), F.col("shared").alias("p_shared"))
-    pairs = stars.join(sized, "member").join(hub, F.col("pivot") == F.col("hub")).select("pivot", "rep", "p_n", "n", "p_shared", "shared")
-    verified = stored(pairs.mapInArrow(_star(percent), "pivot binary, rep binary, linked boolean"), "verified")
+    # Small rows first: sets are sent only for pairs that sizes and matches allow.
+    small = stored(able.select(F.col("class").alias("member"), "n", "matches", "marks"), "sizes")
+    hub = small.select(F.col("member").alias("hub"), F.col("n").alias("p_n"), F.col("matches").alias("p_matches"), F.col("marks").alias("p_marks"))
+    tested = stored(stars.join(small, "member").join(hub, F.col("pivot") == F.col("hub")).drop("hub")
+                    .mapInArrow(_able_to_link(percent), "pivot binary, member binary, able boolean"), "tested")
+    wanted = tested.filter("able").select("pivot", "member")
+    # A pivot's members in parts of bounded size; its own set goes to each part once.
+    parts = stored(wanted.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / STAR_TEXTS).cast("int").alias("parts")).withColumnRenamed("pivot", "hub"), "parts")
+    dealt = wanted.join(parts, F.col("pivot") == F.col("hub")).select(
+        "pivot", F.pmod(F.xxhash64("member"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("side"), "member")
+    own = parts.select(F.col("hub").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("side"), F.col("hub").alias("member"))
+    sets_of = able.select(F.col("class").alias("rep"), "n", "shared")
+    pairs = dealt.unionByName(own).join(sets_of, F.col("member") == F.col("rep")).select("pivot", "part", "side", "rep", "n", "shared")
+    pairs = pairs.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "side")
+    verified = stored(pairs.mapInArrow(_star(percent), "pivot binary, rep binary, linked boolean")
+                      .unionByName(tested.filter("NOT able").select("pivot", F.col("member").alias("rep"), F.lit(False).alias("linked"))), "verified")
 
     # Members that don't link with their pivot, against all of its members.
     queries = verified.filter("NOT linked").select("pivot", "rep")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkprep.llm.common import BYTE, LOWER, mix, nested_row, powers, stored, table, text_chunks
+from sparkprep.llm.common import BYTE, LOWER, mix, nested_row, powers, sole_cache, stored, table, text_chunks
 
 DIM_BITS = 18
 SCALE = 10.0
@@ -111,12 +111,15 @@ def train(rows: Iterable[tuple[str | None, int]], epochs: int = EPOCHS) -> np.nd
     alpha, beta, l1, l2 = (FTRL[k] for k in ("alpha", "beta", "l1", "l2"))
     dim = 1 << DIM_BITS
     z, n = np.zeros(dim + 1), np.zeros(dim + 1)
-    held = []
-    for text, label in rows:
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        number, _, count = features(data, np.array([0, len(data)]))
-        index, times = np.unique(number, return_counts=True)
-        held.append((np.append(index, dim).astype(np.int32), np.append(times * (SCALE / max(1, count[0])), 1.0).astype(np.float32), float(label)))
+
+    def examples():
+        for text, label in rows:
+            data = np.frombuffer((text or "").encode(), np.uint8)
+            number, _, count = features(data, np.array([0, len(data)]))
+            index, times = np.unique(number, return_counts=True)
+            yield np.append(index, dim).astype(np.int32), np.append(times * (SCALE / max(1, count[0])), 1.0).astype(np.float32), float(label)
+
+    held = examples() if epochs == 1 else list(examples())  # one epoch streams
     for _ in range(epochs):
         for index, value, label in held:
             zi, ni = z[index], n[index]
@@ -169,6 +172,7 @@ def _scored(docs: DataFrame, weights: np.ndarray, text_col: str) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
+        sole_cache("quality")
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score_texts(batch.column(1), sent.value))], ["row", "score"])
 

@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkprep.llm import bloom, jaccard_join
@@ -222,3 +224,22 @@ def test_prefix_grows_where_it_pays():
     assert jaccard_join.matches_needed(np.zeros(40, np.uint8), 10) == 1
     level = np.array([0] * 5 + [2] * 35, np.uint8)
     assert jaccard_join.matches_needed(level, 10) > 1
+
+
+def test_marks_never_count_too_few_shared_shingles():
+    rng = np.random.default_rng(8)
+    for n in (0, 1, 5, 300, 4000):
+        pool = rng.integers(0, 1 << 63, 2 * n + 1, dtype=np.uint64)
+        a, b = (rng.choice(pool, n, replace=False) for _ in range(2))
+        shared = len(np.intersect1d(a, b))
+        got = jaccard_join.shared_marks(jaccard_join._marks(a), jaccard_join._marks(b))
+        assert shared <= got <= min(len(a), len(b))
+        assert n > 300 or got == shared
+
+
+def test_pairs_that_cannot_link_send_no_set():
+    columns = {"pivot": [b"p"] * 3, "member": [b"a", b"b", b"c"], "p_n": [100] * 3, "n": [74, 100, 100], "p_matches": [2] * 3, "matches": [2, 3, 2]}
+    marks = [jaccard_join._marks(np.array(x, np.uint64) << np.uint64(20)) for x in ([1, 2, 3], [1, 9, 8], [2, 3, 7])]
+    batch = pa.RecordBatch.from_pydict(columns | {"p_marks": [marks[0]] * 3, "marks": [marks[0], marks[1], marks[2]]})
+    (out,) = jaccard_join._able_to_link(75)(iter([batch]))
+    assert out.column("able").to_pylist() == [False, False, True]  # too small; one match of two; both

@@ -119,8 +119,12 @@ def branch_steps(words: DataFrame, node_bits: int = 64) -> DataFrame:
 
 
 def edge_table(steps: DataFrame) -> DataFrame:
-    """(node, char, label, child), each edge once."""
-    return steps.select("node", "char", "label", "child").distinct()
+    """(node, char, label, child, nexts), each edge once: nexts are the characters
+    that go on from the child, so a state that cannot go on is never made."""
+    edges = stored(steps.select("node", "char", "label", "child").distinct(), "trie_edges")
+    nexts = edges.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_set(F.substring("label", 1, 1)), "").alias("nexts"))
+    inner = edges.filter("child IS NOT NULL").join(nexts, "child").select("node", "char", "label", "child", "nexts")
+    return inner.unionByName(edges.filter("child IS NULL").withColumn("nexts", F.lit(None).cast("string")))
 
 
 # -- Frontier --------------------------------------------------------------------
@@ -130,34 +134,42 @@ def _after(text, at):
     return F.substring(text, at + 1, F.length(text))
 
 
+def _goes_on(spelled, at):
+    """Whether the reached node is an end, or an edge goes on from it as the word
+    does after ``at`` characters."""
+    return F.col("child").isNull() | F.col("nexts").contains(F.substring(spelled, at + 1, F.lit(1)))
+
+
 def first_edits(steps: DataFrame, edges: DataFrame) -> DataFrame:
-    """States after one edit: the word, the neighbour sought, how much of it is
-    spelled, and the node reached (null: its end)."""
+    """States after one edit: the word, the neighbour sought (both as the trie spells
+    them), how much of it is spelled, and the node reached (null: its end)."""
     half = F.floor(F.length("word") / 2)
     least = F.when(F.col("reversed"), F.length("word") - half).otherwise(half)
-    leaving = (steps.filter(F.col("at") >= least)
-               .select("reversed", "word", "at", "node", F.col("char").alias("own"), (F.col("at") == least).alias("nearest")))
-    other = edges.select("node", "char", "label", "child")
-    met = leaving.join(other, "node").filter((F.col("char") != F.col("own")) & (F.col("char") != ord(END)))
-    rest = _after(_spelled(F.col("word"), F.col("reversed")), F.col("at"))
-    met = met.withColumn("rest", rest).withColumn("tail", _after(F.col("label"), F.lit(1)))
-    # A replaced character: the neighbour with the larger one is found from the other.
-    replaced = (F.col("own") != ord(END)) & (F.col("char") > F.col("own")) & _after(F.col("rest"), F.lit(1)).startswith(F.col("tail"))
-    inserted = ~(F.col("reversed") & F.col("nearest")) & F.col("rest").startswith(F.col("tail"))
-    kinds = F.array(F.struct(replaced.alias("made"), _after(F.col("rest"), F.lit(1)).alias("rest")),
-                    F.struct(inserted.alias("made"), F.col("rest").alias("rest")))
-    made = met.withColumn("edit", F.explode(F.filter(kinds, lambda e: e.made)))
     spelled = _spelled(F.col("word"), F.col("reversed"))
-    near = F.concat(F.substring(spelled, F.lit(1), F.col("at")), F.substring("label", 1, 1), F.col("edit.rest"))
-    return made.select("reversed", "word", near.alias("near"), (F.col("at") + F.length("label")).alias("at"), F.col("child").alias("node"))
+    leaving = steps.filter(F.col("at") >= least).select(
+        "reversed", "node", F.col("char").alias("own"), F.substring(spelled, F.lit(1), F.col("at")).alias("head"), _after(spelled, F.col("at")).alias("rest"),
+        (~(F.col("reversed") & (F.col("at") == least))).alias("inserts"))
+    other = edges.filter(F.col("char") != ord(END)).select("node", "char", "label", _after(F.col("label"), F.lit(1)).alias("tail"), "child", "nexts")
+    met = leaving.join(other, "node").filter(F.col("char") != F.col("own"))
+    tail = F.length("tail")
+    # A replaced character: the neighbour with the larger one is found from the other.
+    replaced = ((F.col("own") != ord(END)) & (F.col("char") > F.col("own")) & _goes_on(F.col("rest"), tail + 1)
+                & (F.substring(F.col("rest"), F.lit(2), tail) == F.col("tail")))
+    inserted = F.col("inserts") & _goes_on(F.col("rest"), tail) & F.col("rest").startswith(F.col("tail"))
+    made = met.select("*", replaced.alias("replaced"), inserted.alias("inserted")).filter("replaced OR inserted")
+    rests = F.array(F.when(F.col("replaced"), _after(F.col("rest"), F.lit(1))), F.when(F.col("inserted"), F.col("rest")))
+    made = made.withColumn("then", F.explode(F.array_compact(rests)))
+    return made.select("reversed", F.concat("head", "rest").alias("word"), F.concat("head", F.substring("label", 1, 1), "then").alias("near"),
+                       (F.length("head") + F.length("label")).alias("at"), F.col("child").alias("node"))
 
 
 def next_level(states: DataFrame, edges: DataFrame) -> DataFrame:
     """States one edge further on; those whose next characters no edge spells die."""
     head = F.ascii(F.substring(F.col("near"), F.col("at") + 1, F.lit(1))).cast("smallint")
     met = states.withColumn("char", head).join(edges, ["node", "char"])
-    return (met.filter(F.substring(F.col("near"), F.col("at") + 1, F.length("label")) == F.col("label"))
-            .select("reversed", "word", "near", (F.col("at") + F.length("label")).alias("at"), F.col("child").alias("node")))
+    end = F.col("at") + F.length("label")
+    return (met.filter((F.substring(F.col("near"), F.col("at") + 1, F.length("label")) == F.col("label")) & _goes_on(F.col("near"), end))
+            .select("reversed", "word", "near", end.alias("at"), F.col("child").alias("node")))
 
 
 def neighbours(words: DataFrame, node_bits: int = 64) -> DataFrame:
@@ -171,8 +183,11 @@ def neighbours(words: DataFrame, node_bits: int = 64) -> DataFrame:
         states = stored(next_level(open_, edges), "trie_states")
         levels.append(states)
     ends = reduce(DataFrame.unionByName, [s.filter("node IS NULL") for s in levels])
-    near = F.expr("substring(near, 1, length(near) - 1)")
-    found = ends.select("word", F.when(F.col("reversed"), F.reverse(near)).otherwise(near).alias("near"))
+
+    def plain(c):
+        word = F.expr(f"substring({c}, 1, length({c}) - 1)")
+        return F.when(F.col("reversed"), F.reverse(word)).otherwise(word).alias(c)
+    found = ends.select(plain("word"), plain("near"))
     exact = found.join(words.select(F.col("word").alias("near")), "near").select("word", "near")
     return exact.unionByName(exact.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
 

@@ -13,18 +13,20 @@ A node's composite importance is ``(1 - gamma) * presentation + gamma * mean
 importance of its branches``, the text at the node being one branch. A branch
 whose own importance and that of everything below it is under ``threshold`` is
 removed from every page of the host. Elements that HTML declares to be
-navigation, header, footer, aside, form, script and the like are left out. Those
-whose class or id has a word for them (advert, notice, comments; not in
-no-sidebar, has-comments, with-menu, ad-free) have presentation importance 0:
-they are left out unless their composite importance, by the content of their
-branches, reaches ``threshold`` on their host. Class words don't count on html,
-body, article and main and on what an article or main lies in. Where a page marks its
+navigation, header, footer, aside, form, script and the like are left out, and so
+are those whose class or id names them (comments, adverts, sidebars, notices, menus;
+not in no-sidebar, has-comments, with-menu, ad-free): on every host, as their texts
+differ from page to page and no entropy can tell them. Words that name content as
+often (widget, social, pager) give presentation importance 0: such elements are left
+out unless their composite importance, by the content of their branches, reaches
+``threshold`` on their host. Class words don't count on html, body, article and main
+and on what the marked content lies in. Where a page marks its
 content (article, main, role main), what lies outside has 0, and the marked
 root has composite importance 1: neither it nor what it lies in is ever cut.
 
 One rule holds at every size: the score that is compared with ``threshold`` is
 ``(1 - 1 / m**2) * importance + prior / m**2``, where the prior is 0 at and below
-elements with a class word and 1 elsewhere. A block repeated on two pages is kept
+elements with such a word and 1 elsewhere. A block repeated on two pages is kept
 for want of evidence, on three and more it is not. Pages of one content text count
 once, whatever stands around it, and pages without a host and paths on a single
 page are judged by the prior alone. The counts are partial aggregates over (path, value) hashes, so a host
@@ -73,9 +75,10 @@ INLINE = MATH | frozenset("a abbr acronym b bdi bdo big br cite code data del df
 NOISE_TAGS = frozenset("head nav footer aside form script style noscript template iframe svg object textarea title select "
                        "button input dialog menu annotation annotation-xml".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
-NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation "
+NAMED_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar nav navbar navigation "
                         "menu breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice alert popup modal overlay newsletter "
-                        "subscribe signup share sharing social comment comments disqus reply replies widget toolbar pagination pager login".split())
+                        "subscribe signup comment comments disqus reply replies".split())
+NOISE_WORDS = NAMED_WORDS | frozenset("share sharing social widget toolbar pagination pager login".split())
 CONTENT_TAGS = frozenset(["article", "main"])
 PLAIN_TAGS = CONTENT_TAGS | {"html", "body"}  # class words don't count on these
 # What takes back a word of a class name after it, or before it.
@@ -94,40 +97,41 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "name", "noise", "doubt", "content", "parts", "parent")
+    __slots__ = ("tag", "name", "noise", "doubt", "named", "content", "parts", "parent")
 
-    def __init__(self, tag, name, noise, doubt, content, parent):
+    def __init__(self, tag, name, noise, doubt, content, parent, named=False):
         self.tag, self.name, self.noise, self.doubt, self.content, self.parent, self.parts = tag, name, noise, doubt, content, parent, []
+        self.named = named  # by a word that leaves no doubt
 
 
-def _noise_word(token: str) -> bool:
-    """Whether one class name or id has a word for what isn't content."""
+def _noise_word(token: str) -> str | None:
+    """The word for what isn't content in one class name or id."""
     words = _WORD.findall(token)
     for i, word in enumerate(words):
         if word in BEFORE:
-            return False
+            return None
         if word in NOISE_WORDS and not AFTER.intersection(words[i + 1:i + 2]):
-            return True
-    return False
+            return word
+    return None
 
 
 def _element(tag: str, attrs: str, parent: Node) -> Node:
-    name, noise, doubt, content = tag, tag in NOISE_TAGS, False, tag in CONTENT_TAGS
+    name, noise, said, content = tag, tag in NOISE_TAGS, set(), tag in CONTENT_TAGS
     if attrs and "=" in attrs or " hidden" in attrs:
         for key, value in _ATTR.findall(attrs):
             key, value = key.lower(), value.strip("\"'").lower()
             if key in ("class", "id"):
                 if key == "class":
                     name += "".join("." + c for c in sorted(set(value.split())))
-                doubt = doubt or any(map(_noise_word, value.split()))
+                said.update(filter(None, map(_noise_word, value.split())))
             elif key == "role":
                 noise = noise or value in NOISE_ROLES
                 if value == "main" and not content:
                     content, name = True, name.replace(tag, "main", 1)
             elif key == "hidden":
                 noise = True
-    doubt = doubt and not content and tag not in PLAIN_TAGS
-    return Node(tag, name + DOUBT if doubt else name, noise, doubt, content, parent)
+    doubt = bool(said) and not content and tag not in PLAIN_TAGS
+    return Node(tag, name + DOUBT if doubt else name, noise, doubt, content, parent, bool(said & NAMED_WORDS))
 
 
 def _foreign(node: Node | None) -> Node | None:
@@ -199,20 +203,28 @@ def _marked(root: Node) -> set[int]:
     """Ids of the nodes by which the page marks its content, somewhere that
     isn't noise, and of all nodes around them. Class words of these nodes are
     taken back. An article inside an element with a class word (a comment, a
-    teaser) is kept, but marks nothing."""
-    found, around, stack = set(), set(), [(root, False)]
+    teaser) marks nothing; where nothing is marked, it is kept like other blocks."""
+    found, others, stack = set(), [], [(root, False)]
+
+    def take_back(node, done):
+        while node is not None and id(node) not in done:
+            done.add(id(node))
+            if node.doubt:  # None where it is taken back
+                node.doubt, node.name = None, node.name.removesuffix(DOUBT)
+            node = node.parent
     while stack:
         one, doubt = stack.pop()
         doubt = doubt or one.doubt is not False
         if one.content:
-            marks = not doubt or one.name.startswith("main")
-            up, done = one, found if marks else around
-            while up is not None and id(up) not in done:
-                done.add(id(up))
-                if up.doubt:  # None where it is taken back
-                    up.doubt, up.name = None, up.name.removesuffix(DOUBT)
-                up = up.parent
+            if not doubt or one.name.startswith("main"):
+                take_back(one, found)
+            else:
+                others.append(one)
         stack.extend((p, doubt) for p in one.parts if isinstance(p, Node) and not _is_noise(p, False))
+    if not found:
+        around = set()
+        for one in others:
+            take_back(one, around)
     return found
 
 
@@ -224,7 +236,7 @@ def _flow(node: Node, in_content: bool, left_out):
         part = stack.pop()
         if isinstance(part, str):
             yield part
-        elif _is_noise(part, in_content) or part.doubt and left_out(part):
+        elif _is_noise(part, in_content) or part.doubt and (part.named or left_out(part)):
             if part.tag not in INLINE:
                 yield None
         elif part.tag in INLINE and not part.content:

@@ -67,8 +67,22 @@ def test_class_words():
     assert S.main_text(tree) == S.main_text(tree)  # reading a tree again gives the same
 
 
-def test_content_outweighs_class_words(spark):
-    rows = [(i, f"http://w.com/{i}", f"<p>Own {i}</p><div class=widget-text><p>Part {i}</p></div><div class=cookie-box><p>We use them</p></div>") for i in range(20)]
+def test_named_blocks_go_on_hosts_of_every_size(spark):
+    """Comments, adverts, sidebars and notices that differ on every page."""
+    inside = "<div class='comments'><article>Reader {k} says hello {i}</article></div><div class='ad'>Buy item {i} today</div><p id=cookie-notice>We {i}</p>"
+    rows, want = [], {}
+    for n in (1, 2, 3, 20):
+        for i in range(n):
+            k = 100 * n + i
+            rows.append((k, f"http://marked{n}.com/{i}", f"<nav>n</nav><article><p>Own text {k}</p>{inside.format(i=i, k=k)}<p>End {k}</p></article>"))
+            rows.append((10_000 + k, f"http://plain{n}.com/{i}", f"<div class='post'><p>Own text {k}</p></div><div class='comments'>Reader {k}</div><div id='sidebar'>Links {k}</div>"))
+            want |= {k: f"Own text {k}\n\nEnd {k}", 10_000 + k: f"Own text {k}"}
+    got = {r.id: r.text for r in S.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
+def test_content_outweighs_doubtful_class_words(spark):
+    rows = [(i, f"http://w.com/{i}", f"<p>Own {i}</p><div class=widget-text><p>Part {i}</p></div><div class=share-box><p>We use them</p></div>") for i in range(20)]
     rows += [(50, None, rows[0][2])]
     got = {r.id: r.text for r in S.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert all(got[i] == f"Own {i}\n\nPart {i}" for i in range(20)) and got[50] == "Own 0"

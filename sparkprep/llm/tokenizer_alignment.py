@@ -26,7 +26,8 @@ rows of their own. Other columns are never read.
 
 from __future__ import annotations
 
-import os
+import json
+import re
 from functools import lru_cache
 from hashlib import sha256
 from itertools import chain
@@ -34,22 +35,24 @@ from itertools import chain
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from sparkprep.llm.common import field, nested_row, stored, table, text_chunks
-from sparkprep.llm.token_counts import LETTER_BYTES
+from sparkprep.llm.token_counts import BYTE_LETTERS, LETTER_BYTES, unsure_characters
 
 FILE_A = public_tokenizers.path("byte_bpe_50k.json")
 FILE_B = public_tokenizers.path("piece_bpe_32k.model")
-BLOCK_BYTES = 1 << 22  # of texts aligned together
+BLOCK_BYTES = 1 << 20  # of texts aligned together
 ENCODED_BYTES = 1 << 19  # encoded at a time
+MERGED_BYTES = 16 << 20  # of the words whose ids a worker remembers
 WORK = 1 << 16  # steps of a merge piece
 LONG_GROUP = 64  # links from which a group is reduced to distinct ids
-UNIT_LINKS = 1 << 20  # made at a time
+UNIT_LINKS = 1 << 18  # made at a time
 MARK = "▁"
 
 
@@ -71,7 +74,8 @@ def merge_path(a: np.ndarray, b: np.ndarray, work: int = WORK) -> tuple[np.ndarr
 
 
 def piece_overlaps(a: np.ndarray, b: np.ndarray, i: int, i_to: int, j: int, j_to: int):
-    """Overlapping token pairs whose overlap ends within one piece of the merge.
+    """Overlapping token pairs whose overlap ends within one piece of the merge: those
+    that end with a's token, in order, and then those that b's alone ends.
 
     Returns (index in a, index in b, whether both end there). An end of both at the
     border, a's in this piece and b's in the next, is told by b's value alone."""
@@ -92,8 +96,7 @@ def piece_overlaps(a: np.ndarray, b: np.ndarray, i: int, i_to: int, j: int, j_to
     left = np.concatenate([np.arange(i, i_to), i + at_b[alone]])
     right = np.concatenate([j + at_a, np.arange(j, j_to)[alone]])
     both = np.concatenate([same, np.zeros(int(alone.sum()), bool)])
-    order = np.lexsort((right, left))
-    return left[order], right[order], both[order]
+    return left, right, both
 
 
 def stitched_groups(a: np.ndarray, b: np.ndarray, work: int = WORK) -> tuple[np.ndarray, np.ndarray]:
@@ -112,13 +115,34 @@ def stitched_groups(a: np.ndarray, b: np.ndarray, work: int = WORK) -> tuple[np.
 
 # -- Tokenizers ------------------------------------------------------------------
 
+class _Merged(dict):
+    """Pre-token -> its ids, merged where they are not known."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.room = model, MERGED_BYTES
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = tuple([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))])
+        size = 250 + 10 * len(word)
+        if size < MERGED_BYTES >> 8:
+            self.room -= size
+            if self.room < 0:
+                self.clear()
+                self.room = MERGED_BYTES
+            self[word] = ids
+        return ids
+
+
 class Tokens:
     """Encodes texts to ids; ``bytes`` holds the bytes that each id stands for.
 
     ``.json`` files are byte-level vocabularies and get a space before the text,
-    ``.model`` files add it themselves."""
+    ``.model`` files add it themselves. Words of a byte-level vocabulary are merged
+    once and remembered in a table of bounded size; texts with characters that Python's
+    regex library may split otherwise go through the tokenizer as a whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, unsure: str | None = None):
         self.adds_space = path.endswith(".model")
         if self.adds_space:
             self.model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -129,6 +153,9 @@ class Tokens:
             size = self.model.get_vocab_size(with_added_tokens=True)
             letters = [self.model.id_to_token(i) or "" for i in range(size)]
             self.bytes = [bytes(LETTER_BYTES[c] for c in w) if all(c in LETTER_BYTES for c in w) else w.encode() for w in letters]
+            self.unsure = re.compile(unsure) if unsure else None
+            self.split = regex.compile(public_tokenizers.PATTERN).findall
+            self.merged = _Merged(self.model.model)
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
     def _piece(self, i: int) -> bytes:
@@ -139,13 +166,30 @@ class Tokens:
     def __call__(self, texts: list[str]) -> list[list[int]]:
         if self.adds_space:
             return self.model.encode(texts, num_threads=1)
-        return [e.ids for e in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [self._ids(" " + t) for t in texts]
+
+    def _ids(self, text: str) -> list[int]:
+        if self.unsure is None or self.unsure.search(text):
+            return self.model.encode(text, add_special_tokens=False).ids
+        return list(chain.from_iterable(map(self.merged.__getitem__, self.split(text))))
+
+
+def unsure_of(path: str) -> str | None:
+    """Characters of texts that must go through the tokenizer as a whole; None for
+    all, where the tokenizer has other steps than the usual byte-level split."""
+    if not path.endswith(".json"):
+        return None
+    with open(path, encoding="utf-8") as f:
+        steps = json.load(f)
+    usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if steps["normalizer"] is not None or usual.items() - (steps["pre_tokenizer"] or {}).items():
+        return None
+    return unsure_characters(public_tokenizers.PATTERN, pre_tokenizers.ByteLevel(add_prefix_space=False))
 
 
 @lru_cache(2)
-def tokens(path: str) -> Tokens:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    return Tokens(path)
+def tokens(path: str, unsure: str | None = None) -> Tokens:
+    return Tokens(path, unsure)
 
 
 def encoded(tokenizer: Tokens, raw: list[bytes]) -> list[np.ndarray]:
@@ -204,6 +248,8 @@ class Block:
         """(group, id, times) of the tokens; one entry per id in long groups."""
         group = np.repeat(np.arange(len(to)), k)
         at_long = long[group]
+        if not at_long.any():
+            return group, ids.astype(np.int64), np.ones(len(ids), np.int64)
         key, times = np.unique(group[at_long].astype(np.int64) << 32 | ids[at_long], return_counts=True)
         group = np.concatenate([group[~at_long], key >> 32])
         ids = np.concatenate([ids[~at_long].astype(np.int64), key & 0xFFFFFFFF])
@@ -225,21 +271,23 @@ class Block:
         # Ranges of A ids with about UNIT_LINKS links each; an id is in one range.
         by_id = np.cumsum(np.bincount(id_a, weights=links, minlength=1)).astype(np.int64)
         of_range = ((by_id - 1) // UNIT_LINKS)[id_a]
-        bits = max(1, int(self.vocabulary_b - 1).bit_length())
+        bits_b = int(self.vocabulary_b - 1).bit_length()
+        bits = bits_b + int(id_a.max()).bit_length()
         for r in np.unique(of_range):
             mine = np.flatnonzero(of_range == r)
             n = links[mine]
             a = np.repeat(mine, n)
             b = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + first_b[g_a[a]]
-            pair, doc, times = id_a[a] << bits | id_b[b], self.doc[g_a[a]], t_a[a] * t_b[b]
-            pairs, number = np.unique(pair, return_inverse=True)
-            key = doc.astype(np.int64) << 32 | number
-            key, place = np.unique(key, return_inverse=True)
-            total = np.zeros(len(key), np.int64)
-            np.add.at(total, place, times)
-            doc, number = key >> 32, key & 0xFFFFFFFF
-            a_of, b_of = pairs >> bits, pairs & ((1 << bits) - 1)
-            yield (a_of << 32 | b_of), np.bincount(number, minlength=len(pairs)), doc, number, total
+            key = self.doc[g_a[a]] << bits | id_a[a] << bits_b | id_b[b]
+            if long.any():
+                times = t_a[a] * t_b[b]
+                order = np.argsort(key, kind="stable")
+                heads = np.flatnonzero(np.diff(key[order], prepend=-1))
+                key, total = key[order][heads], np.add.reduceat(times[order], heads)
+            else:
+                key, total = np.unique(key, return_counts=True)
+            pairs, number = np.unique(key & ((1 << bits) - 1), return_inverse=True)
+            yield (pairs >> bits_b) << 32 | pairs & ((1 << bits_b) - 1), np.bincount(number, minlength=len(pairs)), key >> bits, number, total
 
 
 # -- Spark -----------------------------------------------------------------------
@@ -250,8 +298,10 @@ _BLOCKS = ("block bigint, at int, id {kind}, n_a bigint, n_b bigint, n_groups bi
 
 
 def _align(file_a: str, file_b: str):
+    unsure_a, unsure_b = unsure_of(file_a), unsure_of(file_b)
+
     def run(batches):
-        a, b = tokens(file_a), tokens(file_b)
+        a, b = tokens(file_a, unsure_a), tokens(file_b, unsure_b)
         a_texts = np.array(list(chain.from_iterable((f"{i},", f"{i}|") for i in range(len(a.bytes)))), object)
         b_texts = np.array(list(chain.from_iterable((f"{i},", f"{i};") for i in range(len(b.bytes)))), object)
         number = TaskContext.get().partitionId() << 32
@@ -274,6 +324,7 @@ def _align(file_a: str, file_b: str):
                     yield rows(1, block=[number], pairs=[pairs.tobytes()], held=[held.astype(np.int32).tobytes()], docs=[docs.astype(np.int32).tobytes()],
                                numbers=[numbers.astype(np.int32).tobytes()], links=[links.tobytes()])
                 number += 1
+            pa.default_memory_pool().release_unused()
     return run
 
 

@@ -11,6 +11,8 @@ all its words at once.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +60,10 @@ def ascii_lower(col):
 # -- Workers -------------------------------------------------------------------
 
 _kept: dict[str, object] = {}
+try:  # gives freed memory back to the system; glibc only
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):
+    _trim = None
 
 
 def sole_cache(name: str, clear=lambda: None) -> None:
@@ -67,6 +73,8 @@ def sole_cache(name: str, clear=lambda: None) -> None:
         _kept.pop(other)()
     if name not in _kept:
         pa.default_memory_pool().release_unused()
+        if _trim is not None:
+            _trim(0)
     _kept[name] = clear
 
 

@@ -61,7 +61,8 @@ SHINGLE = 5
 PERCENT = 75
 BITS = 28
 BLOCK_BITS = 22
-FLUSH = 1 << 22
+FLUSH = 1 << 21
+READ_ROWS = 1 << 10  # texts whose sets are held together
 LEVELS = (2, 8, 256)  # texts that a shingle of level 1, 2, 3 is in at least
 OTHERS = np.array([0.0, 2.0, 40.0, 1000.0])  # other texts that a level stands for
 MOST_MATCHES = 16
@@ -112,6 +113,7 @@ def _send(held: list[np.ndarray], part: int):
 
 def _count(batches):
     held, n, part = [], 0, TaskContext.get().partitionId()
+    sole_cache("levels", _loaded.clear)
     for batch in batches:
         for grams in shingle_sets(batch.column(0)):
             held.append(grams)
@@ -205,7 +207,8 @@ def _row(grams: np.ndarray, level: np.ndarray, percent: int):
 
 def _read(levels: Levels, percent: int):
     def run(batches):
-        for batch in batches:
+        sole_cache("levels", _loaded.clear)
+        for batch in (b.slice(i, READ_ROWS) for b in batches for i in range(0, b.num_rows, READ_ROWS)):
             sets = list(shingle_sets(batch.column(1)))
             every = levels.of(np.concatenate([np.zeros(0, np.uint64), *sets]))
             cut = np.cumsum([0, *map(len, sets)])

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.llm.common import ALNUM, Words, bytes_and_offsets, nested_row, stored, table, text_chunks
+from sparkprep.llm.common import ALNUM, Words, bytes_and_offsets, nested_row, sole_cache, stored, table, text_chunks
 
 SEGMENT_WORDS = 1 << 20
 GAP = 64  # positions between documents; more than any slop
@@ -89,6 +89,7 @@ def text_key(data: bytes) -> int:
 
 def _index(batches):
     task, made, held = TaskContext.get().partitionId(), 0, _Segment()
+    sole_cache("phrases")
     for batch in batches:
         for i, j, data, at in text_chunks(batch.column(1)):
             words = Words(data, at, ALNUM)

@@ -186,7 +186,7 @@ def _search(block, slop):
     def run(batches):
         windows, items = block.value
         lengths = (windows != 0).sum(axis=1)
-        for batch in batches:
+        for batch in (b.slice(i, 1) for b in batches for i in range(b.num_rows)):
             for segment, counts, terms, cuts, packed in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 window, start = _matches(np.frombuffer(terms, np.uint64), _unpack(cuts).astype(np.int64), _unpack(packed), windows, slop)
                 counts = np.array(counts, np.int64)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm.common import sole_cache
+from sparkprep.llm.common import releasing, sole_cache
 
 BITS = 28
 BLOCK_BITS = 22
@@ -108,8 +108,8 @@ def merged_blocks(sent: DataFrame, blocks: int, merge: Callable, message: str, l
         grouped = sent.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
         grouped = grouped.repartition(blocks * parts, "block", "part").sortWithinPartitions("block", "part")
         if parts == 1:
-            return grouped.mapInArrow(merge(True), last)
-        sent = grouped.mapInArrow(merge(False), message)
+            return grouped.mapInArrow(releasing(merge(True)), last)
+        sent = grouped.mapInArrow(releasing(merge(False)), message)
 
 
 def twice_seen(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int = BITS) -> TwiceSeen:
@@ -129,7 +129,7 @@ def twice_seen(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.nd
 
     block_bits = min(BLOCK_BITS, bits)
     message = "block int, part int, dense boolean, once binary, twice binary"
-    merged = merged_blocks(df.mapInArrow(add, message), 1 << (bits - block_bits), lambda last: _merge(block_bits, last), message, "block int, twice binary")
+    merged = merged_blocks(df.mapInArrow(releasing(add), message), 1 << (bits - block_bits), lambda last: _merge(block_bits, last), message, "block int, twice binary")
     # 2**bits / 8 bytes at most, whatever the input.
     planes = [(r["block"], bytes(r["twice"])) for r in merged.collect()]
     return TwiceSeen(df.sparkSession, planes, bits)

@@ -29,7 +29,20 @@ ASCII_LOWER = bytes(LOWER)
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 
 
+# Bytes of one Arrow batch that Spark sends to a worker, where the session leaves
+# the default: both ends hold several batches of every running task.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches end at ``BATCH_BYTES`` unless the session has a size of its own."""
+    if spark.conf.get(_BATCH_SETTING).rstrip("bB") == str(_BATCH_DEFAULT):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -44,6 +57,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def nested_row(df: DataFrame) -> DataFrame:
     """All columns of ``df`` in one struct ``row``: helper columns added beside
     it cannot clash with the caller's names."""
+    bounded_batches(df.sparkSession)
     return df.select(F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns]).alias("row"))
 
 
@@ -72,12 +86,28 @@ def sole_cache(name: str, clear=lambda: None) -> None:
     for other in [k for k in _kept if k != name]:
         _kept.pop(other)()
     if name not in _kept:
-        pa.default_memory_pool().release_unused()
-        if _trim is not None:
-            _trim(0)
+        release()
     _kept[name] = clear
 
 
+def release() -> None:
+    """Give the worker's freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def releasing(run):
+    """``run`` over a task's batches, then :func:`release`: idle workers hold what
+    their process keeps, not the most that a task needed."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return task
+
+
 # -- Arrow ---------------------------------------------------------------------
 
 def bytes_and_offsets(column) -> tuple[np.ndarray, np.ndarray]:

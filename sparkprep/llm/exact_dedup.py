@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkprep.llm.bloom import BITS, TwiceSeen, twice_seen
-from sparkprep.llm.common import LOWER, bytes_and_offsets, nested_row, stored, table
+from sparkprep.llm.common import LOWER, bytes_and_offsets, nested_row, releasing, stored, table
 
 
 def _digests(column) -> pa.Array:
@@ -53,7 +53,7 @@ def digest_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = nested_row(docs)
     two = rows.select(F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).cast("string").alias("text"))
     kind = two.schema["id"].dataType.simpleString()
-    hashed = two.mapInArrow(_hash_rows, f"id {kind}, digest binary")
+    hashed = two.mapInArrow(releasing(_hash_rows), f"id {kind}, digest binary")
     return stored(hashed.withColumn("at", F.monotonically_increasing_id()), "digests")
 
 
@@ -71,7 +71,7 @@ def _flag(seen: TwiceSeen):
 
 def _flagged(digests: DataFrame, seen: TwiceSeen) -> DataFrame:
     schema = T.StructType([*digests.schema.fields, T.StructField("suspect", T.BooleanType())])
-    return digests.mapInArrow(_flag(seen), schema)
+    return digests.mapInArrow(releasing(_flag(seen)), schema)
 
 
 def _groups(suspects: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = nested_row(docs)
     shown = rows.select("row", F.col("row").getField(text_col).cast("string").alias("text"))
     schema = T.StructType([rows.schema["row"], T.StructField("digest", T.BinaryType()), T.StructField("suspect", T.BooleanType())])
-    flagged = shown.mapInArrow(_hash_nested(id_col, text_col, seen), schema)
+    flagged = shown.mapInArrow(releasing(_hash_nested(id_col, text_col, seen)), schema)
     suspects = flagged.filter("suspect")
     chosen = suspects.join(groups, F.col("digest") == F.col("key"), "left").withColumn("id", F.col("row").getField(id_col))
     unique = chosen.filter("key IS NULL").select("row")

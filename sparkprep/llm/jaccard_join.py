@@ -55,7 +55,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkprep.llm.bloom import merged_blocks
-from sparkprep.llm.common import NOT_SPACE, Words, nested_row, ngram_hashes, sole_cache, stored, table, text_chunks
+from sparkprep.llm.common import NOT_SPACE, Words, nested_row, ngram_hashes, releasing, sole_cache, stored, table, text_chunks
 
 SHINGLE = 5
 PERCENT = 75
@@ -175,7 +175,7 @@ class Levels:
 
 def count_shingles(texts: DataFrame) -> Levels:
     message = "block int, part int, at binary, times binary"
-    merged = merged_blocks(texts.mapInArrow(_count, message), 1 << (BITS - BLOCK_BITS), _add_up, message, "block int, levels binary")
+    merged = merged_blocks(texts.mapInArrow(releasing(_count), message), 1 << (BITS - BLOCK_BITS), _add_up, message, "block int, levels binary")
     # 2**BITS / 4 bytes at most, whatever the input.
     return Levels(texts.sparkSession, [(r["block"], bytes(r["levels"])) for r in merged.collect()])
 
@@ -405,7 +405,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     two = rows.select(F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).cast("string").alias("text"))
     kind = two.schema["id"].dataType.simpleString()
     levels = count_shingles(two.filter("id IS NOT NULL").select("text"))
-    read = two.mapInArrow(_read(levels, percent), f"id {kind}, n long, class binary, shared binary, prefix array<long>, matches int, central double, marks binary")
+    read = two.mapInArrow(releasing(_read(levels, percent)), f"id {kind}, n long, class binary, shared binary, prefix array<long>, matches int, central double, marks binary")
     sets = stored(read.withColumn("at", F.monotonically_increasing_id()), "sets")
     usable = sets.filter("id IS NOT NULL AND class IS NOT NULL")
     first = usable.groupBy("class").agg(F.min(F.struct("id", "at")).alias("first"))
@@ -422,7 +422,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     small = stored(able.select(F.col("class").alias("member"), "n", "matches", "marks"), "sizes")
     hub = small.select(F.col("member").alias("hub"), F.col("n").alias("p_n"), F.col("matches").alias("p_matches"), F.col("marks").alias("p_marks"))
     tested = stored(stars.join(small, "member").join(hub, F.col("pivot") == F.col("hub")).drop("hub")
-                    .mapInArrow(_able_to_link(percent), "pivot binary, member binary, able boolean"), "tested")
+                    .mapInArrow(releasing(_able_to_link(percent)), "pivot binary, member binary, able boolean"), "tested")
     wanted = tested.filter("able").select("pivot", "member")
     # A pivot's members in parts of bounded size; its own set goes to each part once.
     parts = stored(wanted.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / STAR_TEXTS).cast("int").alias("parts")).withColumnRenamed("pivot", "hub"), "parts")
@@ -432,7 +432,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sets_of = able.select(F.col("class").alias("rep"), "n", "shared")
     pairs = dealt.unionByName(own).join(sets_of, F.col("member") == F.col("rep")).select("pivot", "part", "side", "rep", "n", "shared")
     pairs = pairs.repartition("pivot", "part").sortWithinPartitions("pivot", "part", "side")
-    verified = stored(pairs.mapInArrow(_star(percent), "pivot binary, rep binary, linked boolean")
+    verified = stored(pairs.mapInArrow(releasing(_star(percent)), "pivot binary, rep binary, linked boolean")
                       .unionByName(tested.filter("NOT able").select("pivot", F.col("member").alias("rep"), F.lit(False).alias("linked"))), "verified")
 
     # Members that don't link with their pivot, against all of its members.
@@ -451,7 +451,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select("pivot", "rep", F.explode(F.sequence(F.lit(0), F.col("nx") - 1)).alias("bx"), F.pmod(own, F.col("ny")).cast("int").alias("by"), F.lit(False).alias("query")))
     cells = asked.unionByName(held).join(full, F.col("rep") == F.col("class"))
     cells = cells.select("pivot", "bx", "by", "query", "rep", "n", "matches", "prefix", "shared")
-    more = cells.repartition("pivot", "bx", "by").sortWithinPartitions("pivot", "bx", "by").mapInArrow(_blocks(percent), "u binary, v binary")
+    more = cells.repartition("pivot", "bx", "by").sortWithinPartitions("pivot", "bx", "by").mapInArrow(releasing(_blocks(percent)), "u binary, v binary")
 
     links = verified.filter("linked").select(F.col("pivot").alias("u"), F.col("rep").alias("v")).unionByName(more)
     name = classes.select("cls", "rep")

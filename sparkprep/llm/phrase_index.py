@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.llm.common import ALNUM, Words, bytes_and_offsets, nested_row, sole_cache, stored, table, text_chunks
+from sparkprep.llm.common import ALNUM, Words, bytes_and_offsets, nested_row, releasing, sole_cache, stored, table, text_chunks
 
 SEGMENT_WORDS = 1 << 20
 GAP = 64  # positions between documents; more than any slop
@@ -107,7 +107,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rows = nested_row(docs)
     two = rows.select(F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).cast("string").alias("text"))
     kind = two.schema["id"].dataType.simpleString()
-    return stored(two.mapInArrow(_index, f"segment string, ids array<{kind}>, keys array<bigint>, n_words array<bigint>, "
+    return stored(two.mapInArrow(releasing(_index), f"segment string, ids array<{kind}>, keys array<bigint>, n_words array<bigint>, "
                                          "terms binary, cuts binary, positions binary"), "index")
 
 
@@ -211,7 +211,7 @@ def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col
     spark = index.sparkSession
     schema = "segment string, place int, item_id string, window long, first long, until long"
     read = index.select("segment", "n_words", "terms", "cuts", "positions")
-    found = [stored(read.mapInArrow(_search(spark.sparkContext.broadcast(block), slop), schema), "matches")
+    found = [stored(read.mapInArrow(releasing(_search(spark.sparkContext.broadcast(block), slop)), schema), "matches")
              for block in _blocks(items, id_col, text_col, n)]
     out = spark.createDataFrame([], schema)
     for one in found:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkprep.llm.common import BYTE, LOWER, mix, nested_row, powers, sole_cache, stored, table, text_chunks
+from sparkprep.llm.common import BYTE, LOWER, mix, nested_row, powers, releasing, sole_cache, stored, table, text_chunks
 
 DIM_BITS = 18
 SCALE = 10.0
@@ -162,7 +162,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
     sample = rows.join(F.broadcast(picked), "id").dropDuplicates(["id"])
     one = sample.repartition(1).sortWithinPartitions("order", "id").select("text", F.col("label").cast("int").alias("label"))
     weights = np.zeros((1 << DIM_BITS) + 1)
-    for row in one.mapInArrow(_train_task, "feature int, weight double").collect():  # one per weight that isn't 0
+    for row in one.mapInArrow(releasing(_train_task), "feature int, weight double").collect():  # one per weight that isn't 0
         weights[row["feature"]] = row["weight"]
     return weights
 
@@ -178,7 +178,7 @@ def _scored(docs: DataFrame, weights: np.ndarray, text_col: str) -> DataFrame:
 
     rows = nested_row(docs)
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
-    return rows.select("row", F.col("row").getField(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return rows.select("row", F.col("row").getField(text_col).cast("string").alias("text")).mapInArrow(releasing(run), schema)
 
 
 def score_quality(docs: DataFrame, weights: np.ndarray, text_col: str = "text", score: str = "score") -> DataFrame:

@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from sparkprep.llm import exact_dedup, jaccard_join, phrase_index, quality, sentencepiece_nbest
 from sparkprep.llm.common import stored, table
 
+# The last stage's workers share an executor with a heap that four stages have
+# filled: a quarter of a million characters and 100,000 words at a time.
+PIECE_BYTES = 1 << 18
+CACHED_WORDS = 100_000
+
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the quality classifier rejects."""
@@ -39,7 +44,7 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the best segmentation of every text, and its n best scores."""
-    out = sentencepiece_nbest.encode(docs)
+    out = sentencepiece_nbest.encode(docs, piece_bytes=PIECE_BYTES, cached_words=CACHED_WORDS)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "nbest", "decoded_equal")
 
 

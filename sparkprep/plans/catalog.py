@@ -13,6 +13,7 @@ _MODULES = [
     "sparkprep.plans.eda_queries",
     "sparkprep.plans.prep_queries",
     "sparkprep.plans.model_queries",
+    "sparkprep.plans.sparse_queries",
 ]
 for _m in _MODULES:
     importlib.import_module(_m)

@@ -16,9 +16,9 @@ from sparkprep.llm import exact_dedup, jaccard_join, phrase_index, quality, sent
 from sparkprep.llm.common import stored, table
 
 # The last stage's workers share an executor with a heap that four stages have
-# filled: a quarter of a million characters and 100,000 words at a time.
-PIECE_BYTES = 1 << 18
-CACHED_WORDS = 100_000
+# filled: 131,072 characters and 40,000 remembered words at a time.
+PIECE_BYTES = 1 << 17
+CACHED_WORDS = 40_000
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ Exact (:func:`candidates`). Training rows go to the cell of their nearest pivot,
 is sent once however many queries there are. A query first meets its own cell, which
 bounds the distance of its k-th neighbour; after that it visits only cells that can
 hold a nearer row: by the triangle inequality with the cell's least and largest
-distance to its pivot, and by its distance to the plane between the two pivots. Pivots
+distance to its pivot, and by its distance to the plane between the two pivots. Cells
+are visited in bins of neighbouring cells, so a query is sent once to a bin. Pivots
 are at most ``MAX_PIVOTS`` training rows (those with the smallest hash of their id,
 about the square root of their number), so they and the cells' radii are bounded.
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkprep.operators.knn import _SCHEMA, _topk_fn
+from sparkprep.operators.knn import _SCHEMA, _topk_fn, vector_type
 from sparkprep.session import materialize, shuffle_partitions
 
 MAX_PIVOTS = 1 << 10
@@ -38,14 +39,14 @@ SLACK = 1e-9  # relative; bounds are rounded, ties at a bound must be seen
 def _rows(df: DataFrame, id_col: str, vec: str, prefix: str, label: str | None = None) -> DataFrame:
     cols = [F.col(id_col).cast("long").alias(prefix + "id")]
     cols += [F.col(label).cast("long").alias("tlabel")] if label else []
-    return df.select(*cols, F.col(vec).cast("array<double>").alias(prefix + "vec"))
+    return df.select(*cols, F.col(vec).cast(vector_type(df, vec)).alias(prefix + "vec"))
 
 
 def _matrix(column) -> np.ndarray:
     """Rows of a list column; of one length, without nulls."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
@@ -81,8 +82,9 @@ def nearest(cands: DataFrame, k: int) -> DataFrame:
     """The k nearest of each query among candidates, by (dist, tid), each once. A query
     has k candidates for each part that it visited."""
     from pyspark.sql import Window
-    rank = F.row_number().over(Window.partitionBy("qid").orderBy("dist", "tid"))
-    return cands.dropDuplicates(["qid", "tid"]).withColumn("__r", rank).where(F.col("__r") <= k).drop("__r")
+    # A pair that comes twice has one rank, so one shuffle by query serves both steps.
+    rank = F.dense_rank().over(Window.partitionBy("qid").orderBy("dist", "tid"))
+    return cands.withColumn("__r", rank).where(F.col("__r") <= k).dropDuplicates(["qid", "tid"]).drop("__r")
 
 
 def pivots_of(train: DataFrame, n: int | None = None) -> np.ndarray:
@@ -106,11 +108,15 @@ def _assign(sent, vec: str):
     return run
 
 
-def _visits(sent, cells):
-    """(grp, qid, qvec) for each other cell that may hold a row as near as ``bound``."""
+def _visits(sent, cells, bins: np.ndarray | None = None):
+    """(grp, qid, qvec, bound), once for each bin (of ``bins``: cell -> bin; each cell
+    by itself if none) with another cell that may hold a row as near as ``bound``."""
     def run(batches):
         pivots, (low, high, full) = sent.value, cells
         between = _distances(pivots, pivots)
+        of = np.arange(len(pivots)) if bins is None else bins
+        order = np.argsort(of, kind="stable")
+        heads = np.flatnonzero(np.append(True, np.diff(of[order]) != 0))
         for batch in batches:
             x = _matrix(batch.column("qvec"))
             if not len(x):
@@ -125,13 +131,31 @@ def _visits(sent, cells):
             scale = SLACK * (1 + d + np.where(np.isfinite(high), high, 0.0))
             go = full & ((least <= bound[:, None] + scale) | np.isnan(bound)[:, None])
             go[np.arange(len(x)), own] = False
-            i, cell = np.nonzero(go)
+            i, at = np.nonzero(np.logical_or.reduceat(go[:, order], heads, axis=1))
+            grp = of[order[heads[at]]]
             for s in range(0, len(i), 1 << 14):
-                at = pa.array(i[s:s + (1 << 14)])
-                yield pa.RecordBatch.from_arrays([pa.array(cell[s:s + (1 << 14)], pa.int64()), batch.column("qid").take(at), batch.column("qvec").take(at)], ["grp", "qid", "qvec"])
+                rows = pa.array(i[s:s + (1 << 14)])
+                yield pa.RecordBatch.from_arrays([pa.array(grp[s:s + (1 << 14)], pa.int64()), *(batch.column(c).take(rows) for c in ("qid", "qvec", "bound"))],
+                                                 ["grp", "qid", "qvec", "bound"])
     return run
 
 
+def _bins(pivots: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Cell -> bin: cells that lie side by side along the pivots' widest direction,
+    ``PART_TRAIN`` rows together; a larger cell is a bin by itself. A query is sent to a
+    bin once however many of its cells it visits, so what is sent is bounded by queries x
+    bins where no cell can be ruled out."""
+    away = pivots - pivots.mean(axis=0)
+    order = np.argsort(away @ np.linalg.svd(away, full_matrices=False)[2][0], kind="stable")
+    out, bin_, held = np.zeros(len(pivots), np.int64), 0, 0
+    for cell in order.tolist():
+        if held and held + sizes[cell] > PART_TRAIN:
+            bin_, held = bin_ + 1, 0
+        out[cell] = bin_
+        held += int(sizes[cell])
+    return out
+
+
 def candidates(train: DataFrame, queries: DataFrame, k: int, vec: str = "embedding", label: str = "label",
                train_id: str = "id", query_id: str = "id", n_pivots: int | None = None) -> DataFrame:
     """(qid, tid, dist, tlabel): the k nearest training rows of each query, exactly."""
@@ -141,18 +165,22 @@ def candidates(train: DataFrame, queries: DataFrame, k: int, vec: str = "embeddi
     if not len(pivots):
         return spark.createDataFrame([], _SCHEMA)
     sent = spark.sparkContext.broadcast(pivots)  # MAX_PIVOTS rows at most
-    t = materialize(t.mapInArrow(_assign(sent, "tvec"), "tid long, tlabel long, tvec array<double>, grp long, r double"))
+    kind, asked_kind = vector_type(t, "tvec"), vector_type(q, "qvec")
+    t = materialize(t.mapInArrow(_assign(sent, "tvec"), f"tid long, tlabel long, tvec {kind}, grp long, r double"))
     low, high, full = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf), np.zeros(len(pivots), bool)
-    for row in t.groupBy("grp").agg(F.min("r").alias("low"), F.max("r").alias("high")).collect():  # one row per pivot
-        low[row["grp"]], high[row["grp"]], full[row["grp"]] = row["low"], row["high"], True
-    q = materialize(q.mapInArrow(_assign(sent, "qvec"), "qid long, qvec array<double>, grp long, r double").drop("r"))
+    sizes = np.zeros(len(pivots), np.int64)
+    for row in t.groupBy("grp").agg(F.min("r").alias("low"), F.max("r").alias("high"), F.count(F.lit(1)).alias("n")).collect():  # one row per pivot
+        low[row["grp"]], high[row["grp"]], full[row["grp"]], sizes[row["grp"]] = row["low"], row["high"], True, row["n"]
+    q = materialize(q.mapInArrow(_assign(sent, "qvec"), f"qid long, qvec {asked_kind}, grp long, r double").drop("r"))
     cells = t.select("grp", "tid", "tlabel", "tvec")
     first = materialize(nearest(grouped_topk(cells, q, k), k))
     # dist is squared; a query with fewer than k rows in its cell has no bound yet.
     bound = first.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, F.sqrt(F.max("dist"))).alias("bound")).withColumnRenamed("qid", "b")
     asked = q.join(bound, F.col("qid") == F.col("b"), "left").select("qid", "qvec", F.col("grp").alias("own"), "bound")
-    others = materialize(asked.mapInArrow(_visits(sent, (low, high, full)), "grp long, qid long, qvec array<double>"))
-    return nearest(first.unionByName(grouped_topk(cells, others, k)), k)
+    bins = _bins(pivots, sizes)
+    others = materialize(asked.mapInArrow(_visits(sent, (low, high, full), bins), f"grp long, qid long, qvec {asked_kind}, bound double"))
+    of = F.element_at(F.array(*[F.lit(int(b)).cast("long") for b in bins]), (F.col("grp") + 1).cast("int"))
+    return nearest(first.unionByName(grouped_topk(cells.withColumn("grp", of), others, k)), k)
 
 
 def lsh_candidates(train: DataFrame, queries: DataFrame, k: int, vec: str = "embedding", label: str = "label",
@@ -179,8 +207,8 @@ def lsh_candidates(train: DataFrame, queries: DataFrame, k: int, vec: str = "emb
                 at = pa.array(np.repeat(np.arange(len(x)), tables))
                 yield pa.RecordBatch.from_arrays([pa.array(code.ravel(), pa.int64()), *(c.take(at) for c in batch.columns)], ["grp", *batch.schema.names])
         return run
-    t = t.mapInArrow(buckets("tvec"), "grp long, tid long, tlabel long, tvec array<double>")
-    q = q.mapInArrow(buckets("qvec"), "grp long, qid long, qvec array<double>")
+    t = t.mapInArrow(buckets("tvec"), f"grp long, tid long, tlabel long, tvec {vector_type(t, 'tvec')}")
+    q = q.mapInArrow(buckets("qvec"), f"grp long, qid long, qvec {vector_type(q, 'qvec')}")
     return nearest(grouped_topk(t, q, k), k)
 
 

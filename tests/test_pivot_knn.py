@@ -81,3 +81,41 @@ def test_hashed_recall(spark):
     exact = pivot_knn.candidates(f, f, 10, vec="v")
     r = pivot_knn.recall(pivot_knn.lsh_candidates(f, f, 10, vec="v"), exact).agg({"n_exact": "sum", "n_found": "sum"}).first()
     assert r["sum(n_exact)"] == 6000 and r["sum(n_found)"] >= 0.9 * 6000
+
+
+def test_a_query_is_sent_once_to_a_bin_of_cells(spark):
+    """Where no cell can be ruled out, what is sent grows with bins, not with cells."""
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    pivots = rng.normal(size=(50, 8))
+
+    class Sent:
+        value = pivots
+    bins = pivot_knn._bins(pivots, np.full(50, pivot_knn.PART_TRAIN // 10))
+    assert len(set(bins.tolist())) == 5
+    q = pivots[:20]
+    batch = pa.RecordBatch.from_pydict({"qid": pa.array(range(20), pa.int64()), "qvec": pa.array(q.tolist()), "own": pa.array(range(20), pa.int64()), "bound": pa.array([None] * 20, pa.float64())})
+    sent = [r for b in pivot_knn._visits(Sent, (np.zeros(50), np.full(50, 9.0), np.ones(50, bool)), bins)(iter([batch])) for r in zip(*(b.column(c).to_pylist() for c in ("qid", "grp")))]
+    assert len(sent) == len(set(sent)) == 20 * 5
+
+
+def test_near_pairs_get_exact_distances(monkeypatch):
+    """Preselection by rounded products changes neither ties nor order."""
+    monkeypatch.setattr(knn, "_Q_STEP", 16)
+    monkeypatch.setattr(knn, "_T_STEP", 64)
+    compared = []
+    squares = knn._squares
+    monkeypatch.setattr(knn, "_squares", lambda x, y, i, j: (compared.append(len(i)), squares(x, y, i, j))[1])
+    rng = np.random.default_rng(4)
+    for scale, offset in [(1.0, 0.0), (1e-5, 1000.0), (1e200, 0.0)]:
+        t = rng.normal(size=(300, 6)) * scale + offset
+        t[:90] = t[0]
+        q, ids = np.vstack([t[::20], t[:1] + scale]), rng.permutation(300).astype(np.int64)
+        with np.errstate(over="ignore"):
+            i, j, d = knn._nearest(q, t, ids, 7)
+            diff = q[:, None] - t[None]
+            dist = np.einsum("qtd,qtd->qt", diff, diff)
+        want = np.lexsort((np.broadcast_to(ids, dist.shape), dist), axis=1)[:, :7]
+        assert (j.reshape(-1, 7) == want).all() and (d.reshape(-1, 7) == np.take_along_axis(dist, want, 1)).all()
+        if scale == 1.0:  # few of all pairs are compared exactly
+            assert sum(compared) < len(q) * len(t) / 2

@@ -30,7 +30,7 @@ def hash_text(seed, key: str, salt: Column | None = None) -> Column:
 BUCKETS = 4096
 
 
-def _limits(df: DataFrame, frac, seed, key: str, by: list[str], salt, n_buckets: int) -> DataFrame:
+def _limits(df: DataFrame, frac, seed, key: str, by: list[str], salt, n_buckets: int, few: bool = False) -> DataFrame:
     """Per group the ``(hash, key)`` of the last row that is taken, from scans
     of the key and group columns alone.
 
@@ -54,14 +54,14 @@ def _limits(df: DataFrame, frac, seed, key: str, by: list[str], salt, n_buckets:
     cond = same[0]
     for c in same[1:]:
         cond = cond & c
-    near = pairs.join(F.broadcast(edge) if not g else edge, cond)
+    near = pairs.join(F.broadcast(edge) if few or not g else edge, cond)
     rank = F.row_number().over(Window.partitionBy(*g, "__b").orderBy("__h", "__key"))
     return (near.withColumn("__r", rank).filter(F.col("__r") == F.col("__need"))
             .select(*g, F.struct(F.col("__h"), F.col("__key")).alias("__limit")))
 
 
 def hash_select(df: DataFrame, frac, seed, key: str, flag: str, by=(), salt=None,
-                n_buckets: int = BUCKETS) -> DataFrame:
+                n_buckets: int = BUCKETS, few: bool = False) -> DataFrame:
     """``flag`` = row is among the ``floor(frac * n)`` lowest ``(hash, key)``
     of its ``by`` group (``frac`` a number or a column). A null group is a
     group like any other.
@@ -69,10 +69,11 @@ def hash_select(df: DataFrame, frac, seed, key: str, flag: str, by=(), salt=None
     The k-th lowest pair is found first (:func:`_limits`, which reads only key
     and group columns); then each row is compared with it. Without groups the
     limit is a scalar, so the table itself is scanned once and never joined or
-    shuffled."""
+    shuffled. ``few`` says that the caller names the groups: their limits are then
+    broadcast and no row is shuffled."""
     by = [by] if isinstance(by, str) else list(by)
     fr = frac if isinstance(frac, Column) else F.lit(float(frac))
-    limits = _limits(df, fr, seed, key, by, salt, n_buckets)
+    limits = _limits(df, fr, seed, key, by, salt, n_buckets, few)
     pair = F.struct(hash_text(seed, key, salt).alias("__h"), F.col(f"`{key}`").alias("__key"))
     if not by:
         return df.withColumn(flag, F.coalesce(pair <= limits.select("__limit").scalar(), F.lit(False)))
@@ -81,7 +82,7 @@ def hash_select(df: DataFrame, frac, seed, key: str, flag: str, by=(), salt=None
         one = F.col(f"`{c}`").eqNullSafe(F.col(f"__g{i}"))
         cond = one if cond is None else cond & one
     # One row per group; what Spark broadcasts or shuffles follows from its size.
-    out = df.join(limits, cond, "left").withColumn(flag, F.coalesce(pair <= F.col("__limit"), F.lit(False)))
+    out = df.join(F.broadcast(limits) if few else limits, cond, "left").withColumn(flag, F.coalesce(pair <= F.col("__limit"), F.lit(False)))
     return out.drop("__limit", *[f"__g{i}" for i in range(len(by))])
 
 
@@ -111,7 +112,7 @@ def fractions(df: DataFrame, fracs: Sequence[float], seed, key: str,
     rows; all subsets are produced by one job (rows tagged with f)."""
     arr = F.array(*[F.lit(float(f)) for f in fracs])
     tagged = df.withColumn(name, F.explode(arr))
-    sel = hash_select(tagged, F.col(name), seed, key, "__sel", by=[name], salt=F.col(name))
+    sel = hash_select(tagged, F.col(name), seed, key, "__sel", by=[name], salt=F.col(name), few=True)
     return sel.where("__sel").drop("__sel")
 
 

@@ -66,3 +66,14 @@ def test_confusion_cells_sum_to_n(spark, pairs):
     r = evaluate.confusion(df, "pred", "actual").first()
     assert r["tp"] + r["fp"] + r["tn"] + r["fn"] == len(pairs)
     assert r["tp"] == sum(1 for p, a in pairs if p == a == "YES")
+
+
+def test_fractions_shuffle_counts_not_rows(spark):
+    """No table row goes through a join's shuffle: the fractions' limits are broadcast."""
+    from sparkprep.operators import split
+    df = spark.range(500).withColumnRenamed("id", "k")
+    out = split.fractions(df, [0.1, 0.5, 1.0], 123, "k")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    got = {r.fraction: r.n for r in out.groupBy("fraction").agg({"k": "count"}).withColumnRenamed("count(k)", "n").collect()}
+    assert got == {0.1: 50, 0.5: 250, 1.0: 500}

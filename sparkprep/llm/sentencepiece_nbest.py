@@ -51,6 +51,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 from pyspark.sql import DataFrame
@@ -96,6 +97,8 @@ class Pieces:
         # What ids decode to by themselves: all but parts of longer characters.
         plain = {i: chr(b) for i, b in self.byte.items() if b < 128} | self.text
         self.by_id = [plain.get(i) for i in range(top + 1)]
+        # The bytes that each id stands for.
+        self.raw = pa.array([bytes([self.byte[i]]) if i in self.byte else self.text.get(i, "⁇").encode("utf-8", "surrogatepass") for i in range(top + 1)], pa.binary())
         self._units = self._unit_pattern(pieces)
         self._cache: dict[str, Best] = {}  # units met since the last turn,
         self._older: dict[str, Best] = {}  # and in the turn before
@@ -403,6 +406,11 @@ class Pieces:
             out.append(((best - lost) / ONE, np.concatenate([*changed, ids[at:]])))
         return out
 
+    def decoded(self, ids: pa.ListArray) -> pa.Array:
+        """The bytes that each list of ids decodes to."""
+        spelled = pa.ListArray.from_arrays(ids.offsets, self.raw.take(ids.values))
+        return pc.binary_join(spelled, b"")
+
     def decode(self, ids) -> str:
         """The text of ids: pieces, with runs of byte pieces as UTF-8."""
         try:
@@ -462,7 +470,7 @@ def model(path: str, scores: str, cached_words: int = CACHED_WORDS) -> Model:
 ADDED = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
     T.StructField("nbest", T.ArrayType(T.StructType([T.StructField("score", T.DoubleType()), T.StructField("n_pieces", T.IntegerType()),
-                                                      T.StructField("ids_key", T.LongType())]))),
+                                                      T.StructField("ids_key", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False))]))),
     T.StructField("decoded_equal", T.BooleanType())])
 
 
@@ -471,6 +479,14 @@ def _key(ids) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+def _cuts(lists) -> pa.Array:
+    return pa.array(np.cumsum([0, *map(len, lists)]).astype(np.int32))
+
+
+def _lists(ids) -> pa.ListArray:
+    return pa.ListArray.from_arrays(_cuts(ids), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+
+
 def _encode(path: str, scores: str, n: int, piece_bytes: int = PIECE_BYTES, cached_words: int = CACHED_WORDS):
     def run(batches):
         m = model(path, scores, cached_words)
@@ -484,16 +500,18 @@ def _encode(path: str, scores: str, n: int, piece_bytes: int = PIECE_BYTES, cach
                 while high < len(texts) and (high == low or size + len(texts[high]) <= piece_bytes):
                     size += len(texts[high])
                     high += 1
-                ids, nbest, equal = [], [], []
                 plain = m.normalise(texts[low:high])
-                for text, found in zip(plain, m.pieces.nbest([m.pieces.units(t) for t in plain], n)):
-                    ids.append(found[0][1])
-                    nbest.append([(s, len(i), _key(i)) for s, i in found])
-                    equal.append(m.pieces.decode(found[0][1].tolist()) == text)
-                flat = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))
-                cuts = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
-                kind = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int32()), ("ids_key", pa.int64())]))
-                yield pa.RecordBatch.from_arrays([kept.slice(low, high - low), pa.ListArray.from_arrays(cuts, flat), pa.array(nbest, kind), pa.array(equal)],
+                found = m.pieces.nbest([m.pieces.units(t) for t in plain], n)
+                want, equal = pa.array([t.encode("utf-8", "surrogatepass") for t in plain], pa.binary()), np.ones(len(plain), bool)
+                for k in range(n):  # every segmentation is decoded, not the best alone
+                    has = [i for i, ways in enumerate(found) if len(ways) > k]
+                    if has:
+                        equal[has] &= pc.equal(m.pieces.decoded(_lists([found[i][k][1] for i in has])), want.take(pa.array(has))).to_numpy(zero_copy_only=False)
+                ways = list(chain.from_iterable(found))
+                parts = [pa.array([s for s, _ in ways], pa.float64()), pa.array([len(i) for _, i in ways], pa.int32()),
+                         pa.array([_key(i) for _, i in ways], pa.int64()), _lists([i for _, i in ways])]
+                nbest = pa.ListArray.from_arrays(_cuts(found), pa.StructArray.from_arrays(parts, ["score", "n_pieces", "ids_key", "ids"]))
+                yield pa.RecordBatch.from_arrays([kept.slice(low, high - low), _lists([f[0][1] for f in found]), nbest, pa.array(equal)],
                                                  ["row", "ids", "nbest", "decoded_equal"])
                 low = high
     return run
@@ -502,8 +520,9 @@ def _encode(path: str, scores: str, n: int, piece_bytes: int = PIECE_BYTES, cach
 def encode(docs: DataFrame, text_col: str = "text", path: str = MODEL, scores: str = "rank", n: int = N_BEST,
            piece_bytes: int = PIECE_BYTES, cached_words: int = CACHED_WORDS) -> DataFrame:
     """All columns, and ids (the best segmentation), nbest (score, number of
-    pieces and a 64-bit key of the ids of the n best), decoded_equal (whether
-    decoding gives the normalised text). Columns of these names are replaced.
+    pieces, a 64-bit key of the ids and the ids of the n best), decoded_equal (whether
+    decoding gives the normalised text for each of the n best). Columns of these names
+    are replaced.
 
     ``piece_bytes`` characters are encoded at a time and a worker remembers
     ``cached_words`` segmentations: less of both takes less memory and more time and

@@ -2,6 +2,7 @@ import random
 import re
 import tracemalloc
 
+import pyarrow as pa
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as proto
 
@@ -183,3 +184,24 @@ def test_stages_keep_columns_and_take_empty(spark):
         assert out.collect() == []
         if name != "token_ids":
             assert out.columns == docs.columns
+
+
+def test_every_segmentation_is_returned_and_decoded(spark, monkeypatch):
+    """The ids of all n best come out, and each of them gives the text back."""
+    from sparkprep.llm import sentencepiece_nbest as sp
+    texts = ["the theory of relativity", "naïve Ünïcode 🙂 text\x00", "", None, "a a a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in sp.encode(df).collect():
+        assert [len(w.ids) for w in r.nbest] == [w.n_pieces for w in r.nbest] and list(r.nbest[0].ids) == list(r.ids)
+        assert len({tuple(w.ids) for w in r.nbest}) == len(r.nbest) and r.decoded_equal
+        m = sp.model(sp.MODEL, "rank")
+        assert {m.decode(w.ids) for w in r.nbest} == {m.decode(r.ids)}
+    batch = pa.RecordBatch.from_pydict({"row": pa.array([1]), "text": pa.array(["the theory"])})
+    m = sp.model(sp.MODEL, "rank")
+    real = m.pieces.nbest
+
+    def wrong(units, n):
+        return [[*ways[:-1], (ways[-1][0], ways[-1][1][:-1])] for ways in real(units, n)]
+    monkeypatch.setattr(m.pieces, "nbest", wrong)  # a fault in the last segmentation alone shows
+    (out,) = sp._encode(sp.MODEL, "rank", 4)(iter([batch]))
+    assert out.column("decoded_equal").to_pylist() == [False]

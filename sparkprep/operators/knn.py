@@ -97,7 +97,18 @@ def _nearest(q: np.ndarray, t: np.ndarray, t_ids: np.ndarray, k: int, limit: np.
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _topk_fn(k: int):
+def _distinct(ids: np.ndarray, mat: np.ndarray) -> np.ndarray:
+    """Numbers of the rows without those that repeat an id and its vector."""
+    if len(np.unique(ids)) == len(ids):
+        return np.arange(len(ids))
+    first: dict[tuple, int] = {}
+    for n, key in enumerate(zip(ids.tolist(), map(bytes, mat))):
+        first.setdefault(key, n)
+    return np.array(list(first.values()))
+
+
+def _topk_fn(k: int, distinct: bool = False):
+    """The kernel of a co-group; ``distinct`` counts a training row that comes twice once."""
     def run(q_pdf: pd.DataFrame, t_pdf: pd.DataFrame) -> pd.DataFrame:
         if q_pdf.empty or t_pdf.empty:
             return pd.DataFrame({"qid": [], "tid": [], "dist": [], "tlabel": []})
@@ -106,6 +117,9 @@ def _topk_fn(k: int):
         t_ids = t_pdf["tid"].to_numpy(dtype=np.int64)
         t_lab = t_pdf["tlabel"].to_numpy(dtype=np.int64)
         t_mat = np.vstack(t_pdf["tvec"].to_numpy()).astype(np.float64)
+        if distinct:
+            kept = _distinct(t_ids, t_mat)
+            t_ids, t_lab, t_mat = t_ids[kept], t_lab[kept], t_mat[kept]
         limit = q_pdf["bound"].to_numpy(dtype=np.float64) ** 2 if "bound" in q_pdf else None
         i, j, dist = _nearest(q_mat, t_mat, t_ids, k, limit)
         return pd.DataFrame({"qid": q_ids[i], "tid": t_ids[j], "dist": dist, "tlabel": t_lab[j]})

@@ -75,7 +75,7 @@ def grouped_topk(train: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     t, q = dealt(train, "i", "pt", "pq", "tid"), dealt(queries, "j", "pq", "pt", "qid")
     parts = max(shuffle_partitions(train.sparkSession), train.sparkSession.sparkContext.defaultParallelism)
     t, q = (df.repartition(parts, "gid") for df in (t, q))
-    return q.groupBy("gid").cogroup(t.groupBy("gid")).applyInPandas(_topk_fn(k), _SCHEMA)
+    return q.groupBy("gid").cogroup(t.groupBy("gid")).applyInPandas(_topk_fn(k, distinct=True), _SCHEMA)
 
 
 def nearest(cands: DataFrame, k: int) -> DataFrame:

@@ -119,3 +119,12 @@ def test_near_pairs_get_exact_distances(monkeypatch):
         assert (j.reshape(-1, 7) == want).all() and (d.reshape(-1, 7) == np.take_along_axis(dist, want, 1)).all()
         if scale == 1.0:  # few of all pairs are compared exactly
             assert sum(compared) < len(q) * len(t) / 2
+
+
+def test_rows_that_come_twice_are_one_neighbour(spark):
+    """A bin's repeated training rows take no place among the k nearest."""
+    rng = np.random.default_rng(8)
+    t = rng.normal(size=(60, 3)).round(3)
+    f = frame(spark, t, [0] * 60)
+    twice = f.unionByName(f.where("id % 2 = 0"))
+    assert rows(pivot_knn.candidates(twice, f, 9, vec="v")) == brute(t, t, 9)

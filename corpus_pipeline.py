@@ -44,7 +44,7 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of the best segmentation of every text, and its n best scores."""
-    out = sentencepiece_nbest.encode(docs, piece_bytes=PIECE_BYTES, cached_words=CACHED_WORDS)
+    out = sentencepiece_nbest.encode(docs, piece_bytes=PIECE_BYTES, cached_words=CACHED_WORDS, kept=["doc_id"])
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "nbest", "decoded_equal")
 
 

@@ -16,8 +16,10 @@ White space is escaped as ``\u2581``. Where no piece crosses from another
 character into ``\u2581`` (checked when the model is read), the lattice of a text
 falls apart into units, the words: its N best are the N cheapest choices among
 the N best of its words, exactly. The forward pass runs over all new words of a
-piece of a batch at once, one array step per position; with the same pass from
-the end it gives every word's best segmentation and what its second best loses.
+piece of a batch at once, one array step per position and length of a piece; with
+the same pass from the end it gives every word's best segmentation and what its
+second best loses. Words are told apart by their bytes and numbered, and all that
+is known of them stands in flat arrays under these numbers.
 Only the N - 1 words of a text that lose least can differ in its N best, and
 only these are searched by A*. Other vocabularies are searched a text at a time.
 Scores are fixed-point numbers of ``2**-20``, so sums are exact in any order.
@@ -40,12 +42,11 @@ names it adds, which are replaced.
 
 from __future__ import annotations
 
-import heapq
 import math
 import os
 import re
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 from operator import itemgetter
 from typing import NamedTuple
 
@@ -58,12 +59,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkprep.llm.common import nested_row, releasing, sole_cache, table
+from sparkprep.llm.common import field, nested_row, releasing, sole_cache, table
 
 MODEL = os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 N_BEST = 4
 CACHED_WORDS = 300_000  # segmentations a worker keeps
-ARRAY_LENGTH = 40  # longer units are segmented one at a time
+ARRAY_LENGTH = 40  # longer units are segmented one at a time; below 64
+ARRAY_CHARS = 1 << 16  # of units segmented at once
+ARRAY_SCORE = 1 << 40  # vocabularies with larger scores are searched a unit at a time
 HUGE = 1 << 8  # longer units are not cached
 PIECE_BYTES = 1 << 21  # characters encoded at a time
 ONE = 1 << 20  # of a score
@@ -77,6 +80,57 @@ class Best(NamedTuple):
     loss: int  # of the second best; NONE if there is no other
 
 
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of every run, one run after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(first - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+class Found(NamedTuple):
+    """Best segmentations of units: scores, losses as in Best, numbers of ids, and
+    the ids, one unit's after the other's."""
+    score: np.ndarray
+    loss: np.ndarray
+    size: np.ndarray
+    ids: np.ndarray
+
+    def take(self, at: np.ndarray) -> Found:
+        size = self.size[at]
+        return Found(self.score[at], self.loss[at], size, self.ids[_runs((np.cumsum(self.size) - self.size)[at], size)])
+
+    @classmethod
+    def of(cls, found: list[Best]) -> Found:
+        ids = np.fromiter(chain.from_iterable(f.ids for f in found), np.int32)
+        return cls(*(np.array([f[k] for f in found], np.int64) for k in (0, 2)), np.array([len(f.ids) for f in found], np.int64), ids)
+
+    def plus(self, *others: Found) -> Found:
+        return Found(*map(np.concatenate, zip(self, *others)))
+
+
+class Known:
+    """Remembered segmentations: number of each unit, and what was found."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.found = Found.of([])
+
+    def numbers(self, units) -> np.ndarray:
+        """The units' numbers, -1 for unknown ones."""
+        return np.fromiter(map(self.number.get, units, repeat(-1)), np.int64, len(units))
+
+    def add(self, units, found: Found) -> None:
+        self.number.update(zip(units, range(len(self.number), len(self.number) + len(units))))
+        self.found = self.found.plus(found)
+
+
+class Units(NamedTuple):
+    """Units of texts: the distinct ones, the number of every unit's name, and the
+    index of each text's first unit, with one more at the end."""
+    names: list[str]
+    code: np.ndarray
+    cuts: np.ndarray
+
+
 NONE = 1 << 60
 _value = itemgetter(0, 1)
 
@@ -91,6 +145,7 @@ class Pieces:
         self.byte_ids, self.unknown_id = byte_ids, unknown_id
         self.longest = max(map(len, pieces), default=1)
         self.unknown = min((s for _, s in self.pieces.values()), default=0) - UNKNOWN_PENALTY
+        self._exact = max([-self.unknown, *(abs(s) for _, s in self.pieces.values())]) < ARRAY_SCORE
         self.text = {i: p for p, (i, _) in pieces.items()}
         self.byte = {i: b for b, i in enumerate(byte_ids or ())}
         top = max([unknown_id, *self.text, *self.byte], default=0)
@@ -99,27 +154,31 @@ class Pieces:
         self.by_id = [plain.get(i) for i in range(top + 1)]
         # The bytes that each id stands for.
         self.raw = pa.array([bytes([self.byte[i]]) if i in self.byte else self.text.get(i, "⁇").encode("utf-8", "surrogatepass") for i in range(top + 1)], pa.binary())
-        self._units = self._unit_pattern(pieces)
-        self._cache: dict[str, Best] = {}  # units met since the last turn,
-        self._older: dict[str, Best] = {}  # and in the turn before
-        self._huge: list[str] = []  # too long to be held for later texts
+        self._units, self._class = self._unit_pattern(pieces)
+        self._known = Known()  # units met since the last turn,
+        self._older = Known()  # and in the turn before
         self.words = lru_cache(cached_words // 4)(self._segment)
         self._build_trie()
 
     @staticmethod
-    def _unit_pattern(pieces) -> re.Pattern | None:
+    def _unit_pattern(pieces) -> tuple[re.Pattern | None, np.ndarray | None]:
         """Units: marks, then punctuation, then letters. No piece joins a
         letter with punctuation or a mark after it, nor the characters left
-        over with anything; None if a piece joins a mark with what precedes."""
+        over with anything; None if a piece joins a mark with what precedes.
+        And the class of every character: 0 to 2 in this order, or 3."""
         if any(MARK in p.lstrip(MARK) for p in pieces):
-            return None
+            return None, None
         pairs = {(a, b) for p in pieces for a, b in zip(p, p[1:])}
         joined = {c for pair in pairs for c in pair} - {MARK}
         marks = {c for c in joined if c.isascii() and not c.isalnum()}
         while more := {a for a, b in pairs if b in marks and a not in marks and a != MARK}:
             marks |= more  # what stands before punctuation in a piece goes with it
-        q, w = ("".join(re.escape(c) for c in sorted(s)) or "\\0" for s in (marks, joined - marks))
-        return re.compile(f"{MARK}+[{q}]*[{w}]*|[{q}]+[{w}]*|[{w}]+|.", re.S)
+        sets = [s or {"\0"} for s in (marks, joined - marks)]
+        q, w = ("".join(re.escape(c) for c in sorted(s)) for s in sets)
+        kinds = np.full(0x110000, 3, np.uint8)
+        for kind, chars in ((2, sets[1]), (1, sets[0]), (0, {MARK})):
+            kinds[[ord(c) for c in chars]] = kind
+        return re.compile(f"{MARK}+[{q}]*[{w}]*|[{q}]+[{w}]*|[{w}]+|.", re.S), kinds
 
     # -- Lattices of many units at once
 
@@ -147,6 +206,8 @@ class Pieces:
             left = np.delete(left, put, axis=0)
             self._probes += 1
         self._ends = np.array(ends, np.int64).reshape(-1, 2)
+        # Pieces and their beginnings: (score, ids), or None where no piece ends.
+        self._begun = {p: (self.pieces[p][1], self._alone[self.pieces[p][0]]) if p in self.pieces else None for p in nodes if p}
 
     def _slot(self, key: np.ndarray, probe: int) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -168,89 +229,116 @@ class Pieces:
 
     def best_of(self, units: list[str]) -> list[Best]:
         """The best segmentation of each unit (none empty), by array steps."""
+        found = self._best_of(units)
+        ends = np.cumsum(found.size)
+        return [Best(s, tuple(found.ids[b - k:b].tolist()), lost) for s, lost, k, b in zip(found.score.tolist(), found.loss.tolist(), found.size, ends)]
+
+    def _best_of(self, units: list[str]) -> Found:
         length = np.array([len(u) for u in units], np.int64)
-        chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        first = np.cumsum(length) - length
-        unit = np.repeat(np.arange(len(units)), length)
-        rest = np.repeat(first + length, length) - np.arange(len(chars))
-        base = np.arange(len(chars)) + unit  # nodes: length + 1 a unit
-        start, node, k = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0
-        single = np.zeros(len(chars), bool)
-        found: list[tuple] = []
+        order = np.argsort(-length, kind="stable")
+        ends, low, blocks = np.cumsum(length[order]), 0, [Found.of([])]
+        while low < len(units):
+            most = ARRAY_CHARS + (int(ends[low - 1]) if low else 0)
+            high = max(low + 1, int(np.searchsorted(ends, most, side="right")))
+            blocks.append(self._block([units[i] for i in order[low:high].tolist()], length[order[low:high]]))
+            low = high
+        back = np.empty(len(units), np.int64)
+        back[order] = np.arange(len(units))
+        return Found.plus(*blocks).take(back)
+
+    def _block(self, units: list[str], length: np.ndarray) -> Found:
+        """Units from the longest on. Row p of an array has the p-th character of
+        all units that have one, rows one after the other from ``row[p]`` on; node
+        q of a unit is the place after its character q - 1.
+
+        An edge is valued at (64 * score - 1) * 64 + size, so the largest sum has
+        the best score, of equal ones the fewest pieces and then the longer last
+        piece; sizes are taken off again at every node."""
+        text = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        most, first = int(length[0]), np.cumsum(length) - length
+        wide = np.searchsorted(-length, -np.arange(1, most + 1), side="right")  # units in a row
+        n = wide.tolist()
+        row = np.append(0, np.cumsum(wide))
+        r = row.tolist()
+        chars = np.concatenate([text[first[:w] + p] for p, w in enumerate(n)])
+        start = np.arange(len(chars))
+        place = np.repeat(np.arange(most), wide)
+        rest = length[start - row[place]] - place
+        at, node, single = start, np.zeros(len(chars), np.int64), np.zeros(len(chars), bool)
+        values, pieces = [], []
         while len(start):
-            node = self._step(node, chars[start + k])
-            keep = node >= 0
-            start, node = start[keep], node[keep]
-            k += 1
+            node = self._step(node, chars[at])
+            keep = np.flatnonzero(node >= 0)
+            start, at, node, place = start[keep], at[keep], node[keep], place[keep]
+            k = len(values) + 1
             piece = self._ends[node]
-            hit = piece[:, 0] >= 0
-            found.append((start[hit], np.full(int(hit.sum()), k), piece[hit, 0], piece[hit, 1]))
+            hit = np.flatnonzero(piece[:, 0] >= 0)
+            value, of = np.full(len(chars), -NONE), np.empty(len(chars), np.int32)
+            value[start[hit]], of[start[hit]] = (piece[hit, 1] * 64 - 1) * 64 + k, piece[hit, 0]
             if k == 1:
                 single[start[hit]] = True
-            more = rest[start] > k
+                value[~single], of[~single] = (self.unknown * 64 - 1) * 64 + 1, -1
+            values.append(value)
+            pieces.append(of)
+            more = np.flatnonzero(rest[start] > k)
             start, node = start[more], node[more]
-        alone = np.flatnonzero(~single)
-        found.append((alone, np.ones(len(alone), np.int64), np.full(len(alone), -1), np.full(len(alone), self.unknown)))
-        start, size, piece, score = (np.concatenate(x) for x in zip(*found))
-        i, j, place = base[start], base[start] + size, start - first[unit[start]]
-        nodes = len(chars) + len(units)
-        ahead, back = self._sweep(i, j, place + size, score, size, nodes)
-        behind = self._sweep(j, i, length[unit[start]] - place, score, None, nodes)[0]
-        heads, tails = first + np.arange(len(units)), first + np.arange(len(units)) + length
-        # Pieces of the best path, from the end.
-        at, alive, on_path = tails.copy(), np.arange(len(units)), np.zeros(len(start), bool)
-        steps = []
-        while len(alive):
-            edge = back[at[alive]]
-            on_path[edge] = True
-            steps.append((alive, edge))
-            at[alive] = i[edge]
-            alive = alive[at[alive] > heads[alive]]
-        through = np.where(on_path, -NONE, ahead[i] + score + behind[j])
+            at, place = at[more] + wide[place[more]], place[more] + 1
+        value, of, sizes = np.array(values), np.array(pieces), len(values)
+        # Best value of every node and the size of the piece it is reached by.
+        ahead, back = [np.zeros(len(units), np.int64)], np.empty(len(chars), np.uint8)
+        for q in range(1, most + 1):
+            w = n[q - 1]
+            top = ahead[q - 1][:w] + value[0, r[q - 1]:r[q - 1] + w]
+            for k in range(2, min(q, sizes) + 1):
+                np.maximum(top, ahead[q - k][:w] + value[k - 1, r[q - k]:r[q - k] + w], out=top)
+            size = top & 63
+            back[r[q - 1]:r[q]] = size
+            ahead.append(top - size)
+        # And from every node to the end.
+        behind = [np.zeros(n[q - 1], np.int64) for q in range(most + 1)]
+        for q in range(most - 1, -1, -1):
+            top = behind[q][:n[q]] if q else np.zeros(len(units), np.int64)
+            top[:] = -NONE
+            for k in range(1, min(most - q, sizes) + 1):
+                w = n[q + k - 1]
+                np.maximum(top[:w], value[k - 1, r[q]:r[q] + w] + behind[q + k], out=top[:w])
+        # Pieces of the best path, from the end; they are not in a second best.
+        unit, q, taken = np.arange(len(units)), length, []
+        total = np.empty(len(units), np.int64)
+        for k in range(1, most + 1):
+            ending = slice(n[k] if k < most else 0, n[k - 1])
+            total[ending] = ahead[k][ending]
+        while len(unit):
+            size = back[row[q - 1] + unit].astype(np.int64)
+            q = q - size
+            taken.append((unit, (size - 1) * len(chars) + row[q] + unit))
+            keep = np.flatnonzero(q > 0)
+            unit, q = unit[keep], q[keep]
+        edge = np.concatenate([e for _, e in taken])
+        value.reshape(-1)[edge] = -NONE
         second = np.full(len(units), -NONE)
-        np.maximum.at(second, unit[start], through)
-        of, edge = (np.concatenate(x) for x in zip(*steps))
-        turn = np.repeat(np.arange(len(steps)), [len(x[0]) for x in steps])
-        order = np.lexsort((-turn, of))
-        cuts = np.cumsum(np.append(0, np.bincount(of, minlength=len(units)))).tolist()
-        flat, spelled = piece[edge[order]].tolist(), set(of[piece[edge] < 0].tolist())
-        where = start[edge[order]]
-        ids = []
-        for u, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
-            if u in spelled:
-                parts = [(p,) if p >= 0 else self._spelled(chr(c)) for p, c in zip(flat[a:b], chars[where[a:b]].tolist())]
-                ids.append(tuple(chain.from_iterable(parts)))
-            else:
-                ids.append(tuple(flat[a:b]))
-        total = ahead[tails]
-        lost = np.where(second > -NONE // 2, total - second, NONE)
-        return list(map(Best, total.tolist(), ids, lost.tolist()))
-
-    @staticmethod
-    def _sweep(source, target, step, score, size, nodes):
-        """Best score to every node and, given the edges' sizes, the edge it is
-        reached by; edges are taken in the order of their steps."""
-        order = np.argsort(step << 40 | target, kind="stable")
-        source, target, score = source[order], target[order], score[order]
-        size = None if size is None else size[order]
-        cuts = np.searchsorted(step[order], np.arange(1, (int(step.max()) if len(step) else 0) + 2))
-        best, fewest, back = (np.zeros(nodes, np.int64) for _ in range(3))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            if a == b:
-                continue
-            t, s = target[a:b], source[a:b]
-            value = best[s] + score[a:b]
-            heads = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
-            top = np.maximum.reduceat(value, heads)
-            best[t[heads]] = top
-            if size is not None:
-                # Of equal scores fewer pieces, then the longer piece.
-                group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(t))))
-                pieces = fewest[s] + 1
-                rank = np.where(value == top[group], pieces * 64 - size[a:b], NONE)
-                pick = np.flatnonzero(rank == np.minimum.reduceat(rank, heads)[group])
-                fewest[t[pick]], back[t[pick]] = pieces[pick], order[a:b][pick]
-        return best, back
+        for q in range(most):
+            for k in range(1, min(most - q, sizes) + 1):
+                w = n[q + k - 1]
+                np.maximum(second[:w], ahead[q][:w] + value[k - 1, r[q]:r[q] + w] + behind[q + k], out=second[:w])
+        score, other = ((x >> 6) + 63 >> 6 for x in (total, second))
+        loss = np.where(second > -NONE // 2, score - other, NONE)
+        # The pieces in the order of the text.
+        count = np.bincount(np.concatenate([u for u, _ in taken]), minlength=len(units))
+        last, path = np.cumsum(count) - 1, np.empty(len(edge), np.int64)
+        for turn, (u, e) in enumerate(taken):
+            path[last[u] - turn] = e
+        ids = of.reshape(-1)[path]
+        unknown = np.flatnonzero(ids < 0)
+        if len(unknown):
+            parts = [self._spelled(chr(c)) for c in chars[path[unknown]].tolist()]
+            long = np.ones(len(ids), np.int64)
+            long[unknown] = [len(x) for x in parts]
+            count = np.add.reduceat(long, last - count + 1)
+            spelled = np.repeat(ids < 0, long)
+            ids = np.repeat(ids, long)
+            ids[spelled] = list(chain.from_iterable(parts))
+        return Found(score, loss, count, ids)
 
     # -- One lattice
 
@@ -261,14 +349,17 @@ class Pieces:
     def _edges(self, text: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For every end position the (start, score, ids) of edges there."""
         ends: list[list] = [[] for _ in range(len(text) + 1)]
-        get = self.pieces.get
-        for i in range(len(text)):
+        begun, length, longest = self._begun, len(text), self.longest
+        for i in range(length):
             single = False
-            for j in range(i + 1, min(len(text), i + self.longest) + 1):
-                found = get(text[i:j])
+            for j in range(i + 1, min(length, i + longest) + 1):
+                try:
+                    found = begun[text[i:j]]
+                except KeyError:  # no piece begins so
+                    break
                 if found is not None:
                     single = single or j == i + 1
-                    ends[j].append((i, found[1], self._alone[found[0]]))
+                    ends[j].append((i, *found))
             if not single:
                 ends[i + 1].append((i, self.unknown, self._spelled(text[i])))
         return ends
@@ -330,56 +421,91 @@ class Pieces:
             return [text] if text else []
         return self._units.findall(text)
 
+    def coded(self, texts: list[list[str]]) -> Units:
+        """Texts that are given as units."""
+        flat = list(chain.from_iterable(texts))
+        whole = "".join(flat)
+        chars = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return self._coded(whole, chars, np.cumsum([0, *map(len, flat)]), np.cumsum([0, *map(len, texts)]))
+
+    def cut(self, texts: list[str]) -> Units:
+        """The units of escaped texts: one ends where the class of the next
+        character is smaller, or is or was that of the characters left over."""
+        if self._units is None:
+            return self.coded([self.units(t) for t in texts])
+        whole, ends = "".join(texts), np.cumsum([0, *map(len, texts)])
+        chars = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = self._class[chars]
+        head = np.ones(len(chars) + 1, bool)
+        head[1:-1] = (kind[1:] < kind[:-1]) | (kind[1:] == 3) | (kind[:-1] == 3)
+        head[ends] = True
+        heads = np.flatnonzero(head)
+        return self._coded(whole, chars, heads, np.searchsorted(heads, ends))
+
+    @staticmethod
+    def _coded(whole: str, chars: np.ndarray, heads: np.ndarray, cuts: np.ndarray) -> Units:
+        wide = np.flatnonzero(chars >= 0x80)
+        more = np.cumsum(1 + (chars[wide] >= 0x800) + (chars[wide] >= 0x10000))
+        offsets = heads + np.append(0, more)[np.searchsorted(wide, heads)]  # in UTF-8
+        data = whole.encode("utf-8", "surrogatepass")
+        units = pa.Array.from_buffers(pa.large_binary(), len(heads) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        code = units.dictionary_encode().indices.to_numpy()
+        # Names are numbered as they come first.
+        first = np.flatnonzero(code > np.append(-1, np.maximum.accumulate(code)[:-1])) if len(code) else code
+        return Units([whole[a:b] for a, b in zip(heads[first].tolist(), heads[first + 1].tolist())], code, cuts)
+
     def forget(self) -> None:
         """Drop the remembered segmentations, not the vocabulary."""
-        self._cache, self._older, self._huge = {}, {}, []
+        self._known, self._older = Known(), Known()
         self.words.cache_clear()
 
-    def solve(self, texts: list[list[str]]) -> dict[str, Best]:
-        """The best segmentation of all units of the texts."""
-        for u in self._huge:
-            self._cache.pop(u, None)
+    @property
+    def _cache(self) -> dict[str, int]:
+        """Numbers of the units that are remembered."""
+        return self._known.number
+
+    def solve(self, units: list[str]) -> Found:
+        """The best segmentation of distinct units, in their order."""
         if len(self._cache) > self.cached_words // 2:  # what is still in use comes back
-            self._cache, self._older = {}, self._cache
-        new = set().union(*texts) - self._cache.keys()
-        again = new & self._older.keys()
-        self._cache.update((u, self._older[u]) for u in again)
-        new = list(new - again)
-        short = [u for u in new if len(u) <= ARRAY_LENGTH]
-        self._cache.update(zip(short, self.best_of(short) if short else ()))
-        self._cache.update((u, self._segment_one(u)) for u in new if len(u) > ARRAY_LENGTH)
-        self._huge = [u for u in new if len(u) > HUGE]
-        return self._cache
-
-    def nbest(self, texts: list[list[str]], n: int) -> list[list[tuple[float, np.ndarray]]]:
+            self._known, self._older = Known(), self._known
+        known, older = self._known, self._older
+        new = np.flatnonzero(known.numbers(units) < 0).tolist()
+        if older.number and new:
+            old = older.numbers([units[i] for i in new])
+            again = np.flatnonzero(old >= 0)
+            known.add([units[new[i]] for i in again.tolist()], older.found.take(old[again]))
+            new = [new[i] for i in np.flatnonzero(old < 0).tolist()]
+        limit = ARRAY_LENGTH if self._exact else 0
+        short, long, huge = [], [], []
+        for i in new:
+            u = units[i]
+            (short if len(u) <= limit else long if len(u) <= HUGE else huge).append(u)
+        known.add(short, self._best_of(short))
+        known.add(long, Found.of(list(map(self._segment_one, long))))
+        number = known.numbers(units)
+        if not huge:
+            return known.found.take(number)
+        # Too long to be held for later texts; they stand in their order at the end.
+        number[number < 0] = len(known.number) + np.arange(len(huge))
+        return known.found.plus(Found.of(list(map(self._segment_one, huge)))).take(number)
+
+    def nbest(self, texts: list[list[str]] | Units, n: int) -> list[list[tuple[float, np.ndarray]]]:
         """For each text, given as units, the n best (score, ids), best first.
 
         The best segmentations of a whole list of texts are put together by
         array steps over the numbers of their units."""
-        flat = list(chain.from_iterable(texts))
-        if not flat:
-            return [[(0.0, np.zeros(0, np.int32))] for _ in texts]
-        coded = pa.array([u.encode("utf-8", "surrogatepass") for u in flat] if self._units is None else flat).dictionary_encode()
-        code, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        if self._units is None:
-            names = [u.decode("utf-8", "surrogatepass") for u in names]
-        known = self.solve([names])
-        scores, parts, losses = zip(*map(known.__getitem__, names))
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-        pool, begin = np.fromiter(chain.from_iterable(parts), np.int32, int(sizes.sum())), np.cumsum(sizes) - sizes
-        size = sizes[code]
-        ends = np.cumsum(size)
-        ids = pool[np.repeat(begin[code] - (ends - size), size) + np.arange(int(ends[-1]))]
-        cuts = np.cumsum([0, *map(len, texts)])
-        at, total = np.append(0, ends)[cuts], np.append(0, np.cumsum(np.array(scores, np.int64)[code]))[cuts]
-        loss = np.array(losses, np.int64)[code]
+        names, code, cuts = texts if isinstance(texts, Units) else self.coded(texts)
+        if not len(code):
+            return [[(0.0, np.zeros(0, np.int32))] for _ in range(len(cuts) - 1)]
+        best = self.solve(names).take(code)
+        ends = np.cumsum(best.size)
+        at, total = np.append(0, ends)[cuts].tolist(), np.append(0, np.cumsum(best.score))[cuts].tolist()
         out = []
-        for k, units in enumerate(texts):
-            own = slice(cuts[k], cuts[k + 1])
-            out.append(self._ways(units, ids[at[k]:at[k + 1]], ends[own] - at[k], size[own], loss[own], int(total[k + 1] - total[k]), n))
+        for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            out.append(self._ways(names, code[a:b], best.ids[at[k]:at[k + 1]], ends[a:b] - at[k], best.size[a:b], best.loss[a:b], total[k + 1] - total[k], n))
         return out
 
-    def _ways(self, units, ids, ends, size, loss, best: int, n: int) -> list[tuple[float, np.ndarray]]:
+    def _ways(self, names, code, ids, ends, size, loss, best: int, n: int) -> list[tuple[float, np.ndarray]]:
         """The n best of one text, from the best one and what the second best
         of every unit loses."""
         out = [(best / ONE, ids)]
@@ -392,12 +518,13 @@ class Pieces:
             some = some[loss[some] <= np.partition(loss[some], n - 2)[n - 2]]
         order = some[np.argsort(loss[some], kind="stable")][:n - 1].tolist()
         # The r-th of them is changed in the r + 1 best at the earliest.
-        ways = {k: (self.words if len(units[k]) <= ARRAY_LENGTH else self._segment)(units[k], n - r) for r, k in enumerate(order)}
+        units = [names[c] for c in code[order].tolist()]
+        ways = {k: (self.words if len(u) <= ARRAY_LENGTH else self._segment)(u, n - r) for r, (k, u) in enumerate(zip(order, units))}
         choices: list[tuple[int, tuple]] = [(0, ())]
         for k in order:
             turns = [(f[0] - ways[k][0][0], c) for c, f in enumerate(ways[k])]
-            choices = heapq.nsmallest(n, ((lost - gain, picked + ((k, c),) * (c > 0)) for lost, picked in choices for gain, c in turns),
-                                      key=lambda x: (x[0], len(x[1]), x[1]))
+            choices = sorted([(lost - gain, picked + ((k, c),) * (c > 0)) for lost, picked in choices for gain, c in turns],
+                             key=lambda x: (x[0], len(x[1]), x[1]))[:n]
         for lost, picked in choices[1:]:
             changed, at = [], 0
             for k, c in sorted(picked):
@@ -501,7 +628,7 @@ def _encode(path: str, scores: str, n: int, piece_bytes: int = PIECE_BYTES, cach
                     size += len(texts[high])
                     high += 1
                 plain = m.normalise(texts[low:high])
-                found = m.pieces.nbest([m.pieces.units(t) for t in plain], n)
+                found = m.pieces.nbest(m.pieces.cut(plain), n)
                 want, equal = pa.array([t.encode("utf-8", "surrogatepass") for t in plain], pa.binary()), np.ones(len(plain), bool)
                 for k in range(n):  # every segmentation is decoded, not the best alone
                     has = [i for i, ways in enumerate(found) if len(ways) > k]
@@ -518,8 +645,8 @@ def _encode(path: str, scores: str, n: int, piece_bytes: int = PIECE_BYTES, cach
 
 
 def encode(docs: DataFrame, text_col: str = "text", path: str = MODEL, scores: str = "rank", n: int = N_BEST,
-           piece_bytes: int = PIECE_BYTES, cached_words: int = CACHED_WORDS) -> DataFrame:
-    """All columns, and ids (the best segmentation), nbest (score, number of
+           piece_bytes: int = PIECE_BYTES, cached_words: int = CACHED_WORDS, kept: list[str] | None = None) -> DataFrame:
+    """All columns, or only those ``kept``, and ids (the best segmentation), nbest (score, number of
     pieces, a 64-bit key of the ids and the ids of the n best), decoded_equal (whether
     decoding gives the normalised text for each of the n best). Columns of these names
     are replaced.
@@ -528,8 +655,9 @@ def encode(docs: DataFrame, text_col: str = "text", path: str = MODEL, scores: s
     ``cached_words`` segmentations: less of both takes less memory and more time and
     gives the same rows."""
     rows = nested_row(docs.drop(*(c for c in ADDED.names if c != text_col)))
-    shown = rows.select("row", F.col("row").getField(text_col).cast("string").alias("text"))
-    schema = T.StructType([rows.schema["row"], *ADDED.fields])
+    row = F.col("row") if kept is None else F.struct(*[field(c).alias(c) for c in kept if c not in ADDED.names])
+    shown = rows.select(row.alias("row"), field(text_col).cast("string").alias("text"))
+    schema = T.StructType([shown.schema["row"], *ADDED.fields])
     return shown.mapInArrow(releasing(_encode(path, scores, n, piece_bytes, cached_words)), schema).select("row.*", *ADDED.names)
 
 
@@ -547,5 +675,5 @@ def decode(tokens: DataFrame, ids_col: str = "ids", path: str = MODEL, scores: s
 
 
 def op2_sentencepiece(spark, sf_dir: str) -> DataFrame:
-    out = encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = encode(table(spark, sf_dir, "documents").select("doc_id", "text"), kept=["doc_id"])
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "nbest", "decoded_equal")

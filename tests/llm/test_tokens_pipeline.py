@@ -1,5 +1,6 @@
 import random
 import re
+import sys
 import tracemalloc
 
 import pyarrow as pa
@@ -205,3 +206,69 @@ def test_every_segmentation_is_returned_and_decoded(spark, monkeypatch):
     monkeypatch.setattr(m.pieces, "nbest", wrong)  # a fault in the last segmentation alone shows
     (out,) = sp._encode(sp.MODEL, "rank", 4)(iter([batch]))
     assert out.column("decoded_equal").to_pylist() == [False]
+
+
+def random_words(rng, count):
+    letters = "etaoinsrhldE" + "é,.'7日😀"
+    return ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 14))) for _ in range(count)]
+
+
+def test_array_segmentations_against_the_search():
+    """Score, ids and loss of every word as the search of one lattice gives them."""
+    rng = random.Random(11)
+    for p in (Model(MODEL).pieces, Pieces(VOCAB, list(range(100, 356))), Pieces({"a": (0, -1.0), "aa": (1, -2.0), "aaa": (2, -3.0)}, None)):
+        units = random_words(rng, 400) + ["".join(rng.choice("abc" + MARK + "é") for _ in range(rng.randrange(1, 41))) for _ in range(200)]
+        units = list(dict.fromkeys(units + ["a" * k for k in range(1, 41)]))
+        assert p.best_of(units) == [p._segment_one(u) for u in units]
+        p.nbest([units], 1)
+        found = p.solve(units[::-1])
+        assert found.score.tolist() == [p._segment_one(u).score for u in units[::-1]]
+
+
+def test_units_of_many_texts_at_once():
+    rng = random.Random(12)
+    for p in (Model(MODEL).pieces, Pieces(VOCAB, None), Pieces({"a": (0, -1.0), "b" + MARK: (1, -1.0)}, None)):
+        texts = ["", "a", MARK, "", *("".join(rng.choice(["ab", MARK, ",", "é", "\x00", "日", "😀", ".b", "7"]) for _ in range(rng.randrange(30))) for _ in range(300)), ""]
+        got = p.cut(texts)
+        assert len(set(got.names)) == len(got.names)
+        assert [[got.names[k] for k in got.code[a:b]] for a, b in zip(got.cuts, got.cuts[1:])] == [p.units(t) for t in texts]
+        again = p.coded([p.units(t) for t in texts])
+        assert again.names == got.names and again.code.tolist() == got.code.tolist() and again.cuts.tolist() == got.cuts.tolist()
+
+
+def test_words_are_segmented_without_a_call_for_each():
+    """Python runs per text and per step of the arrays, not per word."""
+    p, calls = Model(MODEL).pieces, [0]
+    words = list(dict.fromkeys(MARK + w for w in random_words(random.Random(13), 30_000)))
+    texts = [[u for w in words[k:k + 2000] for u in p.units(w)] for k in range(0, len(words), 2000)]
+
+    def count(frame, event, arg):
+        calls[0] += event == "call"
+    sys.setprofile(count)
+    try:
+        p.nbest(texts, 4)
+    finally:
+        sys.setprofile(None)
+    assert calls[0] < len(words) / 4
+
+
+def test_words_come_back_from_the_turn_before():
+    """A worker that remembers few words gives the same segmentations."""
+    rng = random.Random(14)
+    few, many = Model(MODEL, cached_words=40).pieces, Model(MODEL).pieces
+    pool = random_words(rng, 120) + ["e" * 300, "ta" * 30]
+    for _ in range(12):
+        texts = [[w for _ in range(20) for w in few.units(rng.choice(pool))] for _ in range(3)]
+        assert [[(s, i.tolist()) for s, i in t] for t in few.nbest(texts, 4)] == [[(s, i.tolist()) for s, i in t] for t in many.nbest(texts, 4)]
+        assert not any(len(u) > 256 for u in few._cache)
+
+
+def test_kept_columns(spark):
+    docs = spark.createDataFrame([(1, "the theory", "x", 7), (None, None, None, None)], "doc_id long, text string, ids string, `a.b` int")
+    whole = encode(docs)
+    assert whole.columns == ["doc_id", "text", "a.b", "ids", "nbest", "decoded_equal"]
+    for kept in (["doc_id"], ["a.b", "doc_id"]):
+        out = encode(docs, kept=kept)
+        assert out.columns == [*kept, "ids", "nbest", "decoded_equal"]
+        want = whole.select(*[f"`{c}`" for c in out.columns])
+        assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))

@@ -638,8 +638,7 @@ def _encode(path: str, scores: str, n: int, piece_bytes: int = PIECE_BYTES, cach
                 parts = [pa.array([s for s, _ in ways], pa.float64()), pa.array([len(i) for _, i in ways], pa.int32()),
                          pa.array([_key(i) for _, i in ways], pa.int64()), _lists([i for _, i in ways])]
                 nbest = pa.ListArray.from_arrays(_cuts(found), pa.StructArray.from_arrays(parts, ["score", "n_pieces", "ids_key", "ids"]))
-                yield pa.RecordBatch.from_arrays([kept.slice(low, high - low), _lists([f[0][1] for f in found]), nbest, pa.array(equal)],
-                                                 ["row", "ids", "nbest", "decoded_equal"])
+                yield pa.RecordBatch.from_arrays([kept.slice(low, high - low), nbest, pa.array(equal)], ["row", "nbest", "decoded_equal"])
                 low = high
     return run
 
@@ -657,8 +656,9 @@ def encode(docs: DataFrame, text_col: str = "text", path: str = MODEL, scores: s
     rows = nested_row(docs.drop(*(c for c in ADDED.names if c != text_col)))
     row = F.col("row") if kept is None else F.struct(*[field(c).alias(c) for c in kept if c not in ADDED.names])
     shown = rows.select(row.alias("row"), field(text_col).cast("string").alias("text"))
-    schema = T.StructType([shown.schema["row"], *ADDED.fields])
-    return shown.mapInArrow(releasing(_encode(path, scores, n, piece_bytes, cached_words)), schema).select("row.*", *ADDED.names)
+    schema = T.StructType([shown.schema["row"], *(ADDED[c] for c in ("nbest", "decoded_equal"))])
+    out = shown.mapInArrow(releasing(_encode(path, scores, n, piece_bytes, cached_words)), schema)
+    return out.select("row.*", F.col("nbest").getItem(0).getField("ids").alias("ids"), "nbest", "decoded_equal")
 
 
 def decode(tokens: DataFrame, ids_col: str = "ids", path: str = MODEL, scores: str = "rank") -> DataFrame:

@@ -5,11 +5,13 @@ lower-cased; the whole sequence where it has fewer words), as 64-bit hashes. Two
 texts link when ``100 * |A & B| >= percent * |A | B|``, and classes are the
 connected components of the links.
 
-1. Counts. One pass adds all shingles of all texts to a sketch of ``2**BITS``
-   counters, broadcast as 2-bit levels of frequency (64 MiB at any input size).
-   Counts are never too low, so a shingle counted once is in one text only. The
-   sketch orders shingles from rare to frequent and estimates costs; links
-   never depend on its error.
+1. Counts. One pass counts all shingles of all texts at ``2**PLACE_BITS`` places,
+   by an ordinary shuffle of (place, count). Places counted once hold a shingle of
+   one text only and are dropped; the others go into a sketch of ``2**BITS`` cells,
+   broadcast as 2-bit levels of frequency (64 MiB at any input size). So the sketch
+   fills with the shingles that repeat, not with all. Levels are never too low, so a
+   shingle of level 0 is in one text only. The sketch orders shingles from rare to
+   frequent and estimates costs; links never depend on its error.
 2. Prefixes. Texts that link share at least l shingles of their first
    ``n - ceil(n * percent / 100) + l`` in that order. Each text takes the l of
    lowest estimated cost: the entries its prefix adds to the lists, plus what
@@ -50,19 +52,21 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkprep.llm.bloom import merged_blocks
-from sparkprep.llm.common import NOT_SPACE, Words, nested_row, ngram_hashes, releasing, sole_cache, stored, table, text_chunks
+from sparkprep.llm.common import NOT_SPACE, Words, dropped, nested_row, ngram_hashes, releasing, run_once, sole_cache, stored, table, text_chunks
 
 SHINGLE = 5
 PERCENT = 75
-BITS = 28
-BLOCK_BITS = 22
+BITS = 28  # of a cell of the sketch
+PLACE_BITS = 36  # of a counted place; a shingle's cell is the first BITS of its place
+COUNT_BLOCKS = 10  # bits that name a block of places, which one task adds up
+COUNT_TASKS = 64
 FLUSH = 1 << 21
+ADDED = 1 << 21  # places and counts that a task holds before it adds them up
 READ_ROWS = 1 << 10  # texts whose sets are held together
+MOST_TIMES = 65535  # that a place is counted
 LEVELS = (2, 8, 256)  # texts that a shingle of level 1, 2, 3 is in at least
 OTHERS = np.array([0.0, 2.0, 40.0, 1000.0])  # other texts that a level stands for
 MOST_MATCHES = 16
@@ -91,63 +95,78 @@ def shingle_sets(column):
 
 # -- Sketch --------------------------------------------------------------------------
 
-def _places(grams: np.ndarray) -> np.ndarray:
+def _cells(grams: np.ndarray) -> np.ndarray:
     return grams >> np.uint64(64 - BITS)
 
 
-def _message(key, at: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-    """Counter numbers of a block, as byte planes of differences, and counts."""
-    planes = np.diff(at, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
-    return pa.RecordBatch.from_pydict({"block": pa.array([key[0]], pa.int32()), "part": pa.array([key[1]], pa.int32()),
-                                       "at": pa.array([planes], pa.binary()), "times": pa.array([times.astype(np.uint16).tobytes()], pa.binary())})
-
-
-def _send(held: list[np.ndarray], part: int):
-    at, times = np.unique(_places(np.concatenate(held)), return_counts=True)
-    times = np.minimum(times, 65535)
-    cuts = np.searchsorted(at, np.arange((1 << (BITS - BLOCK_BITS)) + 1, dtype=np.uint64) << np.uint64(BLOCK_BITS))
-    for k in np.flatnonzero(np.diff(cuts)):
-        low = (at[cuts[k]:cuts[k + 1]] & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.uint32)
-        yield _message((int(k), part), low, times[cuts[k]:cuts[k + 1]])
+def _send(held: list[np.ndarray]):
+    """Messages (block, places in it as byte planes of differences, counts), 64 to a batch."""
+    at, times = np.unique(np.concatenate(held) >> np.uint64(64 - PLACE_BITS), return_counts=True)
+    times = np.minimum(times, MOST_TIMES).astype(np.uint16)
+    low_bits = PLACE_BITS - COUNT_BLOCKS
+    cuts = np.searchsorted(at, np.arange((1 << COUNT_BLOCKS) + 1, dtype=np.uint64) << np.uint64(low_bits))
+    low = (at & np.uint64((1 << low_bits) - 1)).astype(np.uint32)
+    blocks = np.flatnonzero(np.diff(cuts))
+    for k in range(0, len(blocks), 64):
+        some = blocks[k:k + 64]
+        ranges = [slice(cuts[b], cuts[b + 1]) for b in some]
+        planes = [np.diff(low[r], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes() for r in ranges]
+        yield pa.RecordBatch.from_pydict({"block": pa.array(some, pa.int32()), "at": pa.array(planes, pa.binary()),
+                                          "times": pa.array([times[r].tobytes() for r in ranges], pa.binary())})
 
 
 def _count(batches):
-    held, n, part = [], 0, TaskContext.get().partitionId()
+    held, n = [], 0
     sole_cache("levels", _loaded.clear)
     for batch in batches:
         for grams in shingle_sets(batch.column(0)):
             held.append(grams)
             n += len(grams)
             if n >= FLUSH:
-                yield from _send(held, part)
+                yield from _send(held)
                 held, n = [], 0
     if n:
-        yield from _send(held, part)
-
-
-def _add_up(last: bool):
-    """Messages sorted by (block, part), added up; the last turn gives levels."""
-    def out(key, total):
-        if last:
-            level = sum((total >= least).astype(np.uint8) for least in LEVELS)
-            packed = zlib.compress((level[0::4] | level[1::4] << 2 | level[2::4] << 4 | level[3::4] << 6).tobytes(), 1)
-            yield pa.RecordBatch.from_pydict({"block": pa.array([key[0]], pa.int32()), "levels": pa.array([packed], pa.binary())})
-        else:
-            yield _message(key, np.flatnonzero(total).astype(np.uint32), total[total > 0])
-
-    def run(batches):
-        key, total = None, None
-        for batch in batches:
-            for block, part, at, times in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (block, part) != key:
-                    if key is not None:
-                        yield from out(key, total)
-                    key, total = (block, part), np.zeros(1 << BLOCK_BITS, np.uint16)
-                places = np.cumsum(np.ascontiguousarray(np.frombuffer(at, np.uint8).reshape(4, -1).T).view(np.uint32).ravel())
-                total[places] = np.minimum(total[places].astype(np.uint32) + np.frombuffer(times, np.uint16), 65535)
-        if key is not None:
-            yield from out(key, total)
-    return run
+        yield from _send(held)
+
+
+def _summed(held: list[np.ndarray]) -> np.ndarray:
+    """Places and counts (``place << 16 | count``), one of each place."""
+    every = np.concatenate(held)
+    every.sort()
+    at = every >> np.uint64(16)
+    heads = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+    times = np.add.reduceat(every & np.uint64(MOST_TIMES), heads)
+    return at[heads] << np.uint64(16) | np.minimum(times, np.uint64(MOST_TIMES))
+
+
+def _block_levels(block: int, held: list[np.ndarray]) -> pa.RecordBatch:
+    """The cells of a block: the highest level of their places, 0 without one that
+    was counted twice."""
+    sums = _summed(held)
+    times = sums & np.uint64(MOST_TIMES)
+    level = sum((times >= least).astype(np.uint8) for least in LEVELS)
+    cells = np.zeros(1 << (BITS - COUNT_BLOCKS), np.uint8)
+    np.maximum.at(cells, (sums[level > 0] >> np.uint64(16 + PLACE_BITS - BITS)).astype(np.int64), level[level > 0])
+    packed = zlib.compress((cells[0::4] | cells[1::4] << 2 | cells[2::4] << 4 | cells[3::4] << 6).tobytes(), 1)
+    return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "levels": pa.array([packed], pa.binary())})
+
+
+def _add_up(batches):
+    """Messages sorted by block, added up while they stream in."""
+    key, held, n = None, [], 0
+    for batch in batches:
+        for block, planes, times in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            if block != key:
+                if key is not None:
+                    yield _block_levels(key, held)
+                key, held, n = block, [], 0
+            at = np.cumsum(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.uint64)
+            held.append(at << np.uint64(16) | np.frombuffer(times, np.uint16))
+            n += len(at)
+            if n >= ADDED:
+                held, n = [_summed(held)], 0
+    if key is not None:
+        yield _block_levels(key, held)
 
 
 _loaded: dict[str, np.ndarray] = {}
@@ -165,19 +184,23 @@ class Levels:
         if self.key not in _loaded:
             _loaded.clear()  # a reused worker keeps the last sketch only
             sole_cache("levels", _loaded.clear)
-            plane, size = np.zeros(1 << (BITS - 2), np.uint8), 1 << (BLOCK_BITS - 2)
+            plane, size = np.zeros(1 << (BITS - 2), np.uint8), 1 << (BITS - COUNT_BLOCKS - 2)
             for block, packed in self._sent.value:
                 plane[block * size:(block + 1) * size] = np.frombuffer(zlib.decompress(packed), np.uint8)
             _loaded[self.key] = plane
-        at = _places(grams)
+        at = _cells(grams)
         return _loaded[self.key][at >> np.uint64(2)] >> ((at & np.uint64(3)) << np.uint64(1)).astype(np.uint8) & np.uint8(3)
 
 
 def count_shingles(texts: DataFrame) -> Levels:
-    message = "block int, part int, at binary, times binary"
-    merged = merged_blocks(texts.mapInArrow(releasing(_count), message), 1 << (BITS - BLOCK_BITS), _add_up, message, "block int, levels binary")
-    # 2**BITS / 4 bytes at most, whatever the input.
-    return Levels(texts.sparkSession, [(r["block"], bytes(r["levels"])) for r in merged.collect()])
+    sent = texts.mapInArrow(releasing(_count), "block int, at binary, times binary")
+    # A task adds up its blocks one after another: more tasks for more input.
+    tasks = min(1 << COUNT_BLOCKS, max(COUNT_TASKS, sent.rdd.getNumPartitions()))
+    dealt = sent.repartition(tasks, "block").sortWithinPartitions("block")
+    with run_once(texts.sparkSession):
+        # 2**BITS / 4 bytes at most, whatever the input.
+        cells = dealt.mapInArrow(releasing(_add_up), "block int, levels binary").collect()
+    return Levels(texts.sparkSession, [(r["block"], bytes(r["levels"])) for r in cells])
 
 
 # -- Prefixes ------------------------------------------------------------------------
@@ -406,13 +429,15 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = two.schema["id"].dataType.simpleString()
     levels = count_shingles(two.filter("id IS NOT NULL").select("text"))
     read = two.mapInArrow(releasing(_read(levels, percent)), f"id {kind}, n long, class binary, shared binary, prefix array<long>, matches int, central double, marks binary")
-    sets = stored(read.withColumn("at", F.monotonically_increasing_id()), "sets")
+    whole = stored(read.withColumn("at", F.monotonically_increasing_id()), "sets")
+    sets = stored(whole.select("id", "n", "class", "at"), "names")
     usable = sets.filter("id IS NOT NULL AND class IS NOT NULL")
     first = usable.groupBy("class").agg(F.min(F.struct("id", "at")).alias("first"))
     classes = stored(first.select(F.col("class").alias("cls"), F.col("first.id").alias("rep"), F.col("first.at").alias("row")), "classes")
     # Texts that can link, one row of each class.
-    able = usable.filter("shared IS NOT NULL").join(classes, (F.col("class") == F.col("cls")) & (F.col("at") == F.col("row")))
+    able = whole.filter("id IS NOT NULL AND shared IS NOT NULL").join(classes, (F.col("class") == F.col("cls")) & (F.col("at") == F.col("row")))
     able = stored(able.select("class", "n", "shared", "prefix", "matches", "central", "marks"), "able")
+    dropped(whole)
     member = F.struct("central", "class").alias("member")
     entries = able.select(F.explode("prefix").alias("token"), member)
     pivots = stored(entries.groupBy("token").agg(F.max("member").alias("pivot"), F.count(F.lit(1)).alias("size"))

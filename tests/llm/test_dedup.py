@@ -1,12 +1,15 @@
 import hashlib
+import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from sparkprep.llm import bloom, jaccard_join
+from sparkprep.llm import bloom, common, jaccard_join
 from sparkprep.llm.exact_dedup import drop_copies, exact_groups
 from sparkprep.llm.jaccard_join import keep_one, near_classes
 from sparkprep.llm.line_dedup import dedup_lines
@@ -243,3 +246,46 @@ def test_pairs_that_cannot_link_send_no_set():
     batch = pa.RecordBatch.from_pydict(columns | {"p_marks": [marks[0]] * 3, "marks": [marks[0], marks[1], marks[2]]})
     (out,) = jaccard_join._able_to_link(75)(iter([batch]))
     assert out.column("able").to_pylist() == [False, False, True]  # too small; one match of two; both
+
+
+def test_sketch_fills_with_repeated_shingles_only(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BITS", 12)
+    monkeypatch.setattr(jaccard_join, "ADDED", 700)
+    rng = np.random.default_rng(5)
+    # Ten times as many shingles as cells: of all of them, no cell would stay at 0.
+    alone = np.unique(rng.integers(0, 1 << 64, 40_000, dtype=np.uint64))
+    twice, often = alone[:100], alone[100:110]
+    parts = [alone, twice, *[often] * 300]
+    sent = pa.Table.from_batches([b for k in range(0, len(parts), 2) for b in jaccard_join._send(parts[k:k + 2])]).sort_by("block")
+    cells = np.zeros(1 << 12, np.uint8)
+    for batch in jaccard_join._add_up(iter(sent.to_batches(max_chunksize=50))):
+        for block, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            flat = np.frombuffer(zlib.decompress(packed), np.uint8)
+            cells[block * 4:block * 4 + 4] = (flat[:, None] >> np.array([0, 2, 4, 6], np.uint8) & 3).ravel()
+    level = cells[jaccard_join._cells(alone).astype(np.int64)]
+    assert (level[:100] >= 1).all() and (level[100:110] == 3).all()
+    assert (level[110:] == 0).mean() > 0.9
+
+
+def test_near_classes_frees_what_it_wrote(spark, docs):
+    base = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    before = set(os.listdir(base))
+    setting = spark.conf.get(common._FREED)
+    words = [f"w{k}" for k in range(40)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1] + ["x"])), (3, " ".join(words[::-1])), (4, None)]
+    got = {r.id: r.component for r in near_classes(docs(rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+    written = {f.rsplit("-", 1)[0] for f in set(os.listdir(base)) - before}
+    assert "able" in written and "sets" not in written  # sets stand in one table only
+    assert spark.conf.get(common._FREED) == setting
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def shuffles():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager()
+        return {name for name in manager.diskBlockManager().getAllFiles().mkString("\n").split("\n") if "/shuffle_" in name}
+    before = shuffles()
+    table = common.stored(spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count(), "counts")
+    assert not shuffles() - before and table.count() == 7
+    common.dropped(table)
+    assert not os.path.exists(table._stored_at)

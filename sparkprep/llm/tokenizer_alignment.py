@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from sparkprep.llm.common import field, nested_row, stored, table, text_chunks
+from sparkprep.llm.common import field, nested_row, release, releasing, stored, table, text_chunks
 from sparkprep.llm.token_counts import BYTE_LETTERS, LETTER_BYTES, unsure_characters
 
 FILE_A = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,7 +52,8 @@ ENCODED_BYTES = 1 << 19  # encoded at a time
 MERGED_BYTES = 16 << 20  # of the words whose ids a worker remembers
 WORK = 1 << 16  # steps of a merge piece
 LONG_GROUP = 64  # links from which a group is reduced to distinct ids
-UNIT_LINKS = 1 << 18  # made at a time
+UNIT_LINKS = 1 << 16  # made at a time, and in one row
+ROW_GROUP_BYTES = 16 << 20  # of the stored blocks: their writers and readers hold a row group
 MARK = "▁"
 
 
@@ -323,16 +324,19 @@ def _align(file_a: str, file_b: str):
                 for pairs, held, docs, numbers, links in block.units():
                     yield rows(1, block=[number], pairs=[pairs.tobytes()], held=[held.astype(np.int32).tobytes()], docs=[docs.astype(np.int32).tobytes()],
                                numbers=[numbers.astype(np.int32).tobytes()], links=[links.tobytes()])
+                del block
                 number += 1
-            pa.default_memory_pool().release_unused()
+                release()  # a block's arrays, before the next one's
     return run
 
 
 def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", file_a: str = FILE_A, file_b: str = FILE_B) -> DataFrame:
-    """Stored table of aligned blocks: a row per text and rows of linked pairs."""
+    """Stored table of aligned blocks: a row per text and rows of linked pairs, each
+    with a number ``unit``."""
     rows = nested_row(docs).select(field(id_col).alias("id"), field(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return stored(rows.mapInArrow(_align(file_a, file_b), _BLOCKS.format(kind=kind)), "aligned")
+    aligned = rows.mapInArrow(releasing(_align(file_a, file_b)), _BLOCKS.format(kind=kind))
+    return stored(aligned.withColumn("unit", F.monotonically_increasing_id()), "aligned", ROW_GROUP_BYTES)
 
 
 def _pair_rows(batches):
@@ -361,13 +365,13 @@ def _sums(key, left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def units_of(aligned: DataFrame) -> DataFrame:
-    return stored(aligned.filter("at IS NULL").select("block", "pairs", "held", "docs", "numbers", "links")
-                  .withColumn("unit", F.monotonically_increasing_id()), "units")
+    """The rows of linked pairs, read where they are."""
+    return aligned.filter("at IS NULL").select("unit", "block", "pairs", "held", "docs", "numbers", "links")
 
 
 def pair_rows(units: DataFrame) -> DataFrame:
     """(unit, number, pair, held): the distinct linked pairs of each unit."""
-    return units.select("unit", "pairs", "held").mapInArrow(_pair_rows, "unit bigint, number int, pair bigint, held int")
+    return units.select("unit", "pairs", "held").mapInArrow(releasing(_pair_rows), "unit bigint, number int, pair bigint, held int")
 
 
 def pair_counts(pairs: DataFrame) -> DataFrame:

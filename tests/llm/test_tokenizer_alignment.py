@@ -135,3 +135,17 @@ def test_empty_repeated_and_null_ids(spark, docs):
     got = [tuple(r) for r in ta.alignment(docs([(None, "the end"), (7, "the end"), (7, "the end"), (7, None)])).collect()]
     assert len(got) == 4 and len(set(got)) == 3
     assert {r[6] for r in got if r[1]} == {3 * r[4] for r in got if r[1]}
+
+
+def test_rows_of_pairs_are_small_and_stored_once(spark, docs, monkeypatch):
+    import os
+    rng = random.Random(21)
+    words = [bytes(rng.choices(range(97, 123), k=rng.randrange(2, 9))).decode() for _ in range(30_000)]
+    texts = [" ".join(rng.choices(words, k=20_000)) for _ in range(8)]
+    raw = [t.encode() for t in texts]
+    units = list(ta.Block(ta.tokens(ta.FILE_A), ta.tokens(ta.FILE_B), raw).units())
+    assert max(sum(x.nbytes for x in unit) for unit in units) < 4 << 20
+    base = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    before = set(os.listdir(base))
+    assert ta.alignment(docs(list(enumerate(texts[:2])))).count() == 2
+    assert sorted(f.rsplit("-", 1)[0] for f in set(os.listdir(base)) - before) == ["aligned", "pair_counts"]
